@@ -97,6 +97,30 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
 }
 
 
+def add_silver_chain(name: str, src: str) -> None:
+    """Register CTEs ``<name>_keys -> <name>_dedup -> <name>`` cleaning bronze-like ``src``."""
+    CTES[f"{name}_keys"] = ((src,), f"""SELECT * FROM {src}
+    WHERE symbol IS NOT NULL AND "timestamp" IS NOT NULL AND close IS NOT NULL""")
+    CTES[f"{name}_dedup"] = ((f"{name}_keys",), CTES["bronze_dedup"][1].replace("bronze_keys", f"{name}_keys"))
+    CTES[name] = ((f"{name}_dedup",), CTES["silver"][1].replace("bronze_dedup", f"{name}_dedup"))
+
+
+def add_daily(name: str, silver: str) -> None:
+    CTES[name] = ((silver,), CTES["daily_bars"][1].replace("FROM silver WHERE", f"FROM {silver} WHERE"))
+
+
+def add(name: str, deps: tuple[str, ...], body: str) -> None:
+    CTES[name] = (deps, body)
+
+
+INGEST_BASE = "TIMESTAMP '2024-02-01 00:00:00'"
+add("bronze0", ("bronze",), f"SELECT * FROM bronze WHERE ingestion_timestamp <= {INGEST_BASE}")
+add("bronze1", ("bronze",), f"SELECT * FROM bronze WHERE ingestion_timestamp > {INGEST_BASE}")
+add_silver_chain("silver0", "bronze0")
+add_silver_chain("silver1", "bronze1")
+add_daily("daily0", "silver0")
+
+
 def with_ctes(*names: str) -> str:
     order: list[str] = []
 
