@@ -18,22 +18,26 @@ from .clean import dedup_latest, ts_lit
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
-           dedup_order: Sequence[str] | None = None) -> DataFrame:
+           dedup_order: Sequence[str] | None = None, deletes: DataFrame | None = None) -> DataFrame:
     """Replace target rows whose ``keys`` appear in ``source``; insert the others.
 
     ``source`` must be unique on ``keys`` (MERGE raises otherwise); pass
-    ``dedup_order`` to keep the greatest row per key first. The anti join lets
-    AQE pick broadcast when the change set is small and a shuffle join when not.
+    ``dedup_order`` to keep the greatest row per key first. ``deletes`` (key rows)
+    removes keys outright (MERGE's ``WHEN MATCHED THEN DELETE``). The anti join
+    lets AQE pick broadcast when the change set is small and a shuffle join when not.
     """
     keys = list(keys)
     if dedup_order:
         source = dedup_latest(source, keys, dedup_order)
     source = source.select(*target.columns)
-    return target.join(source.select(*keys), keys, "left_anti").unionByName(source)
+    gone = source.select(*keys)
+    if deletes is not None:
+        gone = gone.unionByName(deletes.select(*keys))
+    return target.join(gone, keys, "left_anti").unionByName(source)
 
 
 def upsert_path(spark: SparkSession, source: DataFrame, path: str, keys: Sequence[str],
-                partition_col: str, fmt: str = "parquet") -> None:
+                partition_col: str, fmt: str = "parquet", deletes: DataFrame | None = None) -> None:
     """S8 on disk: merge ``source`` into the partitioned table at ``path``.
 
     Only partitions whose ``partition_col`` value occurs in ``source`` are read
@@ -45,20 +49,29 @@ def upsert_path(spark: SparkSession, source: DataFrame, path: str, keys: Sequenc
     keys = list(keys)
     if partition_col not in keys and partition_col not in source.columns:
         raise ValueError("partition column must be part of the source rows")
-    try:
-        current = spark.read.format(fmt).load(path)
-    except Exception:  # noqa: BLE001 - first write: no table yet
-        current = None
+    current = read_table(spark, path, fmt)
     if current is None:
         merged = source
     else:
-        parts = source.select(partition_col).distinct()
-        touched = current.join(parts, partition_col, "left_semi")
-        merged = upsert(touched, source.select(*current.columns), keys)
+        parts = source.select(partition_col)
+        if deletes is not None:
+            parts = parts.unionByName(deletes.select(partition_col))
+        touched = current.join(parts.distinct(), partition_col, "left_semi")
+        merged = upsert(touched, source.select(*current.columns), keys, deletes=deletes)
     (merged.repartition(partition_col).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).format(fmt).save(path))
 
 
+def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame | None:
+    """The table at ``path``, or None when nothing was written there yet."""
+    try:
+        return spark.read.format(fmt).load(path)
+    except Exception as e:  # noqa: BLE001
+        if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
+            return None
+        raise
+
+
 def snapshot_asof(bronze: DataFrame, ts, keys: Sequence[str] = ("symbol", "timestamp")) -> DataFrame:
     """The deduplicated state as of ``ts`` from the append-only bronze history."""
     b = bronze.filter(F.col("ingestion_timestamp") <= ts_lit(ts))
