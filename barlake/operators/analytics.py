@@ -20,7 +20,6 @@ Scale notes
 from __future__ import annotations
 
 from collections.abc import Sequence
-from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -76,8 +75,15 @@ def join_gold(daily: DataFrame, analytics: DataFrame) -> DataFrame:
     return daily.join(a, KEYS, "inner")
 
 
-def _top(df: DataFrame, col: str, n: int, descending: bool = True) -> DataFrame:
-    key = F.col(col).desc_nulls_last() if descending else F.col(col).asc_nulls_first()
+def _top(df: DataFrame, col: str, n: int, descending: bool = True, digits: int | None = None) -> DataFrame:
+    """Top ``n`` by ``col`` with (symbol, trade_date) as tie-break.
+
+    ``digits`` ranks a *computed* float on its value rounded to that many decimals, so
+    values that are equal in exact arithmetic but differ in the last bit (summation
+    order) tie and fall to the deterministic tie-break.
+    """
+    c = F.col(col) if digits is None else F.round(F.col(col), digits)
+    key = c.desc_nulls_last() if descending else c.asc_nulls_first()
     return df.orderBy(key, F.col("symbol").asc(), F.col("trade_date").asc()).limit(n)
 
 
@@ -208,37 +214,77 @@ def sector(daily: DataFrame, universe, asof=None, days: int = 30) -> DataFrame:
             .orderBy(F.col("trade_date").desc(), "symbol"))
 
 
+def _gram_partials(k: int):
+    """Per-partition pairwise sufficient statistics of a (dates x k) return matrix."""
+    import numpy as np
+    import pandas as pd
+
+    iu, ju = np.triu_indices(k, 1)
+
+    def fn(batches):
+        acc = None
+        for pdf in batches:
+            x = pdf[[f"x{i}" for i in range(k)]].to_numpy(dtype="float64", na_value=np.nan)
+            present = (pdf[[f"n{i}" for i in range(k)]].fillna(0).to_numpy() > 0).astype("float64")
+            valid = ~np.isnan(x)
+            v = valid.astype("float64")
+            x0 = np.where(valid, x, 0.0)
+            part = [present.T @ present, v.T @ v, x0.T @ v, v.T @ x0, (x0 * x0).T @ v, v.T @ (x0 * x0),
+                    x0.T @ x0]
+            acc = part if acc is None else [a + b for a, b in zip(acc, part)]
+        if acc is None:
+            return
+        names = ["rows", "n", "sx", "sy", "sxx", "syy", "sxy"]
+        out = {"i": iu.astype("int32"), "j": ju.astype("int32")}
+        out.update({nm: m[iu, ju] for nm, m in zip(names, acc)})
+        yield pd.DataFrame(out)
+    return fn
+
+
 def correlation(daily: DataFrame, universe: Sequence[str], asof=None, days: int | None = 60,
                 count_name: str = "observation_count") -> DataFrame:
     """J5 + A14: pairwise return correlation for ``s1 < s2`` on shared dates.
 
-    The reference self-joins on date, emitting every symbol pair per date. Here
-    returns are pivoted to one row per date (one column per universe symbol plus a
-    presence flag) and every pair's ``corr``/count is one aggregate expression of
-    a single partial+final aggregation; the result is unpivoted with ``stack``.
-    Work is linear in rows; the only quadratic term is the number of pair
-    expressions, fixed by the universe argument.
+    The reference self-joins on date, emitting every symbol pair per date. Here the
+    universe's returns are centred by their per-symbol mean (a k-row table), pivoted
+    to one row per date, and each partition reduces its block of dates to the
+    pairwise sufficient statistics (Gram matrices ``PᵀP``, ``XᵀV``, ``XᵀX`` ... via
+    numpy in ``mapInPandas``); one ``groupBy(i, j)`` sums the partials and Pearson's
+    formula finishes. No pair rows are emitted per date, work is linear in rows, and
+    the expression count does not grow with the universe. ``observation_count`` is
+    the number of shared dates (the join's ``count(*)``); the correlation uses the
+    dates where both returns are non-null, and is NULL below two such dates or for a
+    constant series.
     """
     syms = sorted(set(universe))
-    a = _asof(daily, asof)
-    d = trailing(daily, a, days).filter(F.col("symbol").isin(syms))
-    wide = (d.groupBy("trade_date").pivot("symbol", syms)
-            .agg(F.first("daily_return").alias("r"), F.count(F.lit(1)).alias("n")))
-    # pivot names the columns "<symbol>_r"/"<symbol>_n"
-    aggs, pairs = [], []
-    for i, (s1, s2) in enumerate(combinations(syms, 2)):
-        r1, r2 = F.col(f"`{s1}_r`"), F.col(f"`{s2}_r`")
-        both = F.coalesce(F.col(f"`{s1}_n`"), F.lit(0)) * F.coalesce(F.col(f"`{s2}_n`"), F.lit(0))
-        aggs += [F.corr(r1, r2).alias(f"c{i}"), F.sum(both).alias(f"n{i}")]
-        pairs.append((s1, s2))
-    if not pairs:
+    k = len(syms)
+    if k < 2:
         return daily.sparkSession.createDataFrame(
             [], f"symbol1 string, symbol2 string, correlation double, {count_name} bigint")
-    stats = wide.agg(*aggs)
-    stack = ", ".join(f"'{s1}', '{s2}', c{i}, n{i}" for i, (s1, s2) in enumerate(pairs))
-    out = stats.selectExpr(
-        f"stack({len(pairs)}, {stack}) AS (symbol1, symbol2, correlation, {count_name})")
-    out = out.filter(F.col(count_name) > 0).withColumn(count_name, F.col(count_name).cast("bigint"))
+    a = _asof(daily, asof)
+    d = trailing(daily, a, days).filter(F.col("symbol").isin(syms)).select("symbol", "trade_date",
+                                                                          "daily_return")
+    # per-symbol means: at most k rows (bounded by the universe argument) -> broadcast
+    means = d.groupBy("symbol").agg(F.avg("daily_return").alias("_m"))
+    x = d.join(F.broadcast(means), "symbol").withColumn("x", F.col("daily_return") - F.col("_m"))
+    wide = (x.groupBy("trade_date").pivot("symbol", syms)
+            .agg(F.first("x").alias("x"), F.count(F.lit(1)).alias("n")))
+    wide = wide.select(*[F.col(f"`{s}_x`").alias(f"x{i}") for i, s in enumerate(syms)],
+                       *[F.col(f"`{s}_n`").alias(f"n{i}") for i, s in enumerate(syms)])
+    schema = "i int, j int, rows double, n double, sx double, sy double, sxx double, syy double, sxy double"
+    parts = wide.mapInPandas(_gram_partials(k), schema)
+    tot = parts.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in
+                                        ("rows", "n", "sx", "sy", "sxx", "syy", "sxy")])
+    n = F.col("n")
+    cov = F.col("sxy") - F.col("sx") * F.col("sy") / n
+    vx = F.col("sxx") - F.col("sx") * F.col("sx") / n
+    vy = F.col("syy") - F.col("sy") * F.col("sy") / n
+    corr = F.when((n >= 2) & (vx > 0) & (vy > 0), cov / F.sqrt(vx * vy))
+    names = F.array(*[F.lit(s) for s in syms])
+    out = (tot.filter(F.col("rows") > 0)
+           .select(F.element_at(names, F.col("i") + 1).alias("symbol1"),
+                   F.element_at(names, F.col("j") + 1).alias("symbol2"),
+                   corr.alias("correlation"), F.col("rows").cast("bigint").alias(count_name)))
     return out.orderBy(F.col("correlation").desc_nulls_last(), "symbol1", "symbol2")
 
 
@@ -363,7 +409,7 @@ def most_volatile(gold: DataFrame, asof=None, days: int = 30, n: int = 20) -> Da
     a = _asof(gold, asof)
     g = trailing(gold, a, days).filter(F.col("volatility").isNotNull())
     g = g.select("symbol", "trade_date", "close", "volatility", "daily_return", "price_range")
-    return _top(g, "volatility", n)
+    return _top(g, "volatility", n, digits=9)
 
 
 def avg_volatility(analytics: DataFrame, asof=None, days: int = 30, min_days: int = 20) -> DataFrame:
