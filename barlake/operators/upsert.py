@@ -56,12 +56,31 @@ def upsert_path(spark: SparkSession, source: DataFrame, path: str, keys: Sequenc
         parts = source.select(partition_col)
         if deletes is not None:
             parts = parts.unionByName(deletes.select(partition_col))
-        touched = current.join(parts.distinct(), partition_col, "left_semi")
+        touched = prune_partitions(current, partition_col, parts)
         merged = upsert(touched, source.select(*current.columns), keys, deletes=deletes)
     (merged.repartition(partition_col).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).format(fmt).save(path))
 
 
+MAX_PRUNE_VALUES = 10000
+
+
+def prune_partitions(table: DataFrame, partition_col: str, values: DataFrame,
+                     max_values: int = MAX_PRUNE_VALUES) -> DataFrame:
+    """Restrict a partitioned ``table`` to the partition values occurring in ``values``.
+
+    The distinct values (touched days: bounded by the calendar, checked against
+    ``max_values`` with an early-stopping ``limit``) become a literal ``IN`` filter,
+    which the file source turns into ``PartitionFilters`` — untouched partitions are
+    never listed or read. Beyond the bound a ``left_semi`` join is used and dynamic
+    partition pruning applies where the planner can.
+    """
+    vals = [r[0] for r in values.select(partition_col).distinct().limit(max_values + 1).collect()]
+    if len(vals) <= max_values:
+        return table.filter(F.col(partition_col).isin(vals))
+    return table.join(values.select(partition_col).distinct(), partition_col, "left_semi")
+
+
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame | None:
     """The table at ``path``, or None when nothing was written there yet."""
     try:

@@ -20,7 +20,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..operators.clean import add_quality, dedup_latest, drop_null_keys, ts_lit
 from ..operators.daily import daily_ohlcv, day_of
 from ..operators.incremental import refresh_indicators, restrict_to
-from ..operators.upsert import read_table, upsert_path
+from ..operators.upsert import prune_partitions, read_table, upsert_path
 from ..schemas import SILVER_BARS_SCHEMA, conform
 from .bronze import bronze_from_stream, read_bars_stream
 
@@ -52,8 +52,8 @@ def process_bronze_batch(spark: SparkSession, batch: DataFrame, paths: Medallion
                     deletes=deletes)
 
         touched = (latest.select("symbol", day_of("timestamp").alias("trade_date")).distinct())
-        silver_all = read_table(spark, paths.silver).drop(PART)
-        recomputed = daily_ohlcv(restrict_to(silver_all, touched), run_ts)
+        silver_days = prune_partitions(read_table(spark, paths.silver), PART, _with_part(touched, "trade_date"))
+        recomputed = daily_ohlcv(restrict_to(silver_days.drop(PART), touched), run_ts)
         gone_days = _with_part(touched.join(recomputed.select("symbol", "trade_date"),
                                             ["symbol", "trade_date"], "left_anti"), "trade_date")
         upsert_path(spark, _with_part(recomputed, "trade_date"), paths.daily, ["symbol", "trade_date"], PART,
