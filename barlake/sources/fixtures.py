@@ -40,8 +40,7 @@ def bars(spark: SparkSession, sf_dir: str) -> DataFrame:
               F.max_by("value", "event_id").alias("c"),
               F.sum(F.floor(F.col("value") * 100).cast("bigint")).alias("v")))
     bid = F.col("bar_id")
-    dirty = g.select(
-        "bar_id", "symbol", "hr",
+    dirty = F.struct(
         F.when(bid % NULL_TS_MOD != 0, F.col("hr")).alias("ts"),
         F.when(bid % NULL_OPEN_MOD != 0, F.col("o")).alias("open"),
         F.when(bid % BROKEN_HIGH_MOD == 0, F.col("l") - 1.0).otherwise(F.col("h")).alias("high"),
@@ -50,11 +49,14 @@ def bars(spark: SparkSession, sf_dir: str) -> DataFrame:
          .when(bid % NEG_CLOSE_MOD == 0, -F.col("c")).otherwise(F.col("c")).alias("close"),
         F.col("v").alias("volume"),
         F.lit(0).alias("ingest_seq"))
-    late = g.filter(bid % LATE_FIX_MOD == 0).select(
-        "bar_id", "symbol", "hr", F.col("hr").alias("ts"), F.col("o").alias("open"),
-        F.col("h").alias("high"), F.col("l").alias("low"), F.col("c").alias("close"),
-        (F.col("v") + 1).alias("volume"), F.lit(1).alias("ingest_seq"))
-    return dirty.unionByName(late)
+    late = F.struct(F.col("hr").alias("ts"), F.col("o").alias("open"), F.col("h").alias("high"),
+                    F.col("l").alias("low"), F.col("c").alias("close"), (F.col("v") + 1).alias("volume"),
+                    F.lit(1).alias("ingest_seq"))
+    # one aggregation of the events; each bar yields its dirty row and, for every
+    # LATE_FIX_MOD-th bar, a clean late correction
+    versions = F.filter(F.array(dirty, F.when(bid % LATE_FIX_MOD == 0, late)), lambda x: x.isNotNull())
+    return (g.select("bar_id", "symbol", "hr", F.explode(versions).alias("b"))
+            .select("bar_id", "symbol", "hr", "b.*"))
 
 
 def bronze_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
