@@ -28,14 +28,52 @@ def calendar_frame(spark, start, end, observe_saturday_new_year: bool = False) -
         C.is_trading_day("date", observe_saturday_new_year).alias("is_trading_day"))
 
 
-def with_calendar_flags(df: DataFrame, date_col: str) -> DataFrame:
-    """Per-row holiday / trading-day / previous-trading-day columns (pure expressions)."""
-    d = F.col(date_col).cast("date")
-    return df.withColumns({
-        "is_holiday": C.is_holiday(d),
-        "is_trading_day": C.is_trading_day(d),
-        "last_trading_day": C.last_trading_day(d),
-    })
+# A calendar covering more days than this is not broadcast (about 550 years).
+MAX_CALENDAR_DAYS = 200_000
+
+
+def trading_calendar(spark, start, end, observe_saturday_new_year: bool = False) -> DataFrame:
+    """Calendar over [start, end] with ``last_trading_day`` and ``target_day`` per date.
+
+    Evaluated once per calendar day (not per fact row): the previous trading day is
+    a 14-row look-back window over the dense calendar, and the collection target day
+    a self-lookup of that column. The window has no partition key, which is safe
+    because the frame is bounded by the date span.
+    """
+    s = _date(start)
+    # margin: target_day of the first date looks up last_trading_day at >= s - 18, whose
+    # own 14-row look-back must be complete -> start the calendar 40 days early
+    cal = calendar_frame(spark, F.date_sub(s, 40), end, observe_saturday_new_year)
+    back = Window.orderBy("date").rowsBetween(-C.MAX_DAYS_BACK, -1)
+    cal = cal.withColumn("last_trading_day", F.coalesce(
+        F.max(F.when(F.col("is_trading_day"), F.col("date"))).over(back),
+        F.date_sub("date", C.MAX_DAYS_BACK + 1)))
+    # target day: when ltd is within 2 days, the last trading day before (ltd - 3)
+    prev = cal.select(F.col("date").alias("_d"), F.col("last_trading_day").alias("_ltd2"))
+    cal = (cal.join(prev, F.date_sub(F.col("last_trading_day"), 3) == F.col("_d"), "left")
+           .withColumn("target_day", F.when(F.col("last_trading_day") >= F.date_sub("date", 2),
+                                            F.col("_ltd2"))
+                       .otherwise(F.col("last_trading_day")))
+           .drop("_d", "_ltd2"))
+    return cal.filter(F.col("date") >= s)
+
+
+def with_calendar_flags(df: DataFrame, date_col: str,
+                        max_days: int = MAX_CALENDAR_DAYS) -> DataFrame:
+    """Holiday / trading-day / last-trading-day / target-day columns for every row.
+
+    The calendar over the data's own date span (scalar subqueries, no driver
+    round-trip) is joined on the date; it is broadcast after checking that the span
+    stays within ``max_days`` days, otherwise the planner picks the join.
+    """
+    from .joins import broadcast_if_bounded
+    d = F.to_date(F.col(date_col))
+    span = df.select(d.alias("_d"))
+    cal = trading_calendar(df.sparkSession, span.select(F.min("_d")).scalar(),
+                           span.select(F.max("_d")).scalar())
+    cal = broadcast_if_bounded(cal.withColumnRenamed("date", "_cal_date"), max_days)
+    return (df.join(cal, d == F.col("_cal_date"), "left")
+            .drop("_cal_date", "weekday"))
 
 
 def missing_days(daily: DataFrame, start, end, weekdays_only: bool = True) -> DataFrame:

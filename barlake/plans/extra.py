@@ -86,8 +86,8 @@ reg("cal_good_friday", with_ctes("gf") + """SELECT year, good_friday FROM gf
 
 reg("cal_trading_days", with_ctes("odates", "ocal") + """SELECT o.date, c.is_holiday, c.is_trading_day
     FROM odates o JOIN ocal c ON o.date = c.date""")(
-    lambda s, d: _order_dates(s, d).select("date", C.is_holiday("date").alias("is_holiday"),
-                                           C.is_trading_day("date").alias("is_trading_day")))
+    lambda s, d: CO.with_calendar_flags(_order_dates(s, d), "date").select("date", "is_holiday",
+                                                                           "is_trading_day"))
 
 reg("cal_holidays", with_ctes("ocal") + """SELECT date, is_trading_day FROM ocal
     WHERE is_holiday AND date >= (SELECT min(CAST(o_orderdate AS DATE)) FROM orders)""")(
@@ -98,12 +98,12 @@ reg("cal_holidays", with_ctes("ocal") + """SELECT date, is_trading_day FROM ocal
 
 reg("cal_prev_trading_day", with_ctes("odates", "ocal") + f"""SELECT o.date, {_prev('o.date')} AS last_trading_day
     FROM odates o""")(
-    lambda s, d: _order_dates(s, d).select("date", C.last_trading_day("date").alias("last_trading_day")))
+    lambda s, d: CO.with_calendar_flags(_order_dates(s, d), "date").select("date", "last_trading_day"))
 
 reg("cal_target_day", with_ctes("odates", "ocal") + f"""SELECT date, CASE WHEN ltd >= date - 2
         THEN {_prev('(ltd - 3)')} ELSE ltd END AS target_day
     FROM (SELECT o.date, {_prev('o.date')} AS ltd FROM odates o) t""")(
-    lambda s, d: _order_dates(s, d).select("date", C.target_collection_day("date").alias("target_day")))
+    lambda s, d: CO.with_calendar_flags(_order_dates(s, d), "date").select("date", "target_day"))
 
 reg("q_missing_days", with_ctes("daily") + f"""SELECT s.symbol, CAST(g.d AS DATE) AS expected_date,
         'Missing' AS status

@@ -108,3 +108,14 @@ def test_missing_days_gap_expansion(spark):
             if dd.weekday() < 5 and d not in present:
                 exp.add((s, dd))
     assert got == exp
+
+
+def test_calendar_join_equals_expressions(spark):
+    from barlake.operators.calendar_ops import with_calendar_flags
+    days = calendar_frame(spark, "2019-12-01", "2025-01-31").select("date")
+    got = with_calendar_flags(days, "date")
+    exp = days.select("date", C.is_holiday("date").alias("h"), C.is_trading_day("date").alias("t"),
+                      C.last_trading_day("date").alias("l"), C.target_collection_day("date").alias("g"))
+    a = {r.date: (r.is_holiday, r.is_trading_day, r.last_trading_day, r.target_day) for r in got.collect()}
+    b = {r.date: (r.h, r.t, r.l, r.g) for r in exp.collect()}
+    assert a == b
