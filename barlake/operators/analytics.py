@@ -214,77 +214,115 @@ def sector(daily: DataFrame, universe, asof=None, days: int = 30) -> DataFrame:
             .orderBy(F.col("trade_date").desc(), "symbol"))
 
 
-def _gram_partials(k: int):
-    """Per-partition pairwise sufficient statistics of a (dates x k) return matrix."""
+GRAM_STATS = ("rows", "n", "sx", "sy", "sxx", "syy", "sxy")
+GRAM_CHUNK = 65536   # pairs per reduce group: bounds the memory of every reduce task
+
+
+def _gram_partials(batches):
+    """Per-partition pairwise sufficient statistics of the (dates x k) return matrix.
+
+    Each input row is one date: ``k`` (universe size), index array ``ix`` and centred
+    returns ``xs`` (NaN for a NULL return). The partition's dates are densified and
+    reduced to Gram matrices; their upper triangles are emitted as fixed-size array
+    chunks (one row per chunk), so no per-pair rows leave the partition.
+    """
     import numpy as np
     import pandas as pd
 
+    acc, k = None, None
+    for pdf in batches:
+        if pdf.empty:
+            continue
+        k = int(pdf["k"].iloc[0])
+        rows = len(pdf)
+        present = np.zeros((rows, k))
+        x = np.full((rows, k), np.nan)
+        lens = pdf["ix"].map(len).to_numpy()
+        r = np.repeat(np.arange(rows), lens)
+        c = np.concatenate(pdf["ix"].to_numpy()).astype("int64")
+        present[r, c] = 1.0
+        x[r, c] = np.concatenate(pdf["xs"].to_numpy()).astype("float64")
+        valid = ~np.isnan(x)
+        v = valid.astype("float64")
+        x0 = np.where(valid, x, 0.0)
+        xv = x0.T @ v                    # sx = xv[i, j], sy = xv[j, i]
+        x2v = (x0 * x0).T @ v            # sxx = x2v[i, j], syy = x2v[j, i]
+        part = [present.T @ present, v.T @ v, xv, xv.T, x2v, x2v.T, x0.T @ x0]
+        acc = part if acc is None else [a + b for a, b in zip(acc, part)]
+    if acc is None:
+        return
     iu, ju = np.triu_indices(k, 1)
+    flat = [m[iu, ju] for m in acc]
+    starts = np.arange(0, len(iu), GRAM_CHUNK)
+    out = {"chunk": starts // GRAM_CHUNK, "k": np.full(len(starts), k)}
+    for nm, f in zip(GRAM_STATS, flat):
+        out[nm] = [f[s0:s0 + GRAM_CHUNK] for s0 in starts]
+    yield pd.DataFrame(out)
+
+
+def _gram_reduce(pdf):
+    """Sum one chunk's partial statistics over all partitions; emit pairs seen together."""
+    import numpy as np
+    import pandas as pd
+
+    k, chunk = int(pdf["k"].iloc[0]), int(pdf["chunk"].iloc[0])
+    sums = {nm: np.sum(np.stack(pdf[nm].to_numpy()), axis=0) for nm in GRAM_STATS}
+    iu, ju = np.triu_indices(k, 1)
+    sl = slice(chunk * GRAM_CHUNK, chunk * GRAM_CHUNK + len(sums["rows"]))
+    keep = sums["rows"] > 0
+    out = {"i": iu[sl][keep].astype("int32"), "j": ju[sl][keep].astype("int32")}
+    out.update({nm: sums[nm][keep] for nm in GRAM_STATS})
+    return pd.DataFrame(out)
+
 
-    def fn(batches):
-        acc = None
-        for pdf in batches:
-            x = pdf[[f"x{i}" for i in range(k)]].to_numpy(dtype="float64", na_value=np.nan)
-            present = (pdf[[f"n{i}" for i in range(k)]].fillna(0).to_numpy() > 0).astype("float64")
-            valid = ~np.isnan(x)
-            v = valid.astype("float64")
-            x0 = np.where(valid, x, 0.0)
-            part = [present.T @ present, v.T @ v, x0.T @ v, v.T @ x0, (x0 * x0).T @ v, v.T @ (x0 * x0),
-                    x0.T @ x0]
-            acc = part if acc is None else [a + b for a, b in zip(acc, part)]
-        if acc is None:
-            return
-        names = ["rows", "n", "sx", "sy", "sxx", "syy", "sxy"]
-        out = {"i": iu.astype("int32"), "j": ju.astype("int32")}
-        out.update({nm: m[iu, ju] for nm, m in zip(names, acc)})
-        yield pd.DataFrame(out)
-    return fn
-
-
-def correlation(daily: DataFrame, universe: Sequence[str], asof=None, days: int | None = 60,
+def correlation(daily: DataFrame, universe: Sequence[str] | None = None, asof=None, days: int | None = 60,
                 count_name: str = "observation_count") -> DataFrame:
     """J5 + A14: pairwise return correlation for ``s1 < s2`` on shared dates.
 
-    The reference self-joins on date, emitting every symbol pair per date. Here the
-    universe's returns are centred by their per-symbol mean (a k-row table), pivoted
-    to one row per date, and each partition reduces its block of dates to the
-    pairwise sufficient statistics (Gram matrices ``PᵀP``, ``XᵀV``, ``XᵀX`` ... via
-    numpy in ``mapInPandas``); one ``groupBy(i, j)`` sums the partials and Pearson's
-    formula finishes. No pair rows are emitted per date, work is linear in rows, and
-    the expression count does not grow with the universe. ``observation_count`` is
-    the number of shared dates (the join's ``count(*)``); the correlation uses the
-    dates where both returns are non-null, and is NULL below two such dates or for a
-    constant series.
+    ``universe`` is a symbol list, or ``None`` for every symbol in ``daily``.
+
+    The reference self-joins on date, emitting every symbol pair per date. Here
+    returns are centred by their per-symbol mean, symbols get dense indices in
+    symbol order (a one-row-per-symbol table), each date becomes one row holding its
+    (index, return) list, and each partition reduces its dates to pairwise Gram
+    matrices (``PᵀP``, ``XᵀV``, ``XᵀX``…, numpy inside ``mapInPandas``), emitted
+    as fixed-size chunks of the upper triangle; ``groupBy(chunk)`` sums each chunk
+    across partitions in parallel (memory per task bounded by ``GRAM_CHUNK``) and
+    Pearson's formula finishes. No pair rows are emitted per date, nothing is
+    collected to the driver, and work is linear in rows (plus k² per partition). ``observation_count`` is the number of shared
+    dates (the join's ``count(*)``); the correlation uses the dates where both
+    returns are non-null and is NULL below two such dates or for a constant series.
     """
-    syms = sorted(set(universe))
-    k = len(syms)
-    if k < 2:
-        return daily.sparkSession.createDataFrame(
-            [], f"symbol1 string, symbol2 string, correlation double, {count_name} bigint")
     a = _asof(daily, asof)
-    d = trailing(daily, a, days).filter(F.col("symbol").isin(syms)).select("symbol", "trade_date",
-                                                                          "daily_return")
-    # per-symbol means: at most k rows (bounded by the universe argument) -> broadcast
-    means = d.groupBy("symbol").agg(F.avg("daily_return").alias("_m"))
-    x = d.join(F.broadcast(means), "symbol").withColumn("x", F.col("daily_return") - F.col("_m"))
-    wide = (x.groupBy("trade_date").pivot("symbol", syms)
-            .agg(F.first("x").alias("x"), F.count(F.lit(1)).alias("n")))
-    wide = wide.select(*[F.col(f"`{s}_x`").alias(f"x{i}") for i, s in enumerate(syms)],
-                       *[F.col(f"`{s}_n`").alias(f"n{i}") for i, s in enumerate(syms)])
-    schema = "i int, j int, rows double, n double, sx double, sy double, sxx double, syy double, sxy double"
-    parts = wide.mapInPandas(_gram_partials(k), schema)
-    tot = parts.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in
-                                        ("rows", "n", "sx", "sy", "sxx", "syy", "sxy")])
+    d = trailing(daily, a, days)
+    if universe is not None:
+        d = d.filter(F.col("symbol").isin(sorted(set(universe))))
+    d = d.select("symbol", "trade_date", "daily_return")
+    # one row per symbol: dense index in symbol order (the ordering defines s1 < s2)
+    # and the centring mean; sized by the universe, not by the number of rows
+    syms = (d.groupBy("symbol").agg(F.avg("daily_return").alias("_m"))
+            .withColumn("_i", F.row_number().over(Window.orderBy("symbol")) - 1))
+    k = syms.select(F.count(F.lit(1))).scalar()
+    x = (d.join(syms, "symbol")
+         .select("trade_date", "_i", (F.col("daily_return") - F.col("_m")).alias("_x")))
+    per_date = (x.groupBy("trade_date")
+                .agg(F.collect_list("_i").alias("ix"), F.collect_list(F.coalesce("_x", F.lit(float("nan"))))
+                     .alias("xs"))
+                .select(k.cast("int").alias("k"), "ix", "xs"))
+    part_schema = "chunk long, k long, " + ", ".join(f"{c} array<double>" for c in GRAM_STATS)
+    pair_schema = "i int, j int, " + ", ".join(f"{c} double" for c in GRAM_STATS)
+    tot = (per_date.mapInPandas(_gram_partials, part_schema)
+           .groupBy("chunk").applyInPandas(_gram_reduce, pair_schema))
     n = F.col("n")
     cov = F.col("sxy") - F.col("sx") * F.col("sy") / n
     vx = F.col("sxx") - F.col("sx") * F.col("sx") / n
     vy = F.col("syy") - F.col("sy") * F.col("sy") / n
     corr = F.when((n >= 2) & (vx > 0) & (vy > 0), cov / F.sqrt(vx * vy))
-    names = F.array(*[F.lit(s) for s in syms])
-    out = (tot.filter(F.col("rows") > 0)
-           .select(F.element_at(names, F.col("i") + 1).alias("symbol1"),
-                   F.element_at(names, F.col("j") + 1).alias("symbol2"),
-                   corr.alias("correlation"), F.col("rows").cast("bigint").alias(count_name)))
+    names = syms.select(F.col("_i").alias("_k"), F.col("symbol").alias("_s"))
+    out = (tot.join(names.withColumnsRenamed({"_k": "i", "_s": "symbol1"}), "i")
+           .join(names.withColumnsRenamed({"_k": "j", "_s": "symbol2"}), "j")
+           .select("symbol1", "symbol2", corr.alias("correlation"),
+                   F.col("rows").cast("bigint").alias(count_name)))
     return out.orderBy(F.col("correlation").desc_nulls_last(), "symbol1", "symbol2")
 
 
