@@ -86,7 +86,7 @@ def validity_distribution(silver: DataFrame) -> DataFrame:
     """Rows per ``is_valid`` with their share of all rows (percent)."""
     g = silver.groupBy("is_valid").agg(F.count(F.lit(1)).alias("records"))
     total = F.sum("records").over(Window.partitionBy())   # over <= 2 grouped rows
-    return g.withColumn("pct", F.col("records") * 100.0 / total)
+    return g.withColumn("pct", F.try_divide(F.col("records") * 100.0, total))
 
 
 # Consistency rules of the quality notebook, by layer.
@@ -115,7 +115,7 @@ def indicator_coverage(analytics: DataFrame) -> DataFrame:
     one = analytics.agg(F.count(F.lit(1)).alias("_n"), *[F.count(c).alias(c) for c in INDICATORS])
     body = ", ".join(f"'{c}', `{c}`" for c in INDICATORS)
     return one.selectExpr(f"stack({len(INDICATORS)}, {body}) AS (indicator, non_null)", "_n").select(
-        "indicator", "non_null", (F.col("non_null") * 100.0 / F.col("_n")).alias("pct"))
+        "indicator", "non_null", F.try_divide(F.col("non_null") * 100.0, F.col("_n")).alias("pct"))
 
 
 def indicator_stats(analytics: DataFrame) -> DataFrame:
@@ -155,7 +155,8 @@ def expectation_counts(df: DataFrame, dataset: str, preds: dict[str, str]) -> Da
             .select("expectation", "dataset", "passed_records",
                     (F.col("input_records") - F.col("passed_records")).alias("failed_records"),
                     "input_records",
-                    (F.col("passed_records") * 100.0 / F.col("input_records")).alias("pass_rate_pct")))
+                    F.try_divide(F.col("passed_records") * 100.0, F.col("input_records"))
+                    .alias("pass_rate_pct")))
 
 
 def observe_expectations(df: DataFrame, name: str, preds: dict[str, str]):

@@ -94,3 +94,15 @@ def test_processing_time_trigger(spark, tmp_dir):
         q.stop()
     time.sleep(0.1)
     assert spark.read.parquet(f"{tmp_dir}/b").count() == 1
+
+
+def test_reports_on_empty_layers(spark):
+    """Percentages of empty inputs are NULL, not an ANSI divide-by-zero error."""
+    from barlake.operators.clean import SILVER_WARN_EXPECTATIONS
+    from barlake.operators.quality import expectation_counts, indicator_coverage
+    from barlake.schemas import GOLD_ANALYTICS_SCHEMA, SILVER_BARS_SCHEMA
+    empty_s = spark.createDataFrame([], SILVER_BARS_SCHEMA)
+    rows = expectation_counts(empty_s, "silver", SILVER_WARN_EXPECTATIONS).collect()
+    assert all(r.input_records == 0 for r in rows)
+    cov = indicator_coverage(spark.createDataFrame([], GOLD_ANALYTICS_SCHEMA)).collect()
+    assert all(r.pct is None for r in cov)
