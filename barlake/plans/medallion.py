@@ -19,6 +19,7 @@ from ..operators.clean import (BRONZE_DROP_EXPECTATIONS, DAILY_WARN_EXPECTATIONS
 from ..operators.daily import daily_ohlcv
 from ..operators.indicators import indicators
 from ..operators.quality import expectation_counts
+from ..session import checkpoint_dir
 
 
 @dataclass
@@ -31,9 +32,14 @@ class Layer:
 
 
 class MedallionGraph:
-    def __init__(self, sources: dict[str, DataFrame], layers: list[Layer]):
+    """``cut_lineage=True`` checkpoints every built layer into the session's
+    ``spark.checkpoint.dir`` (the cluster's shared folder), so a lost executor
+    late in a long pipeline recomputes from the last layer, not from the raw files."""
+
+    def __init__(self, sources: dict[str, DataFrame], layers: list[Layer], cut_lineage: bool = False):
         self.sources = dict(sources)
         self.layers = {lay.name: lay for lay in layers}
+        self.cut_lineage = cut_lineage
         self._built: dict[str, DataFrame] = {}
 
     def read(self, name: str) -> DataFrame:
@@ -44,6 +50,9 @@ class MedallionGraph:
             df = lay.fn(*[self.read(i) for i in lay.inputs])
             if lay.expect_or_drop:
                 df = expect_or_drop(df, expectations(lay.expect_or_drop))
+            if self.cut_lineage:
+                checkpoint_dir(df.sparkSession)
+                df = df.checkpoint(eager=True)
             self._built[name] = df
         return self._built[name]
 
@@ -62,9 +71,9 @@ class MedallionGraph:
         return out
 
 
-def market_graph(raw_bronze: DataFrame, run_ts=None) -> MedallionGraph:
+def market_graph(raw_bronze: DataFrame, run_ts=None, cut_lineage: bool = False) -> MedallionGraph:
     """The reference pipeline's four layers with their expectations."""
-    return MedallionGraph({"landing": raw_bronze}, [
+    return MedallionGraph({"landing": raw_bronze}, cut_lineage=cut_lineage, layers=[
         Layer("bronze_bars", lambda r: r, ("landing",), expect_or_drop=BRONZE_DROP_EXPECTATIONS),
         Layer("silver_bars", lambda b: clean_bronze_to_silver(b, run_ts), ("bronze_bars",),
               expect=SILVER_WARN_EXPECTATIONS),
