@@ -86,3 +86,16 @@ def file_size_report(spark: SparkSession, path: str) -> DataFrame:
             .option("pathGlobFilter", "*.parquet").load(path)
             .select("path", "length", "modificationTime")
             .orderBy(F.col("length").desc()))
+
+
+def save_bucketed(df: DataFrame, name: str, buckets: int, key: str = "symbol", sort_col: str = "trade_date") -> None:
+    """Store a gold table bucketed by ``key`` and sorted by ``sort_col`` within buckets.
+
+    Two tables bucketed the same way (daily and analytics with equal ``buckets``) join
+    on (symbol, trade_date) without any shuffle, and per-symbol windows over either
+    need no exchange either: the hash layout is read from the catalog. The join
+    reuses a layout on a subset of its keys only with
+    ``spark.sql.requireAllClusterKeysForCoPartition=false``.
+    """
+    (df.write.mode("overwrite").format("parquet").bucketBy(buckets, key).sortBy(key, sort_col)
+     .saveAsTable(name))

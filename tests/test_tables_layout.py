@@ -106,3 +106,27 @@ def test_reports_on_empty_layers(spark):
     assert all(r.input_records == 0 for r in rows)
     cov = indicator_coverage(spark.createDataFrame([], GOLD_ANALYTICS_SCHEMA)).collect()
     assert all(r.pct is None for r in cov)
+
+
+def test_bucketed_gold_join_is_shuffle_free(spark, tmp_dir):
+    from barlake.operators.analytics import join_gold
+    from barlake.operators.indicators import indicators
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS barlake_b LOCATION '{tmp_dir}/wb'")
+    daily = spark.createDataFrame(
+        [(f"S{i % 7}", datetime(2024, 1, 1 + i // 7), 1.0, 2.0, 0.5, 1.0 + i, 10, 1, 0.1, 1.5, 1.25,
+          datetime(2024, 3, 1)) for i in range(140)],
+        "symbol string, trade_date timestamp_ntz, open double, high double, low double, close double, "
+        "volume bigint, num_bars int, daily_return double, price_range double, avg_price double, "
+        "updated_timestamp timestamp_ntz")
+    TB.save_bucketed(daily, "barlake_b.daily", 4)
+    TB.save_bucketed(indicators(spark.table("barlake_b.daily"), "2024-03-01 00:00:00"), "barlake_b.analytics", 4)
+    j = join_gold(spark.table("barlake_b.daily"), spark.table("barlake_b.analytics"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
+    try:
+        plan = j._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+        assert j.count() == 140
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.requireAllClusterKeysForCoPartition")
