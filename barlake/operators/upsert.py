@@ -81,10 +81,18 @@ def prune_partitions(table: DataFrame, partition_col: str, values: DataFrame,
     return table.join(values.select(partition_col).distinct(), partition_col, "left_semi")
 
 
-def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame | None:
-    """The table at ``path``, or None when nothing was written there yet."""
+def read_table(spark: SparkSession, path: str, fmt: str = "parquet",
+               merge_schema: bool = False) -> DataFrame | None:
+    """The table at ``path``, or None when nothing was written there yet.
+
+    ``merge_schema=True`` reconciles parquet files written with evolving schemas
+    (S9: columns missing from older files read as NULL).
+    """
     try:
-        return spark.read.format(fmt).load(path)
+        r = spark.read.format(fmt)
+        if merge_schema:
+            r = r.option("mergeSchema", "true")
+        return r.load(path)
     except Exception as e:  # noqa: BLE001
         if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
             return None

@@ -70,3 +70,13 @@ def test_snapshot_asof(spark):
     assert snapshot_asof(df, "2024-01-02 13:00:00").collect()[0].close == 1.0
     assert snapshot_asof(df, "2024-01-02 15:00:00").collect()[0].close == 2.0
     assert F  # noqa
+
+
+def test_append_with_schema_evolution_on_disk(spark, tmp_dir):
+    old = spark.createDataFrame([("A", 1.0)], "symbol string, close double")
+    new = spark.createDataFrame([("B", 2.0, "20240102")], "symbol string, close double, batch_id string")
+    old.write.mode("append").parquet(f"{tmp_dir}/ev")
+    new.write.mode("append").parquet(f"{tmp_dir}/ev")
+    got = sorted(tuple(r) for r in read_table(spark, f"{tmp_dir}/ev", merge_schema=True)
+                 .select("symbol", "close", "batch_id").collect())
+    assert got == [("A", 1.0, None), ("B", 2.0, "20240102")]
