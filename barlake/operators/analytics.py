@@ -215,7 +215,9 @@ def sector(daily: DataFrame, universe, asof=None, days: int = 30) -> DataFrame:
 
 
 GRAM_STATS = ("rows", "n", "sx", "sy", "sxx", "syy", "sxy")
-GRAM_CHUNK = 65536   # pairs per reduce group: bounds the memory of every reduce task
+GRAM_CHUNK = 65536        # pairs per reduce group: bounds the memory of every reduce task
+GRAM_BLOCK_CELLS = 1 << 24  # dense (dates x k) block per step: <= 128 MB of doubles
+GRAM_MAX_UNIVERSE = 4000    # seven k x k float64 accumulators: <= 0.9 GB per task
 
 
 def _gram_partials(batches):
@@ -230,25 +232,31 @@ def _gram_partials(batches):
     import pandas as pd
 
     acc, k = None, None
-    for pdf in batches:
-        if pdf.empty:
+    for batch in batches:
+        if batch.empty:
             continue
-        k = int(pdf["k"].iloc[0])
-        rows = len(pdf)
-        present = np.zeros((rows, k))
-        x = np.full((rows, k), np.nan)
-        lens = pdf["ix"].map(len).to_numpy()
-        r = np.repeat(np.arange(rows), lens)
-        c = np.concatenate(pdf["ix"].to_numpy()).astype("int64")
-        present[r, c] = 1.0
-        x[r, c] = np.concatenate(pdf["xs"].to_numpy()).astype("float64")
-        valid = ~np.isnan(x)
-        v = valid.astype("float64")
-        x0 = np.where(valid, x, 0.0)
-        xv = x0.T @ v                    # sx = xv[i, j], sy = xv[j, i]
-        x2v = (x0 * x0).T @ v            # sxx = x2v[i, j], syy = x2v[j, i]
-        part = [present.T @ present, v.T @ v, xv, xv.T, x2v, x2v.T, x0.T @ x0]
-        acc = part if acc is None else [a + b for a, b in zip(acc, part)]
+        k = int(batch["k"].iloc[0])
+        if k > GRAM_MAX_UNIVERSE:
+            raise ValueError(f"correlation universe of {k} symbols exceeds {GRAM_MAX_UNIVERSE}; "
+                             "pass a universe list")
+        step = max(1, GRAM_BLOCK_CELLS // max(k, 1))
+        for s0 in range(0, len(batch), step):
+            pdf = batch.iloc[s0:s0 + step]
+            rows = len(pdf)
+            present = np.zeros((rows, k))
+            x = np.full((rows, k), np.nan)
+            lens = pdf["ix"].map(len).to_numpy()
+            r = np.repeat(np.arange(rows), lens)
+            c = np.concatenate(pdf["ix"].to_numpy()).astype("int64")
+            present[r, c] = 1.0
+            x[r, c] = np.concatenate(pdf["xs"].to_numpy()).astype("float64")
+            valid = ~np.isnan(x)
+            v = valid.astype("float64")
+            x0 = np.where(valid, x, 0.0)
+            xv = x0.T @ v                    # sx = xv[i, j], sy = xv[j, i]
+            x2v = (x0 * x0).T @ v            # sxx = x2v[i, j], syy = x2v[j, i]
+            part = [present.T @ present, v.T @ v, xv, xv.T, x2v, x2v.T, x0.T @ x0]
+            acc = part if acc is None else [a + b for a, b in zip(acc, part)]
     if acc is None:
         return
     iu, ju = np.triu_indices(k, 1)
