@@ -215,76 +215,114 @@ def sector(daily: DataFrame, universe, asof=None, days: int = 30) -> DataFrame:
 
 
 GRAM_STATS = ("rows", "n", "sx", "sy", "sxx", "syy", "sxy")
-GRAM_CHUNK = 65536        # pairs per reduce group: bounds the memory of every reduce task
-GRAM_BLOCK_CELLS = 1 << 24  # dense (dates x k) block per step: <= 128 MB of doubles
-GRAM_MAX_UNIVERSE = 4000    # seven k x k float64 accumulators: <= 0.9 GB per task
+GRAM_CHUNK = 65536          # pairs per reduce group: bounds the memory of every reduce task
+GRAM_BLOCK = 2000           # symbols per block: seven block x block accumulators <= 224 MB
+GRAM_BLOCK_CELLS = 1 << 24  # dense (dates x block) slice per step: <= 128 MB of doubles
 
 
-def _gram_partials(batches):
+def _block_pairs(k: int, bi: int, bj: int, block: int):
+    """Global (i, j) of the flattened statistics of block pair (bi, bj): the upper
+    triangle on the diagonal, the full rectangle off it (always i < j)."""
+    import numpy as np
+    lo_i, lo_j = bi * block, bj * block
+    ni, nj = min(block, k - lo_i), min(block, k - lo_j)
+    if bi == bj:
+        a, b = np.triu_indices(ni, 1)
+    else:
+        a, b = (g.ravel() for g in np.meshgrid(np.arange(ni), np.arange(nj), indexing="ij"))
+    return a, b, lo_i + a, lo_j + b
+
+
+def _dense(rows, cols, vals, r0, r1, c0, c1):
+    """Presence and value matrices of rows [r0, r1) x symbols [c0, c1) from triplets."""
+    import numpy as np
+    m = (rows >= r0) & (rows < r1) & (cols >= c0) & (cols < c1)
+    present = np.zeros((r1 - r0, c1 - c0))
+    x = np.full((r1 - r0, c1 - c0), np.nan)
+    present[rows[m] - r0, cols[m] - c0] = 1.0
+    x[rows[m] - r0, cols[m] - c0] = vals[m]
+    valid = ~np.isnan(x)
+    return present, valid.astype("float64"), np.where(valid, x, 0.0)
+
+
+def _gram_partials(block: int = GRAM_BLOCK, chunk: int = GRAM_CHUNK, cells: int = GRAM_BLOCK_CELLS):
     """Per-partition pairwise sufficient statistics of the (dates x k) return matrix.
 
     Each input row is one date: ``k`` (universe size), index array ``ix`` and centred
-    returns ``xs`` (NaN for a NULL return). The partition's dates are densified and
-    reduced to Gram matrices; their upper triangles are emitted as fixed-size array
-    chunks (one row per chunk), so no per-pair rows leave the partition.
+    returns ``xs`` (NaN for a NULL return). The partition's (date, symbol, return)
+    triplets are kept sparse; for every pair of symbol blocks the dates are densified
+    slice by slice and reduced to Gram matrices (``PᵀP``, ``VᵀV``, ``XᵀV``, ``X²ᵀV``,
+    ``XᵀX``), whose flattened statistics leave as fixed-size chunks keyed by
+    (block_i, block_j, chunk) — memory per task is bounded for any universe size.
+    Sizes are captured by the returned closure (shipped to the workers by value).
     """
-    import numpy as np
-    import pandas as pd
-
-    acc, k = None, None
-    for batch in batches:
-        if batch.empty:
-            continue
-        k = int(batch["k"].iloc[0])
-        if k > GRAM_MAX_UNIVERSE:
-            raise ValueError(f"correlation universe of {k} symbols exceeds {GRAM_MAX_UNIVERSE}; "
-                             "pass a universe list")
-        step = max(1, GRAM_BLOCK_CELLS // max(k, 1))
-        for s0 in range(0, len(batch), step):
-            pdf = batch.iloc[s0:s0 + step]
-            rows = len(pdf)
-            present = np.zeros((rows, k))
-            x = np.full((rows, k), np.nan)
-            lens = pdf["ix"].map(len).to_numpy()
-            r = np.repeat(np.arange(rows), lens)
-            c = np.concatenate(pdf["ix"].to_numpy()).astype("int64")
-            present[r, c] = 1.0
-            x[r, c] = np.concatenate(pdf["xs"].to_numpy()).astype("float64")
-            valid = ~np.isnan(x)
-            v = valid.astype("float64")
-            x0 = np.where(valid, x, 0.0)
-            xv = x0.T @ v                    # sx = xv[i, j], sy = xv[j, i]
-            x2v = (x0 * x0).T @ v            # sxx = x2v[i, j], syy = x2v[j, i]
-            part = [present.T @ present, v.T @ v, xv, xv.T, x2v, x2v.T, x0.T @ x0]
-            acc = part if acc is None else [a + b for a, b in zip(acc, part)]
-    if acc is None:
-        return
-    iu, ju = np.triu_indices(k, 1)
-    flat = [m[iu, ju] for m in acc]
-    starts = np.arange(0, len(iu), GRAM_CHUNK)
-    out = {"chunk": starts // GRAM_CHUNK, "k": np.full(len(starts), k)}
-    for nm, f in zip(GRAM_STATS, flat):
-        out[nm] = [f[s0:s0 + GRAM_CHUNK] for s0 in starts]
-    yield pd.DataFrame(out)
-
-
-def _gram_reduce(pdf):
+
+    def fn(batches):
+        import numpy as np
+        import pandas as pd
+
+        rows, cols, vals, k, n = [], [], [], None, 0
+        for batch in batches:
+            if batch.empty:
+                continue
+            k = int(batch["k"].iloc[0])
+            lens = batch["ix"].map(len).to_numpy()
+            rows.append(np.repeat(np.arange(n, n + len(batch)), lens))
+            cols.append(np.concatenate(batch["ix"].to_numpy()).astype("int64"))
+            vals.append(np.concatenate(batch["xs"].to_numpy()).astype("float64"))
+            n += len(batch)
+        if k is None:
+            return
+        rows, cols, vals = np.concatenate(rows), np.concatenate(cols), np.concatenate(vals)
+        nb = -(-k // block)
+        step = max(1, cells // min(k, block))
+        for bi in range(nb):
+            ci = (bi * block, min(k, (bi + 1) * block))
+            for bj in range(bi, nb):
+                cj = (bj * block, min(k, (bj + 1) * block))
+                acc = None
+                for r0 in range(0, n, step):
+                    r1 = min(n, r0 + step)
+                    pi, vi, xi = _dense(rows, cols, vals, r0, r1, *ci)
+                    pj, vj, xj = _dense(rows, cols, vals, r0, r1, *cj)
+                    part = [pi.T @ pj, vi.T @ vj, xi.T @ vj, vi.T @ xj, (xi * xi).T @ vj, vi.T @ (xj * xj),
+                            xi.T @ xj]
+                    acc = part if acc is None else [a + b for a, b in zip(acc, part)]
+                a, b, _, _ = _block_pairs(k, bi, bj, block)
+                flat = [m[a, b] for m in acc]
+                starts = np.arange(0, len(a), chunk)
+                out = {"bi": np.full(len(starts), bi), "bj": np.full(len(starts), bj),
+                       "chunk": starts // chunk, "k": np.full(len(starts), k)}
+                for nm, f in zip(GRAM_STATS, flat):
+                    # an object Series keeps one array per row (Arrow list<double>)
+                    out[nm] = pd.Series([f[s0:s0 + chunk] for s0 in starts], dtype=object)
+                yield pd.DataFrame(out)
+
+    return fn
+
+
+def _gram_reduce(block: int = GRAM_BLOCK, chunk: int = GRAM_CHUNK):
     """Sum one chunk's partial statistics over all partitions; emit pairs seen together."""
-    import numpy as np
-    import pandas as pd
 
-    k, chunk = int(pdf["k"].iloc[0]), int(pdf["chunk"].iloc[0])
-    sums = {nm: np.sum(np.stack(pdf[nm].to_numpy()), axis=0) for nm in GRAM_STATS}
-    iu, ju = np.triu_indices(k, 1)
-    sl = slice(chunk * GRAM_CHUNK, chunk * GRAM_CHUNK + len(sums["rows"]))
-    keep = sums["rows"] > 0
-    out = {"i": iu[sl][keep].astype("int32"), "j": ju[sl][keep].astype("int32")}
-    out.update({nm: sums[nm][keep] for nm in GRAM_STATS})
-    return pd.DataFrame(out)
+    def fn(pdf):
+        import numpy as np
+        import pandas as pd
+
+        k, bi, bj, c = (int(pdf[name].iloc[0]) for name in ("k", "bi", "bj", "chunk"))
+        sums = {nm: np.sum(np.stack(pdf[nm].to_numpy()), axis=0) for nm in GRAM_STATS}
+        _, _, gi, gj = _block_pairs(k, bi, bj, block)
+        sl = slice(c * chunk, c * chunk + len(sums["rows"]))
+        keep = sums["rows"] > 0
+        out = {"i": gi[sl][keep].astype("int32"), "j": gj[sl][keep].astype("int32")}
+        out.update({nm: sums[nm][keep] for nm in GRAM_STATS})
+        return pd.DataFrame(out)
+
+    return fn
 
 
 def correlation(daily: DataFrame, universe: Sequence[str] | None = None, asof=None, days: int | None = 60,
-                count_name: str = "observation_count") -> DataFrame:
+                count_name: str = "observation_count", block: int = GRAM_BLOCK, chunk: int = GRAM_CHUNK,
+                cells: int = GRAM_BLOCK_CELLS) -> DataFrame:
     """J5 + A14: pairwise return correlation for ``s1 < s2`` on shared dates.
 
     ``universe`` is a symbol list, or ``None`` for every symbol in ``daily``.
@@ -294,8 +332,9 @@ def correlation(daily: DataFrame, universe: Sequence[str] | None = None, asof=No
     symbol order (a one-row-per-symbol table), each date becomes one row holding its
     (index, return) list, and each partition reduces its dates to pairwise Gram
     matrices (``PᵀP``, ``XᵀV``, ``XᵀX``…, numpy inside ``mapInPandas``), emitted
-    as fixed-size chunks of the upper triangle; ``groupBy(chunk)`` sums each chunk
-    across partitions in parallel (memory per task bounded by ``GRAM_CHUNK``) and
+    per pair of symbol blocks, as fixed-size chunks; ``groupBy(block_i, block_j,
+    chunk)`` sums each chunk across partitions in parallel (memory per task bounded
+    by ``GRAM_BLOCK`` and ``GRAM_CHUNK`` whatever the universe size) and
     Pearson's formula finishes. No pair rows are emitted per date, nothing is
     collected to the driver, and work is linear in rows (plus k² per partition). ``observation_count`` is the number of shared
     dates (the join's ``count(*)``); the correlation uses the dates where both
@@ -317,10 +356,10 @@ def correlation(daily: DataFrame, universe: Sequence[str] | None = None, asof=No
                 .agg(F.collect_list("_i").alias("ix"), F.collect_list(F.coalesce("_x", F.lit(float("nan"))))
                      .alias("xs"))
                 .select(k.cast("int").alias("k"), "ix", "xs"))
-    part_schema = "chunk long, k long, " + ", ".join(f"{c} array<double>" for c in GRAM_STATS)
+    part_schema = "bi long, bj long, chunk long, k long, " + ", ".join(f"{c} array<double>" for c in GRAM_STATS)
     pair_schema = "i int, j int, " + ", ".join(f"{c} double" for c in GRAM_STATS)
-    tot = (per_date.mapInPandas(_gram_partials, part_schema)
-           .groupBy("chunk").applyInPandas(_gram_reduce, pair_schema))
+    tot = (per_date.mapInPandas(_gram_partials(block, chunk, cells), part_schema)
+           .groupBy("bi", "bj", "chunk").applyInPandas(_gram_reduce(block, chunk), pair_schema))
     n = F.col("n")
     cov = F.col("sxy") - F.col("sx") * F.col("sy") / n
     vx = F.col("sxx") - F.col("sx") * F.col("sx") / n
