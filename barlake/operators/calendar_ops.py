@@ -58,25 +58,29 @@ def trading_calendar(spark, start, end, observe_saturday_new_year: bool = False)
     return cal.filter(F.col("date") >= s)
 
 
-def with_calendar_flags(df: DataFrame, date_col: str,
-                        max_days: int = MAX_CALENDAR_DAYS) -> DataFrame:
+def with_calendar_flags(df: DataFrame, date_col: str, max_days: int = MAX_CALENDAR_DAYS,
+                        start=None, end=None) -> DataFrame:
     """Holiday / trading-day / last-trading-day / target-day columns for every row.
 
-    The calendar over the data's own date span (scalar subqueries, no driver
-    round-trip) is joined on the date; it is broadcast after checking that the span
-    stays within ``max_days`` days, otherwise the planner picks the join.
+    The calendar over [start, end] — by default the data's own date span (scalar
+    subqueries, no driver round-trip) — is joined on the date; it is broadcast after
+    checking that the span stays within ``max_days`` days, otherwise the planner
+    picks the join.
     """
     from .joins import broadcast_if_bounded
     d = F.to_date(F.col(date_col))
-    span = df.select(d.alias("_d"))
-    cal = trading_calendar(df.sparkSession, span.select(F.min("_d")).scalar(),
-                           span.select(F.max("_d")).scalar())
+    if start is None or end is None:
+        span = df.select(d.alias("_d"))
+        start = span.select(F.min("_d")).scalar() if start is None else start
+        end = span.select(F.max("_d")).scalar() if end is None else end
+    cal = trading_calendar(df.sparkSession, start, end)
     cal = broadcast_if_bounded(cal.withColumnRenamed("date", "_cal_date"), max_days)
     return (df.join(cal, d == F.col("_cal_date"), "left")
             .drop("_cal_date", "weekday"))
 
 
-def missing_days(daily: DataFrame, start, end, weekdays_only: bool = True) -> DataFrame:
+def missing_days(daily: DataFrame, start, end, weekdays_only: bool = True,
+                 trading_days_only: bool = False) -> DataFrame:
     """C6 + J6: expected days in [start, end] per symbol that have no row.
 
     Instead of materialising the symbol x calendar grid and anti-joining it, each
@@ -98,5 +102,9 @@ def missing_days(daily: DataFrame, start, end, weekdays_only: bool = True) -> Da
                       .alias("expected_date"))
     if weekdays_only:
         out = out.filter(F.weekday("expected_date") < 5)
+    if trading_days_only:
+        # holiday-aware: keep exchange trading days only (calendar evaluated once per day)
+        out = (with_calendar_flags(out, "expected_date", start=s, end=e)
+               .filter("is_trading_day").select("symbol", "expected_date"))
     return (out.withColumn("status", F.lit("Missing"))
             .orderBy("symbol", "expected_date"))
