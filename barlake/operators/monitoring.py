@@ -119,3 +119,17 @@ def freshness(bronze: DataFrame, silver: DataFrame, daily: DataFrame, now) -> Da
             F.lit(layer).alias("layer"), "last_update",
             F.timestamp_diff("HOUR", F.col("last_update"), n).alias("hours_since_update")))
     return reduce(DataFrame.unionByName, parts)
+
+
+def symbol_day_consistency(silver: DataFrame, daily: DataFrame) -> DataFrame:
+    """Complement to ``cross_layer`` (which compares daily rows with intraday rows):
+    per day, the symbols with valid silver bars against the symbols present in gold.
+    Both sides are per-day distinct counts, joined on the day (bounded by the calendar)."""
+    s = (silver.filter(F.col("is_valid") == 1)
+         .groupBy(F.to_date("timestamp").alias("trade_date"))
+         .agg(F.count_distinct("symbol").alias("silver_symbol_days")))
+    g = (daily.groupBy(F.to_date("trade_date").alias("trade_date"))
+         .agg(F.count(F.lit(1)).alias("gold_rows")))
+    j = s.join(g, "trade_date", "full_outer")
+    ok = F.coalesce(F.col("silver_symbol_days"), F.lit(0)) == F.coalesce(F.col("gold_rows"), F.lit(0))
+    return j.withColumn("status", F.when(ok, "OK").otherwise("Mismatch")).orderBy(F.col("trade_date").desc())

@@ -326,6 +326,15 @@ reg("mon_cross_layer", with_ctes("bronze", "silver", "daily_bars") + f"""
       ON COALESCE(b.trade_date, s.trade_date) = g.trade_date""")(
     lambda s, d: MON.cross_layer(bronze(s, d), silver(s, d), daily_bars(s, d), MON_ASOF))
 
+reg("mon_symbol_days", with_ctes("silver", "daily_bars") + """
+    SELECT COALESCE(s.trade_date, g.trade_date) AS trade_date, s.silver_symbol_days, g.gold_rows,
+        CASE WHEN coalesce(s.silver_symbol_days, 0) = coalesce(g.gold_rows, 0) THEN 'OK' ELSE 'Mismatch' END AS status
+    FROM (SELECT CAST("timestamp" AS DATE) AS trade_date, count(DISTINCT symbol) AS silver_symbol_days
+          FROM silver WHERE is_valid = 1 GROUP BY 1) s
+    FULL OUTER JOIN (SELECT CAST(trade_date AS DATE) AS trade_date, count(*) AS gold_rows
+          FROM daily_bars GROUP BY 1) g ON s.trade_date = g.trade_date""")(
+    lambda s, d: MON.symbol_day_consistency(silver(s, d), daily_bars(s, d)))
+
 reg("mon_alerts", with_ctes("silver") + f"""SELECT * FROM (SELECT CAST(processed_timestamp AS DATE) AS process_date,
     avg(quality_score) AS avg_quality,
     CAST(sum(CASE WHEN is_valid = 0 THEN 1 ELSE 0 END) AS BIGINT) AS invalid_count
