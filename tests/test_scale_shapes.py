@@ -55,7 +55,7 @@ def test_graph_cut_lineage_same_result(spark):
 def test_correlation_blocked_equals_single_block(spark):
     """Block-pair decomposition (tiny blocks) gives the same matrix as one block."""
     from datetime import datetime, timedelta
-    import barlake.operators.analytics as Q
+    import barlake.operators.correlation as Q
     rows = []
     for s in range(7):
         for d in range(40):
