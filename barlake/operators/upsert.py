@@ -58,7 +58,8 @@ def upsert_path(spark: SparkSession, source: DataFrame, path: str, keys: Sequenc
             parts = parts.unionByName(deletes.select(partition_col))
         touched = prune_partitions(current, partition_col, parts)
         merged = upsert(touched, source.select(*current.columns), keys, deletes=deletes)
-    (merged.repartition(partition_col).write.mode("overwrite")
+    # REBALANCE (not repartition): AQE splits a hot day into several write tasks
+    (merged.hint("rebalance", partition_col).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).format(fmt).save(path))
 
 
@@ -114,10 +115,12 @@ def append_evolve(target: DataFrame, new_rows: DataFrame) -> DataFrame:
 def cluster_rewrite(df: DataFrame, cols: Sequence[str], num_partitions: int | None = None) -> DataFrame:
     """Range-cluster rows on ``cols`` so parquet min/max statistics skip files.
 
-    ``repartitionByRange`` samples the key distribution (no driver collect of data)
-    and splits hot ranges across partitions; rows are then sorted inside each
-    partition. Write the result with any file sink.
+    ``repartitionByRange`` samples the key distribution (no driver collect of data);
+    rows are then sorted inside each partition. Write the result with any file sink.
     """
     cols = list(cols)
     n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
+    # a deterministic per-row hash as the last range key lets one hot key value
+    # span several ranges instead of landing in a single partition
+    tie = F.xxhash64(*[F.col(c) for c in df.columns])
+    return df.repartitionByRange(n, *[F.col(c) for c in cols], tie).sortWithinPartitions(*cols)

@@ -22,7 +22,7 @@ def write_landing(bronze_like: DataFrame, path: str) -> None:
     raw = bronze_like.select(
         "symbol", F.date_format("timestamp", TS_FORMAT).alias("timestamp"),
         "open", "high", "low", "close", "volume", "batch_id")
-    (raw.repartition("batch_id").write.mode("overwrite")
+    (raw.hint("rebalance", "batch_id").write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").json(path))
 
 

@@ -70,3 +70,14 @@ def test_correlation_blocked_equals_single_block(spark):
                                     r.observation_count)
            for r in Q.correlation(daily, None, days=None, block=3, chunk=4, cells=8).collect()}
     assert len(one) == 21 and one == blk
+
+
+def test_cluster_rewrite_splits_hot_key(spark):
+    from barlake.operators.upsert import cluster_rewrite
+    df = spark.range(30_000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("HOT")).otherwise(F.concat(F.lit("S"), (F.col("id") % 50).cast("string")))
+        .alias("symbol"), F.col("id"))
+    out = cluster_rewrite(df, ["symbol"], 8)
+    per_part = out.where(F.col("symbol") == "HOT").groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert len(per_part) > 1 and sum(r["count"] for r in per_part) == 10_000
+    assert out.count() == 30_000
