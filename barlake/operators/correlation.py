@@ -142,14 +142,14 @@ def correlation(daily: DataFrame, universe: Sequence[str] | None = None, asof=No
     # one row per symbol: dense index in symbol order (the ordering defines s1 < s2)
     # and the centring mean; sized by the universe, not by the number of rows
     syms = (d.groupBy("symbol").agg(F.avg("daily_return").alias("_m"))
-            .withColumn("_i", F.row_number().over(Window.orderBy("symbol")) - 1))
-    k = syms.select(F.count(F.lit(1))).scalar()
+            .withColumn("_i", F.row_number().over(Window.orderBy("symbol")) - 1)
+            .withColumn("_k", F.count(F.lit(1)).over(Window.partitionBy())))
     x = (d.join(syms, "symbol")
-         .select("trade_date", "_i", (F.col("daily_return") - F.col("_m")).alias("_x")))
+         .select("trade_date", "_i", "_k", (F.col("daily_return") - F.col("_m")).alias("_x")))
     per_date = (x.groupBy("trade_date")
-                .agg(F.collect_list("_i").alias("ix"), F.collect_list(F.coalesce("_x", F.lit(float("nan"))))
-                     .alias("xs"))
-                .select(k.cast("int").alias("k"), "ix", "xs"))
+                .agg(F.first("_k").cast("int").alias("k"), F.collect_list("_i").alias("ix"),
+                     F.collect_list(F.coalesce("_x", F.lit(float("nan")))).alias("xs"))
+                .select("k", "ix", "xs"))
     part_schema = "bi long, bj long, chunk long, k long, " + ", ".join(f"{c} array<double>" for c in GRAM_STATS)
     pair_schema = "i int, j int, " + ", ".join(f"{c} double" for c in GRAM_STATS)
     tot = (per_date.mapInPandas(_gram_partials(block, chunk, cells), part_schema)
