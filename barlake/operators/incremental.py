@@ -10,15 +10,17 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .clean import ts_lit
 from .daily import daily_ohlcv, day_of
-from .indicators import indicators
+from .indicators import SMA_WINDOWS, VOLATILITY_ROWS, indicators
 from .upsert import upsert
 
 DAY_KEYS = ["symbol", "trade_date"]
+# rows of history a recomputed indicator row needs before it (the widest rolling frame)
+LOOKBACK_ROWS = max(*SMA_WINDOWS, VOLATILITY_ROWS) - 1
 
 
 def incremental_bronze(bronze: DataFrame, last_ts=None, batch_ids: Sequence[str] | None = None) -> DataFrame:
@@ -95,12 +97,23 @@ def refresh_indicators(daily_all: DataFrame, analytics_target: DataFrame | None,
                        run_ts=None) -> DataFrame:
     """Recompute indicators of every row at or after each symbol's earliest touched day.
 
-    The affected symbols' full series are windowed (rows per symbol are bounded by
-    trading days), so every recomputed row sees its complete 50-row history.
+    Each affected symbol's series is cut at the ``LOOKBACK_ROWS`` rows preceding its
+    first touched day (found by a row_number over the two key columns only), so every
+    recomputed row still sees its complete rolling frames while the expensive
+    sliding-window pass covers only recent rows instead of the full history.
     """
     first = touched.groupBy("symbol").agg(F.min("trade_date").alias("_from"))
-    series = daily_all.join(first.select("symbol"), "symbol", "left_semi")
-    fresh = (indicators(series, run_ts).join(first, "symbol")
+    keys = daily_all.select("symbol", "trade_date").join(first, "symbol")
+    newest_first = Window.partitionBy("symbol").orderBy(F.col("trade_date").desc())
+    cut = (keys.filter(F.col("trade_date") < F.col("_from"))
+           .withColumn("_rn", F.row_number().over(newest_first))
+           .filter(F.col("_rn") <= LOOKBACK_ROWS)
+           .groupBy("symbol").agg(F.min("trade_date").alias("_cut")))
+    bounds = first.join(cut, "symbol", "left").select(
+        "symbol", "_from", F.coalesce(F.col("_cut"), F.col("_from")).alias("_cut"))
+    series = (daily_all.join(bounds, "symbol").filter(F.col("trade_date") >= F.col("_cut"))
+              .drop("_from", "_cut"))
+    fresh = (indicators(series, run_ts).join(bounds.select("symbol", "_from"), "symbol")
              .filter(F.col("trade_date") >= F.col("_from")).drop("_from"))
     if analytics_target is None:
         return fresh

@@ -80,3 +80,25 @@ def test_append_with_schema_evolution_on_disk(spark, tmp_dir):
     got = sorted(tuple(r) for r in read_table(spark, f"{tmp_dir}/ev", merge_schema=True)
                  .select("symbol", "close", "batch_id").collect())
     assert got == [("A", 1.0, None), ("B", 2.0, "20240102")]
+
+
+def test_refresh_indicators_bounded_lookback_equals_full(spark):
+    from datetime import timedelta
+    from barlake.operators.incremental import refresh_indicators
+    from barlake.operators.indicators import indicators
+    rows = []
+    for s, n in (("A", 120), ("B", 30), ("C", 80)):
+        for i in range(n):
+            c = 100.0 + ((i * 37 + len(s) * 11) % 17) - 0.3 * i
+            rows.append((s, datetime(2024, 1, 1) + timedelta(days=i), c, c + 1, c - 1, c, 10, 1,
+                         ((i * 13) % 7 - 3) / 100.0, 2.0, c, P))
+    daily = spark.createDataFrame(rows, GOLD_DAILY_OHLCV_SCHEMA)
+    touched = spark.createDataFrame([("A", datetime(2024, 1, 1) + timedelta(days=100)),
+                                     ("B", datetime(2024, 1, 1) + timedelta(days=3))],
+                                    "symbol string, trade_date timestamp_ntz")
+    got = refresh_indicators(daily, None, touched, "2024-03-01 00:00:00")
+    full = indicators(daily, "2024-03-01 00:00:00")
+    exp = full.filter(((F.col("symbol") == "A") & (F.col("trade_date") >= datetime(2024, 4, 10)))
+                      | ((F.col("symbol") == "B") & (F.col("trade_date") >= datetime(2024, 1, 4))))
+    assert got.count() == 20 + 27
+    assert sorted(got.collect()) == sorted(exp.collect())
