@@ -57,6 +57,11 @@ def test_query_matches_oracle(spark, con, name):
     ocols = [c[0] for c in cur.description]
     orows = cur.fetchall()
     assert sorted(cols) == sorted(ocols)
+    duck_to_spark = {"DOUBLE": "double", "BIGINT": "bigint", "INTEGER": "int", "VARCHAR": "string",
+                     "TIMESTAMP": "timestamp_ntz", "DATE": "date", "BOOLEAN": "boolean"}
+    stypes = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    otypes = dict(zip(ocols, [str(t) for t in con.sql(E.oracle_sql()[name]).types]))
+    assert {c: duck_to_spark.get(t, t) for c, t in otypes.items()} == stypes
     order = sorted(cols)
     a = sorted(tuple(_norm(r[cols.index(c)]) for c in order) for r in rows)
     b = sorted(tuple(_norm(r[ocols.index(c)]) for c in order) for r in orows)
