@@ -31,13 +31,16 @@ def raw_schema(with_batch: bool, with_corrupt: bool = True) -> T.StructType:
 
 
 def read_bars_stream(spark: SparkSession, path: str, array_files: bool = False,
-                     max_files_per_trigger: int | None = None) -> DataFrame:
+                     max_files_per_trigger: int | None = None, max_bytes_per_trigger: str | None = None,
+                     clean_source: str | None = None, archive_dir: str | None = None) -> DataFrame:
     """Incremental discovery of landing files.
 
     ``array_files=True``: external pretty-printed ``bars_YYYYMMDD.json`` array files
     (``multiLine``, glob filter, batch id from the file name). Otherwise the
     ``batch_id=YYYYMMDD/`` JSON-lines layout written by ``write_landing``; the
-    partition value fills ``batch_id``.
+    partition value fills ``batch_id``. ``max_files_per_trigger`` /
+    ``max_bytes_per_trigger`` bound a micro-batch; ``clean_source`` archives or
+    deletes files once their batch is committed.
     """
     r = (spark.readStream.schema(raw_schema(with_batch=not array_files))
          .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT))
@@ -45,6 +48,14 @@ def read_bars_stream(spark: SparkSession, path: str, array_files: bool = False,
         r = r.option("multiLine", True).option("pathGlobFilter", "bars_*.json")
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
+    if max_bytes_per_trigger:
+        r = r.option("maxBytesPerTrigger", max_bytes_per_trigger)
+    if clean_source:
+        # "archive" (to archive_dir) or "delete": keeps the landing listing and the
+        # source's seen-files log from growing with every file ever ingested
+        r = r.option("cleanSource", clean_source)
+        if archive_dir:
+            r = r.option("sourceArchiveDir", archive_dir)
     return r.json(path)
 
 

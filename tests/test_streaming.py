@@ -47,3 +47,24 @@ def test_array_files_layout(spark, tmp_dir):
     out = to_bronze(raw, "2024-01-03 00:00:00").collect()
     assert sorted(r.symbol for r in out) == ["AAPL", "MSFT"]
     assert {r.batch_id for r in out} == {"20240102"}
+
+
+def test_clean_source_archives_processed_files(spark, tmp_dir):
+    import time
+    from barlake.streaming.bronze import bronze_from_stream, read_bars_stream
+    land = f"{tmp_dir}/land2/batch_id=20240102"
+    os.makedirs(land)
+    for i in range(3):
+        with open(f"{land}/f{i}.json", "w") as f:
+            f.write('{"symbol":"AAPL","timestamp":"2024-01-02T1%d:00:00","open":1.0,"high":2.0,"low":0.5,'
+                    '"close":1.5,"volume":10}\n' % i)
+    raw = read_bars_stream(spark, f"{tmp_dir}/land2", max_files_per_trigger=1, clean_source="archive",
+                           archive_dir=f"{tmp_dir}/archive")
+    bronze, _ = bronze_from_stream(raw)
+    q = (bronze.writeStream.format("parquet").option("checkpointLocation", f"{tmp_dir}/ck2")
+         .trigger(availableNow=True).start(f"{tmp_dir}/b2"))
+    q.awaitTermination()
+    assert spark.read.parquet(f"{tmp_dir}/b2").count() == 3
+    time.sleep(1)
+    archived = [f for _, _, fs in os.walk(f"{tmp_dir}/archive") for f in fs if f.endswith(".json")]
+    assert len(archived) >= 1   # files of committed batches are moved out of the landing zone
