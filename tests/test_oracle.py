@@ -19,7 +19,7 @@ def _norm(v):
     if v is None:
         return "∅"
     if isinstance(v, float):
-        return "nan" if math.isnan(v) else f"{v:.6f}"
+        return "nan" if math.isnan(v) else repr(v + 0.0)   # exact
     if isinstance(v, dt.datetime):
         return v.strftime("%Y-%m-%d %H:%M:%S.%f")
     if isinstance(v, dt.date):
