@@ -113,6 +113,29 @@ def _gram_reduce(block: int = GRAM_BLOCK, chunk: int = GRAM_CHUNK):
     return fn
 
 
+def dense_index(df: DataFrame, key: str, index_col: str, count_col: str,
+                num_partitions: int | None = None) -> DataFrame:
+    """0-based dense rank of a unique ``key`` in sort order, plus the total count.
+
+    Distributed: rows are range-partitioned on ``key`` (sampled boundaries, so
+    partition p holds keys below those of p+1), ranked inside each partition, and
+    shifted by the row count of all earlier partitions — the offset table has one
+    row per partition. No task ever holds the whole key set.
+    """
+    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parted = df.repartitionByRange(n, F.col(key)).withColumn("_p", F.spark_partition_id())
+    local = parted.withColumn("_r", F.row_number().over(Window.partitionBy("_p").orderBy(key)) - 1)
+    counts = local.groupBy("_p").agg(F.count(F.lit(1)).alias("_c"))
+    offsets = counts.select(
+        "_p",
+        (F.sum("_c").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1))).alias("_o"),
+        F.sum("_c").over(Window.partitionBy()).alias(count_col))
+    # offsets: one row per partition (bounded by the partition count) -> broadcast
+    return (local.join(F.broadcast(offsets), "_p")
+            .withColumn(index_col, (F.coalesce(F.col("_o"), F.lit(0)) + F.col("_r")).cast("int"))
+            .drop("_p", "_r", "_o"))
+
+
 def correlation(daily: DataFrame, universe: Sequence[str] | None = None, asof=None, days: int | None = 60,
                 count_name: str = "observation_count", block: int = GRAM_BLOCK, chunk: int = GRAM_CHUNK,
                 cells: int = GRAM_BLOCK_CELLS) -> DataFrame:
@@ -141,9 +164,7 @@ def correlation(daily: DataFrame, universe: Sequence[str] | None = None, asof=No
     d = d.select("symbol", "trade_date", "daily_return")
     # one row per symbol: dense index in symbol order (the ordering defines s1 < s2)
     # and the centring mean; sized by the universe, not by the number of rows
-    syms = (d.groupBy("symbol").agg(F.avg("daily_return").alias("_m"))
-            .withColumn("_i", F.row_number().over(Window.orderBy("symbol")) - 1)
-            .withColumn("_k", F.count(F.lit(1)).over(Window.partitionBy())))
+    syms = dense_index(d.groupBy("symbol").agg(F.avg("daily_return").alias("_m")), "symbol", "_i", "_k")
     x = (d.join(syms, "symbol")
          .select("trade_date", "_i", "_k", (F.col("daily_return") - F.col("_m")).alias("_x")))
     per_date = (x.groupBy("trade_date")

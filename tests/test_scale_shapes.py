@@ -81,3 +81,14 @@ def test_cluster_rewrite_splits_hot_key(spark):
     per_part = out.where(F.col("symbol") == "HOT").groupBy(F.spark_partition_id().alias("p")).count().collect()
     assert len(per_part) > 1 and sum(r["count"] for r in per_part) == 10_000
     assert out.count() == 30_000
+
+
+def test_dense_index_matches_global_rank(spark):
+    from pyspark.sql import Window
+    from barlake.operators.correlation import dense_index
+    df = spark.range(5000).select(F.concat(F.lit("S"), F.lpad((F.col("id") * 7919 % 5000).cast("string"), 5, "0"))
+                                  .alias("symbol")).distinct()
+    got = {r.symbol: (r.i, r.k) for r in dense_index(df, "symbol", "i", "k", 6).collect()}
+    exp = {r.symbol: r.i for r in df.withColumn("i", F.row_number().over(Window.orderBy("symbol")) - 1).collect()}
+    assert {s: v[0] for s, v in got.items()} == exp
+    assert {v[1] for v in got.values()} == {len(exp)}
