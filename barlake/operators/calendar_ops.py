@@ -35,19 +35,15 @@ MAX_CALENDAR_DAYS = 200_000
 def trading_calendar(spark, start, end, observe_saturday_new_year: bool = False) -> DataFrame:
     """Calendar over [start, end] with ``last_trading_day`` and ``target_day`` per date.
 
-    Evaluated once per calendar day (not per fact row): the previous trading day is
-    a 14-row look-back window over the dense calendar, and the collection target day
-    a self-lookup of that column. The window has no partition key, which is safe
-    because the frame is bounded by the date span.
+    Evaluated once per calendar day (not per fact row), in parallel: the previous
+    trading day is the bounded 14-day look-back expression, and the collection
+    target day a self-lookup of that column on the calendar.
     """
     s = _date(start)
-    # margin: target_day of the first date looks up last_trading_day at >= s - 18, whose
-    # own 14-row look-back must be complete -> start the calendar 40 days early
+    # margin: target_day of the first date looks up last_trading_day at >= s - 18
+    # -> start the calendar 40 days early
     cal = calendar_frame(spark, F.date_sub(s, 40), end, observe_saturday_new_year)
-    back = Window.orderBy("date").rowsBetween(-C.MAX_DAYS_BACK, -1)
-    cal = cal.withColumn("last_trading_day", F.coalesce(
-        F.max(F.when(F.col("is_trading_day"), F.col("date"))).over(back),
-        F.date_sub("date", C.MAX_DAYS_BACK + 1)))
+    cal = cal.withColumn("last_trading_day", C.last_trading_day("date", observe_saturday_new_year))
     # target day: when ltd is within 2 days, the last trading day before (ltd - 3)
     prev = cal.select(F.col("date").alias("_d"), F.col("last_trading_day").alias("_ltd2"))
     cal = (cal.join(prev, F.date_sub(F.col("last_trading_day"), 3) == F.col("_d"), "left")
