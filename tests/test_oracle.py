@@ -73,3 +73,10 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() > 0
     assert "trade_date" in df.columns
+
+
+def test_entry_schema_is_gold_daily(spark):
+    import __spark_entry__ as E
+    from barlake.schemas import GOLD_DAILY_OHLCV_SCHEMA
+    got = [(f.name, f.dataType.simpleString()) for f in E.entry(spark).schema.fields]
+    assert got == [(f.name, f.dataType.simpleString()) for f in GOLD_DAILY_OHLCV_SCHEMA.fields]
