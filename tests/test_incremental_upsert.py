@@ -102,3 +102,11 @@ def test_refresh_indicators_bounded_lookback_equals_full(spark):
                       | ((F.col("symbol") == "B") & (F.col("trade_date") >= datetime(2024, 1, 4))))
     assert got.count() == 20 + 27
     assert sorted(got.collect()) == sorted(exp.collect())
+
+
+def test_upsert_dedups_source_by_order(spark):
+    src = spark.createDataFrame([(2, "old", "2024-01-01", 1), (2, "new", "2024-01-01", 2)],
+                                "k int, v string, d string, seq int")
+    tgt = _t(spark).withColumn("seq", F.lit(0))
+    got = sorted((r.k, r.v) for r in upsert(tgt, src, ["k"], dedup_order=["seq"]).collect())
+    assert got == [(1, "a"), (2, "new"), (3, "c")]
