@@ -65,3 +65,11 @@ def test_freshness_hours(spark):
     g = spark.createDataFrame([(datetime(2024, 2, 2, 12),)], "updated_timestamp timestamp_ntz")
     out = {r.layer: r.hours_since_update for r in MON.freshness(b, s, g, "2024-02-03 00:00:00").collect()}
     assert out == {"Bronze": 47, "Silver": 24, "Gold": 12}
+
+
+def test_completeness_exact_and_approx(spark):
+    daily = _daily(spark, [(f"S{i % 40}", datetime(2024, 1, 1) + timedelta(days=i % 25)) for i in range(1000)])
+    exact = DQ.completeness(daily, "daily", "trade_date", bars_col="num_bars").collect()[0]
+    approx = DQ.completeness(daily, "daily", "trade_date", approx=True).collect()[0]
+    assert (exact.unique_symbols, exact.unique_dates, exact.avg_bars_per_day) == (40, 25, 1.0)
+    assert abs(approx.unique_symbols - 40) <= 2 and abs(approx.unique_dates - 25) <= 2
