@@ -119,3 +119,12 @@ def test_calendar_join_equals_expressions(spark):
     a = {r.date: (r.is_holiday, r.is_trading_day, r.last_trading_day, r.target_day) for r in got.collect()}
     b = {r.date: (r.h, r.t, r.l, r.g) for r in exp.collect()}
     assert a == b
+
+
+def test_saturday_new_year_flag(spark):
+    # 2022-01-01 is a Saturday: the default rule observes Monday 3 Jan, the flag observes nothing
+    df = spark.createDataFrame([(date(2022, 1, 3),), (date(2021, 12, 31),)], "d date")
+    default = {r.d: r.h for r in df.select("d", C.is_holiday("d").alias("h")).collect()}
+    flagged = {r.d: r.h for r in df.select("d", C.is_holiday("d", observe_saturday_new_year=True).alias("h")).collect()}
+    assert default == {date(2022, 1, 3): True, date(2021, 12, 31): False}
+    assert flagged == {date(2022, 1, 3): False, date(2021, 12, 31): False}

@@ -53,3 +53,12 @@ def test_session_hours(spark):
     df = spark.createDataFrame([(t,) for t in ts], "timestamp timestamp_ntz")
     got = [r.timestamp for r in session_hours(df).orderBy("timestamp").collect()]
     assert got == ts[1:4]
+
+
+def test_session_hours_with_zone(spark):
+    from datetime import datetime
+    # 14:30 UTC = 09:30 New York (EST, January); 21:00 UTC = 16:00 -> excluded
+    ts = [datetime(2024, 1, 2, 14, 0), datetime(2024, 1, 2, 14, 30), datetime(2024, 1, 2, 21, 0)]
+    df = spark.createDataFrame([(t,) for t in ts], "timestamp timestamp_ntz")
+    got = [r.timestamp for r in session_hours(df, tz="America/New_York").collect()]
+    assert got == [datetime(2024, 1, 2, 14, 30)]
