@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barlake.llm import bpe, chat, mixing, sharding, simhash, topk, warc
+from barlake.llm import bpe, chat, edits, mixing, nbsvm, rules, sharding, simhash, topk, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -100,6 +100,26 @@ FROM turns GROUP BY conv_id
 """
 
 
+def derived_edits(docs: DataFrame) -> DataFrame:
+    """Three edits for every document, at places hashed from its id: a deletion, an insertion and a replacement."""
+    n = F.coalesce(F.char_length("text"), F.lit(0))
+    place = lambda i: F.pmod(F.xxhash64(F.lit(i), "doc_id"), n + 1).cast("int")
+    part = F.substring(F.coalesce("text", F.lit("")), 1, 40)
+    one = lambda p, d, s: F.struct(p.alias("place"), d.cast("int").alias("deleted"), s.alias("inserted"))
+    return docs.withColumn("edits", F.array(
+        one(place(1), F.pmod(F.xxhash64(F.lit("d"), "doc_id"), F.lit(30)), F.lit("")),
+        one(place(2), F.lit(0), F.concat(F.lit("'r"), part)),
+        one(place(3), F.lit(12), F.concat(F.lit(" e"), F.col("doc_id").cast("string"), F.lit("  ")))))
+
+
+@query
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = derived_edits(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return edits.count(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, edits="edits",
+                       outputs=("n_tokens", "n_tokens_edited", "n_edits", "n_pretokens", "n_reencoded"),
+                       keep=["doc_id"])
+
+
 @query
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
@@ -147,3 +167,13 @@ SELECT page_id, n::BIGINT AS payload_bytes, p.d AS payload_digest,
        CASE WHEN o <> page_id THEN o END AS refers_to
 FROM p LEFT JOIN g ON p.d = g.d AND p.n >= 100
 """
+
+
+@query
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nbsvm.classified(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
