@@ -21,6 +21,7 @@ def calendar_frame(spark, start, end, observe_saturday_new_year: bool = False) -
     the arguments, so it is safe to broadcast into joins with fact tables.
     """
     days = spark.range(1).select(F.explode(F.sequence(_date(start), _date(end))).alias("date"))
+    days = days.repartition("date")     # the rules below run in all tasks
     return days.select(
         "date",
         F.weekday("date").alias("weekday"),
@@ -28,24 +29,21 @@ def calendar_frame(spark, start, end, observe_saturday_new_year: bool = False) -
         C.is_trading_day("date", observe_saturday_new_year).alias("is_trading_day"))
 
 
-# A calendar covering more days than this is not broadcast (about 550 years).
-MAX_CALENDAR_DAYS = 200_000
-
-
 def trading_calendar(spark, start, end, observe_saturday_new_year: bool = False) -> DataFrame:
     """Calendar over [start, end] with ``last_trading_day`` and ``target_day`` per date.
 
-    Evaluated once per calendar day (not per fact row), in parallel: the previous
-    trading day is the bounded 14-day look-back expression, and the collection
-    target day a self-lookup of that column on the calendar.
+    Holiday rules are evaluated once per day. Each trading day then serves the 14 days after it, and a day's last
+    trading day is the greatest that serves it (15 days back where none does); the target day looks that up.
     """
     s = _date(start)
-    # margin: target_day of the first date looks up last_trading_day at >= s - 18
-    # -> start the calendar 40 days early
+    # the first target day looks up at most 18 days back, and that day's trading days 14 more
     cal = calendar_frame(spark, F.date_sub(s, 40), end, observe_saturday_new_year)
-    cal = cal.withColumn("last_trading_day", C.last_trading_day("date", observe_saturday_new_year))
-    # target day: when ltd is within 2 days, the last trading day before (ltd - 3)
-    prev = cal.select(F.col("date").alias("_d"), F.col("last_trading_day").alias("_ltd2"))
+    served = cal.filter("is_trading_day").select(
+        F.explode(F.sequence(F.date_add("date", 1), F.date_add("date", C.MAX_DAYS_BACK))).alias("_for"), "date")
+    served = served.groupBy("_for").agg(F.max("date").alias("_ltd"))
+    cal = cal.join(served, F.col("date") == F.col("_for"), "left").withColumn(
+        "last_trading_day", F.coalesce("_ltd", F.date_sub("date", C.MAX_DAYS_BACK + 1))).drop("_for", "_ltd")
+    prev = served.select(F.col("_for").alias("_d"), F.col("_ltd").alias("_ltd2"))
     cal = (cal.join(prev, F.date_sub(F.col("last_trading_day"), 3) == F.col("_d"), "left")
            .withColumn("target_day", F.when(F.col("last_trading_day") >= F.date_sub("date", 2),
                                             F.col("_ltd2"))
@@ -54,30 +52,27 @@ def trading_calendar(spark, start, end, observe_saturday_new_year: bool = False)
     return cal.filter(F.col("date") >= s)
 
 
-def with_calendar_flags(df: DataFrame, date_col: str, max_days: int = MAX_CALENDAR_DAYS,
-                        start=None, end=None) -> DataFrame:
+def with_calendar_flags(df: DataFrame, date_col: str, start=None, end=None) -> DataFrame:
     """Holiday / trading-day / last-trading-day / target-day columns for every row.
 
     The calendar over [start, end] — by default the data's own date span (scalar
-    subqueries, no driver round-trip) — is joined on the date; it is broadcast after
-    checking that the span stays within ``max_days`` days, otherwise the planner
-    picks the join.
+    subqueries, no driver round-trip) — is joined on the date; the planner picks the join
+    from the calendar's measured size.
     """
-    from .joins import broadcast_if_bounded
     d = F.to_date(F.col(date_col))
     if start is None or end is None:
         span = df.select(d.alias("_d"))
         start = span.select(F.min("_d")).scalar() if start is None else start
         end = span.select(F.max("_d")).scalar() if end is None else end
     cal = trading_calendar(df.sparkSession, start, end)
-    cal = broadcast_if_bounded(cal.withColumnRenamed("date", "_cal_date"), max_days)
+    cal = cal.withColumnRenamed("date", "_cal_date")
     return (df.join(cal, d == F.col("_cal_date"), "left")
             .drop("_cal_date", "weekday"))
 
 
-def missing_days(daily: DataFrame, start, end, weekdays_only: bool = True,
+def missing_days(daily: DataFrame, start=None, end=None, weekdays_only: bool = True,
                  trading_days_only: bool = False) -> DataFrame:
-    """C6 + J6: expected days in [start, end] per symbol that have no row.
+    """C6 + J6: expected days in [start, end] (default: the data's first to last day) per symbol without a row.
 
     Instead of materialising the symbol x calendar grid and anti-joining it, each
     symbol's present days are sorted once and only the *gaps* between consecutive
@@ -85,7 +80,9 @@ def missing_days(daily: DataFrame, start, end, weekdays_only: bool = True,
     ``sequence``. Work and output are proportional to rows + missing days; the
     per-symbol window holds at most one row per calendar day.
     """
-    s, e = _date(start), _date(end)
+    span = daily.select(F.to_date("trade_date").alias("d"))
+    s = span.select(F.min("d")).scalar() if start is None else _date(start)
+    e = span.select(F.max("d")).scalar() if end is None else _date(end)
     present = (daily.select("symbol", F.to_date("trade_date").alias("d"))
                .filter((F.col("d") >= s) & (F.col("d") <= e)))
     sentinels = (daily.select("symbol").distinct()

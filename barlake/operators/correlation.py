@@ -1,188 +1,35 @@
-"""J5 + A14: pairwise return correlation as a distributed Gram-matrix reduction."""
+"""J5 + A14: pairwise return correlation of a named universe."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-GRAM_STATS = ("rows", "n", "sx", "sy", "sxx", "syy", "sxy")
-GRAM_CHUNK = 65536          # pairs per reduce group: bounds the memory of every reduce task
-GRAM_BLOCK = 2000           # symbols per block: seven block x block accumulators <= 224 MB
-GRAM_BLOCK_CELLS = 1 << 24  # dense (dates x block) slice per step: <= 128 MB of doubles
 
+def correlation(daily: DataFrame, universe: Sequence[str] | DataFrame, asof=None, days: int | None = 60,
+                count_name: str = "observation_count") -> DataFrame:
+    """J5 + A14: correlation of daily returns for each pair ``symbol1 < symbol2`` of the universe.
 
-def _block_pairs(k: int, bi: int, bj: int, block: int):
-    """Global (i, j) of the flattened statistics of block pair (bi, bj): the upper
-    triangle on the diagonal, the full rectangle off it (always i < j)."""
-    import numpy as np
-    lo_i, lo_j = bi * block, bj * block
-    ni, nj = min(block, k - lo_i), min(block, k - lo_j)
-    if bi == bj:
-        a, b = np.triu_indices(ni, 1)
-    else:
-        a, b = (g.ravel() for g in np.meshgrid(np.arange(ni), np.arange(nj), indexing="ij"))
-    return a, b, lo_i + a, lo_j + b
-
-
-def _dense(rows, cols, vals, r0, r1, c0, c1):
-    """Presence and value matrices of rows [r0, r1) x symbols [c0, c1) from triplets."""
-    import numpy as np
-    m = (rows >= r0) & (rows < r1) & (cols >= c0) & (cols < c1)
-    present = np.zeros((r1 - r0, c1 - c0))
-    x = np.full((r1 - r0, c1 - c0), np.nan)
-    present[rows[m] - r0, cols[m] - c0] = 1.0
-    x[rows[m] - r0, cols[m] - c0] = vals[m]
-    valid = ~np.isnan(x)
-    return present, valid.astype("float64"), np.where(valid, x, 0.0)
-
-
-def _gram_partials(block: int = GRAM_BLOCK, chunk: int = GRAM_CHUNK, cells: int = GRAM_BLOCK_CELLS):
-    """Per-partition pairwise sufficient statistics of the (dates x k) return matrix.
-
-    Each input row is one date: ``k`` (universe size), index array ``ix`` and centred
-    returns ``xs`` (NaN for a NULL return). The partition's (date, symbol, return)
-    triplets are kept sparse; for every pair of symbol blocks the dates are densified
-    slice by slice and reduced to Gram matrices (``PᵀP``, ``VᵀV``, ``XᵀV``, ``X²ᵀV``,
-    ``XᵀX``), whose flattened statistics leave as fixed-size chunks keyed by
-    (block_i, block_j, chunk) — memory per task is bounded for any universe size.
-    Sizes are captured by the returned closure (shipped to the workers by value).
-    """
-
-    def fn(batches):
-        import numpy as np
-        import pandas as pd
-
-        rows, cols, vals, k, n = [], [], [], None, 0
-        for batch in batches:
-            if batch.empty:
-                continue
-            k = int(batch["k"].iloc[0])
-            lens = batch["ix"].map(len).to_numpy()
-            rows.append(np.repeat(np.arange(n, n + len(batch)), lens))
-            cols.append(np.concatenate(batch["ix"].to_numpy()).astype("int64"))
-            vals.append(np.concatenate(batch["xs"].to_numpy()).astype("float64"))
-            n += len(batch)
-        if k is None:
-            return
-        rows, cols, vals = np.concatenate(rows), np.concatenate(cols), np.concatenate(vals)
-        nb = -(-k // block)
-        step = max(1, cells // min(k, block))
-        for bi in range(nb):
-            ci = (bi * block, min(k, (bi + 1) * block))
-            for bj in range(bi, nb):
-                cj = (bj * block, min(k, (bj + 1) * block))
-                acc = None
-                for r0 in range(0, n, step):
-                    r1 = min(n, r0 + step)
-                    pi, vi, xi = _dense(rows, cols, vals, r0, r1, *ci)
-                    pj, vj, xj = _dense(rows, cols, vals, r0, r1, *cj)
-                    part = [pi.T @ pj, vi.T @ vj, xi.T @ vj, vi.T @ xj, (xi * xi).T @ vj, vi.T @ (xj * xj),
-                            xi.T @ xj]
-                    acc = part if acc is None else [a + b for a, b in zip(acc, part)]
-                a, b, _, _ = _block_pairs(k, bi, bj, block)
-                flat = [m[a, b] for m in acc]
-                starts = np.arange(0, len(a), chunk)
-                out = {"bi": np.full(len(starts), bi), "bj": np.full(len(starts), bj),
-                       "chunk": starts // chunk, "k": np.full(len(starts), k)}
-                for nm, f in zip(GRAM_STATS, flat):
-                    # an object Series keeps one array per row (Arrow list<double>)
-                    out[nm] = pd.Series([f[s0:s0 + chunk] for s0 in starts], dtype=object)
-                yield pd.DataFrame(out)
-
-    return fn
-
-
-def _gram_reduce(block: int = GRAM_BLOCK, chunk: int = GRAM_CHUNK):
-    """Sum one chunk's partial statistics over all partitions; emit pairs seen together."""
-
-    def fn(pdf):
-        import numpy as np
-        import pandas as pd
-
-        k, bi, bj, c = (int(pdf[name].iloc[0]) for name in ("k", "bi", "bj", "chunk"))
-        sums = {nm: np.sum(np.stack(pdf[nm].to_numpy()), axis=0) for nm in GRAM_STATS}
-        _, _, gi, gj = _block_pairs(k, bi, bj, block)
-        sl = slice(c * chunk, c * chunk + len(sums["rows"]))
-        keep = sums["rows"] > 0
-        out = {"i": gi[sl][keep].astype("int32"), "j": gj[sl][keep].astype("int32")}
-        out.update({nm: sums[nm][keep] for nm in GRAM_STATS})
-        return pd.DataFrame(out)
-
-    return fn
-
-
-def dense_index(df: DataFrame, key: str, index_col: str, count_col: str,
-                num_partitions: int | None = None) -> DataFrame:
-    """0-based dense rank of a unique ``key`` in sort order, plus the total count.
-
-    Distributed: rows are range-partitioned on ``key`` (sampled boundaries, so
-    partition p holds keys below those of p+1), ranked inside each partition, and
-    shifted by the row count of all earlier partitions — the offset table has one
-    row per partition. No task ever holds the whole key set.
-    """
-    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    parted = df.repartitionByRange(n, F.col(key)).withColumn("_p", F.spark_partition_id())
-    local = parted.withColumn("_r", F.row_number().over(Window.partitionBy("_p").orderBy(key)) - 1)
-    counts = local.groupBy("_p").agg(F.count(F.lit(1)).alias("_c"))
-    offsets = counts.select(
-        "_p",
-        (F.sum("_c").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1))).alias("_o"),
-        F.sum("_c").over(Window.partitionBy()).alias(count_col))
-    # offsets: one row per partition (bounded by the partition count) -> broadcast
-    return (local.join(F.broadcast(offsets), "_p")
-            .withColumn(index_col, (F.coalesce(F.col("_o"), F.lit(0)) + F.col("_r")).cast("int"))
-            .drop("_p", "_r", "_o"))
-
-
-def correlation(daily: DataFrame, universe: Sequence[str] | None = None, asof=None, days: int | None = 60,
-                count_name: str = "observation_count", block: int = GRAM_BLOCK, chunk: int = GRAM_CHUNK,
-                cells: int = GRAM_BLOCK_CELLS) -> DataFrame:
-    """J5 + A14: pairwise return correlation for ``s1 < s2`` on shared dates.
-
-    ``universe`` is a symbol list, or ``None`` for every symbol in ``daily``.
-
-    The reference self-joins on date, emitting every symbol pair per date. Here
-    returns are centred by their per-symbol mean, symbols get dense indices in
-    symbol order (a one-row-per-symbol table), each date becomes one row holding its
-    (index, return) list, and each partition reduces its dates to pairwise Gram
-    matrices (``PᵀP``, ``XᵀV``, ``XᵀX``…, numpy inside ``mapInPandas``), emitted
-    per pair of symbol blocks, as fixed-size chunks; ``groupBy(block_i, block_j,
-    chunk)`` sums each chunk across partitions in parallel (memory per task bounded
-    by ``GRAM_BLOCK`` and ``GRAM_CHUNK`` whatever the universe size) and
-    Pearson's formula finishes. No pair rows are emitted per date, nothing is
-    collected to the driver, and work is linear in rows (plus k² per partition). ``observation_count`` is the number of shared
-    dates (the join's ``count(*)``); the correlation uses the dates where both
-    returns are non-null and is NULL below two such dates or for a constant series.
+    ``universe`` is a list of symbols or a frame with a ``symbol`` column; the rows are restricted to it and
+    to the trailing ``days`` first, then joined with themselves on the date. A pair's sums are
+    partial aggregates, so what is shuffled for the result is a row per pair and task.
+    ``count_name`` is the number of shared dates; the correlation is NULL where it is undefined (under
+    two dates with both returns, or a constant series).
     """
     from .analytics import _asof, trailing
-    a = _asof(daily, asof)
-    d = trailing(daily, a, days)
-    if universe is not None:
+    d = trailing(daily, _asof(daily, asof), days)
+    if isinstance(universe, DataFrame):
+        d = d.join(universe.select("symbol").distinct(), "symbol", "left_semi")
+    else:
         d = d.filter(F.col("symbol").isin(sorted(set(universe))))
-    d = d.select("symbol", "trade_date", "daily_return")
-    # one row per symbol: dense index in symbol order (the ordering defines s1 < s2)
-    # and the centring mean; sized by the universe, not by the number of rows
-    syms = dense_index(d.groupBy("symbol").agg(F.avg("daily_return").alias("_m")), "symbol", "_i", "_k")
-    x = (d.join(syms, "symbol")
-         .select("trade_date", "_i", "_k", (F.col("daily_return") - F.col("_m")).alias("_x")))
-    per_date = (x.groupBy("trade_date")
-                .agg(F.first("_k").cast("int").alias("k"), F.collect_list("_i").alias("ix"),
-                     F.collect_list(F.coalesce("_x", F.lit(float("nan")))).alias("xs"))
-                .select("k", "ix", "xs"))
-    part_schema = "bi long, bj long, chunk long, k long, " + ", ".join(f"{c} array<double>" for c in GRAM_STATS)
-    pair_schema = "i int, j int, " + ", ".join(f"{c} double" for c in GRAM_STATS)
-    tot = (per_date.mapInPandas(_gram_partials(block, chunk, cells), part_schema)
-           .groupBy("bi", "bj", "chunk").applyInPandas(_gram_reduce(block, chunk), pair_schema))
-    n = F.col("n")
-    cov = F.col("sxy") - F.col("sx") * F.col("sy") / n
-    vx = F.col("sxx") - F.col("sx") * F.col("sx") / n
-    vy = F.col("syy") - F.col("sy") * F.col("sy") / n
-    corr = F.when((n >= 2) & (vx > 0) & (vy > 0), cov / F.sqrt(vx * vy))
-    names = syms.select(F.col("_i").alias("_k"), F.col("symbol").alias("_s"))
-    out = (tot.join(names.withColumnsRenamed({"_k": "i", "_s": "symbol1"}), "i")
-           .join(names.withColumnsRenamed({"_k": "j", "_s": "symbol2"}), "j")
-           .select("symbol1", "symbol2", corr.alias("correlation"),
-                   F.col("rows").cast("bigint").alias(count_name)))
-    return out.orderBy(F.col("correlation").desc_nulls_last(), "symbol1", "symbol2")
+    left = d.select("trade_date", F.col("symbol").alias("symbol1"), F.col("daily_return").alias("r1"))
+    right = d.select("trade_date", F.col("symbol").alias("symbol2"), F.col("daily_return").alias("r2"))
+    both = F.col("r1").isNotNull() & F.col("r2").isNotNull()
+    pairs = left.join(right, "trade_date").filter("symbol1 < symbol2").groupBy("symbol1", "symbol2").agg(
+        F.covar_pop("r1", "r2").alias("_c"), F.stddev_pop(F.when(both, F.col("r1"))).alias("_s1"),
+        F.stddev_pop(F.when(both, F.col("r2"))).alias("_s2"), F.count(F.lit(1)).alias(count_name))
+    # corr() itself divides by zero for a constant series under ANSI rules
+    c = F.when(F.col("_s1") * F.col("_s2") > 0, F.col("_c") / (F.col("_s1") * F.col("_s2")))
+    return pairs.select("symbol1", "symbol2", c.alias("correlation"), count_name).orderBy(F.col("correlation").desc_nulls_last(), "symbol1", "symbol2")

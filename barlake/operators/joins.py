@@ -6,26 +6,28 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def broadcast_if_bounded(dim: DataFrame, max_rows: int) -> DataFrame:
-    """Hint a broadcast only after checking the dimension really is small.
+def planned_bytes(df: DataFrame) -> int:
+    """The planner's own estimate of a frame's size; runs no job."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
-    The check reads at most ``max_rows + 1`` rows (``limit`` stops the scan early).
-    Beyond the bound the plain DataFrame is returned and the planner/AQE choose a
-    shuffle join from measured sizes. Use it for dimensions whose size is bounded by
-    definition (calendars, nations, exchanges), not for ones that grow with the data.
+
+def broadcast_if_bounded(dim: DataFrame, max_bytes: int = 8 << 20) -> DataFrame:
+    """Hint a broadcast where the planner's size estimate is within ``max_bytes``.
+
+    Beyond it the plain frame is returned and the planner and AQE choose from measured sizes. No job runs
+    while the query is built.
     """
-    n = dim.limit(max_rows + 1).count()
-    return F.broadcast(dim) if n <= max_rows else dim
+    return F.broadcast(dim) if planned_bytes(dim) <= max_bytes else dim
 
 
 def enrich_suppliers(daily: DataFrame, supplier: DataFrame, nation: DataFrame,
-                     max_dim_rows: int = 1000) -> DataFrame:
+                     max_dim_bytes: int = 8 << 20) -> DataFrame:
     """Daily rows with supplier and nation names.
 
     ``supplier`` grows with the data, so it is joined without a hint; ``nation`` is
     a fixed 25-row dimension and is broadcast behind the size check.
     """
     sup = supplier.select(F.col("s_suppkey").cast("string").alias("symbol"), "s_name", "s_nationkey")
-    nat = broadcast_if_bounded(nation.select(F.col("n_nationkey").alias("s_nationkey"), "n_name"), max_dim_rows)
+    nat = broadcast_if_bounded(nation.select(F.col("n_nationkey").alias("s_nationkey"), "n_name"), max_dim_bytes)
     return (daily.join(sup, "symbol", "inner").join(nat, "s_nationkey", "inner")
             .select("symbol", "trade_date", "close", "s_name", "n_name"))

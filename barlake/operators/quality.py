@@ -162,10 +162,12 @@ def expectation_counts(df: DataFrame, dataset: str, preds: dict[str, str]) -> Da
 def observe_expectations(df: DataFrame, name: str, preds: dict[str, str]):
     """ST5: attach expectation failure counts as observed metrics (works on streams).
 
-    Returns ``(df_with_observation, Observation)`` — for streaming queries read the
-    metrics from ``query.lastProgress["observedMetrics"][name]`` instead.
+    Returns ``(df_with_observation, Observation)``; for a stream the second is None and each batch's metrics are
+    in ``query.lastProgress.observedMetrics[name]`` and with the query listeners.
     """
     from pyspark.sql import Observation
-    obs = Observation(name)
     metrics = [_cnt(~F.coalesce(F.expr(p), F.lit(False))).alias(f"failed_{n}") for n, p in preds.items()]
+    if df.isStreaming:
+        return df.observe(name, F.count(F.lit(1)).alias("input_records"), *metrics), None
+    obs = Observation(name)
     return df.observe(obs, F.count(F.lit(1)).alias("input_records"), *metrics), obs

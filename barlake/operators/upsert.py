@@ -2,16 +2,17 @@
 
 ``upsert`` is MERGE's user-visible outcome (matched -> replace whole row, not
 matched -> insert) as ``left_anti`` + ``unionByName``. On disk, ``upsert_path``
-rewrites only the date partitions the source touches, using dynamic partition
-overwrite; the write is idempotent (applying the same source twice gives the same
-table) but, unlike a transactional table format, not atomic for concurrent readers.
+first writes the merged partitions beside the table, then puts them in place: a
+crash before that leaves the table as it was, a crash after it is finished by the
+next call. It is not atomic for concurrent readers.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .clean import dedup_latest, ts_lit
@@ -21,14 +22,14 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
            dedup_order: Sequence[str] | None = None, deletes: DataFrame | None = None) -> DataFrame:
     """Replace target rows whose ``keys`` appear in ``source``; insert the others.
 
-    ``source`` must be unique on ``keys`` (MERGE raises otherwise); pass
-    ``dedup_order`` to keep the greatest row per key first. ``deletes`` (key rows)
+    ``source`` must be unique on ``keys``: like MERGE, the query fails on a repeated key
+    (checked inside the plan; keys with a null never match and may repeat). Pass
+    ``dedup_order`` to keep the greatest row per key instead. ``deletes`` (key rows)
     removes keys outright (MERGE's ``WHEN MATCHED THEN DELETE``). The anti join
     lets AQE pick broadcast when the change set is small and a shuffle join when not.
     """
     keys = list(keys)
-    if dedup_order:
-        source = dedup_latest(source, keys, dedup_order)
+    source = dedup_latest(source, keys, dedup_order) if dedup_order else assert_unique(source, keys)
     source = source.select(*target.columns)
     gone = source.select(*keys)
     if deletes is not None:
@@ -36,50 +37,80 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
     return target.join(gone, keys, "left_anti").unionByName(source)
 
 
+def assert_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``df``, failing when it is evaluated if two rows have the same (fully non-null) key."""
+    n = F.count(F.lit(1)).over(Window.partitionBy(*keys))
+    known = F.lit(True)
+    for k in keys:
+        known = known & F.col(k).isNotNull()
+    checked = F.assert_true(~known | (F.col("_n") == 1), F.lit(f"source rows repeat a key ({', '.join(keys)})"))
+    return df.withColumn("_n", n).filter(checked.isNull()).drop("_n")
+
+
 def upsert_path(spark: SparkSession, source: DataFrame, path: str, keys: Sequence[str],
                 partition_col: str, fmt: str = "parquet", deletes: DataFrame | None = None) -> None:
     """S8 on disk: merge ``source`` into the partitioned table at ``path``.
 
-    Only partitions whose ``partition_col`` value occurs in ``source`` are read
-    (dynamic partition pruning through the semi join) and rewritten
-    (``partitionOverwriteMode=dynamic`` set on this write, never the session
-    default). Keys must determine the partition value, so a row cannot move
-    between partitions and leave a stale copy behind.
+    Only partitions whose ``partition_col`` value occurs in ``source`` or ``deletes`` are read and rewritten;
+    one that ``deletes`` empties is removed. The source is evaluated once: the merged partitions go to
+    ``path/_pending/<id>`` (hidden from readers), and from there into place. Keys must determine the
+    partition value, so a row cannot move between partitions and leave a stale copy behind.
     """
     keys = list(keys)
     if partition_col not in keys and partition_col not in source.columns:
         raise ValueError("partition column must be part of the source rows")
+    recover(spark, path, partition_col, fmt)
     current = read_table(spark, path, fmt)
+    parts = source.select(partition_col)
+    if deletes is not None:
+        parts = parts.unionByName(deletes.select(partition_col))
+    parts = parts.distinct()
     if current is None:
-        merged = source
+        merged = upsert(source.limit(0), source, keys)
     else:
-        parts = source.select(partition_col)
-        if deletes is not None:
-            parts = parts.unionByName(deletes.select(partition_col))
-        touched = prune_partitions(current, partition_col, parts)
-        merged = upsert(touched, source.select(*current.columns), keys, deletes=deletes)
+        merged = upsert(prune_partitions(current, partition_col, parts), source.select(*current.columns), keys,
+                        deletes=deletes)
+    pending = f"{path.rstrip('/')}/_pending/{uuid.uuid4().hex}"
     # REBALANCE (not repartition): AQE splits a hot day into several write tasks
-    (merged.hint("rebalance", partition_col).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).format(fmt).save(path))
-
-
-MAX_PRUNE_VALUES = 10000
-
-
-def prune_partitions(table: DataFrame, partition_col: str, values: DataFrame,
-                     max_values: int = MAX_PRUNE_VALUES) -> DataFrame:
+    merged.hint("rebalance", partition_col).write.partitionBy(partition_col).format(fmt).save(f"{pending}/rows")
+    left = read_table(spark, f"{pending}/rows", fmt)
+    emptied = parts if left is None else parts.join(left.select(partition_col).distinct(), partition_col, "left_anti")
+    emptied.select(F.col(partition_col).cast("string").alias("value")).write.parquet(f"{pending}/emptied")
+    recover(spark, path, partition_col, fmt)
+
+
+def recover(spark: SparkSession, path: str, partition_col: str, fmt: str = "parquet") -> None:
+    """Put merges that were written completely into place, in any order of calls; drop incomplete ones."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    top = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/_pending")
+    fs = top.getFileSystem(conf)
+    if not fs.exists(top):
+        return
+    for status in sorted(fs.listStatus(top), key=lambda s: s.getModificationTime()):
+        at = status.getPath()
+        if fs.exists(jvm.org.apache.hadoop.fs.Path(at, "emptied/_SUCCESS")):
+            rows = read_table(spark, f"{at}/rows", fmt)
+            if rows is not None:
+                (rows.hint("rebalance", partition_col).write.mode("overwrite")
+                 .option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).format(fmt).save(path))
+            # the values of partitions that lost their last row: days, one directory each
+            for r in spark.read.schema("value string").parquet(f"{at}/emptied").toLocalIterator():
+                name = "__HIVE_DEFAULT_PARTITION__" if r.value is None else r.value
+                fs.delete(jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{partition_col}={name}"), True)
+        fs.delete(at, True)
+
+
+def prune_partitions(table: DataFrame, partition_col: str, values: DataFrame) -> DataFrame:
     """Restrict a partitioned ``table`` to the partition values occurring in ``values``.
 
-    The distinct values (touched days: bounded by the calendar, checked against
-    ``max_values`` with an early-stopping ``limit``) become a literal ``IN`` filter,
-    which the file source turns into ``PartitionFilters`` — untouched partitions are
-    never listed or read. Beyond the bound a ``left_semi`` join is used and dynamic
-    partition pruning applies where the planner can.
+    The least and greatest value become literal ``PartitionFilters``, so partitions outside are never listed
+    or read; a semi join keeps those that occur.
     """
-    vals = [r[0] for r in values.select(partition_col).distinct().limit(max_values + 1).collect()]
-    if len(vals) <= max_values:
-        return table.filter(F.col(partition_col).isin(vals))
-    return table.join(values.select(partition_col).distinct(), partition_col, "left_semi")
+    lo, hi = values.agg(F.min(partition_col), F.max(partition_col)).first()
+    if lo is None:
+        return table.filter(F.col(partition_col).isNull())
+    inside = table.filter(F.col(partition_col).between(F.lit(lo), F.lit(hi)))
+    return inside.join(values.select(partition_col).distinct(), partition_col, "left_semi")
 
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet",

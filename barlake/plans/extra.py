@@ -3,6 +3,7 @@ incremental refresh, upsert/time travel, layout and dimension joins."""
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -20,7 +21,8 @@ from ..operators.clean import (BRONZE_DROP_EXPECTATIONS, DAILY_WARN_EXPECTATIONS
 from ..operators.daily import daily_ohlcv
 from ..operators.indicators import indicators
 from ..operators.joins import enrich_suppliers
-from ..operators.upsert import append_evolve, cluster_rewrite, snapshot_asof, upsert
+from ..operators.upsert import append_evolve, cluster_rewrite, snapshot_asof, upsert, upsert_path
+from ..session import checkpoint_dir
 from ..sources import fixtures as FX
 from ..sources import html as H
 from ..sources import landing as L
@@ -33,7 +35,6 @@ MON_ASOF = RUN_TS                     # stands in for CURRENT_DATE() in monitori
 MON_NOW = "2024-02-03 00:00:00"       # stands in for CURRENT_TIMESTAMP()
 PREV_GOLD_CUTOFF = "2024-01-16 00:00:00"
 BATCHES = ["20240110", "20240111", "20240112"]
-MISSING_FROM = "2000-01-01"
 
 
 def _union(dfs: list[DataFrame]) -> DataFrame:
@@ -46,13 +47,12 @@ def _order_dates(s, d):
 
 
 add("odates", (), "SELECT DISTINCT CAST(o_orderdate AS DATE) AS date FROM orders")
-add("gf", (), """SELECT y AS year, CAST(make_date(y, (h + l - 7 * m + 114) // 31, (h + l - 7 * m + 114) % 31 + 1)
-        - INTERVAL 2 DAY AS DATE) AS good_friday FROM (
-      SELECT y, y % 19 AS a, y // 100 AS b, y % 100 AS c, b // 4 AS d4, b % 4 AS e, (b + 8) // 25 AS f,
-             (b - f + 1) // 3 AS g, (19 * a + b - d4 - g + 15) % 30 AS h, c // 4 AS i, c % 4 AS k,
-             (32 + 2 * e + 2 * i - h - k) % 7 AS l, (a + 11 * h + 22 * l) // 451 AS m
-      FROM (SELECT DISTINCT CAST(year(o_orderdate) AS INTEGER) AS y FROM orders
-            UNION SELECT DISTINCT CAST(year(o_orderdate) AS INTEGER) - 1 FROM orders))""")
+# Days after 1 March of the Paschal full moon by golden number, for the years 1900 to 2199.
+PASCHAL_MOONS = [44, 33, 22, 41, 30, 48, 38, 27, 46, 35, 24, 43, 32, 21, 40, 29, 47, 36, 26]
+add("gf", (), f"""SELECT y AS year, moon + CAST(5 - dayofweek(moon) AS INTEGER) AS good_friday
+    FROM (SELECT y, make_date(y, 3, 1) + {PASCHAL_MOONS}[y % 19 + 1] AS moon
+          FROM (SELECT CAST(unnest(generate_series(min(year(o_orderdate)) - 1, max(year(o_orderdate)))) AS INTEGER) AS y
+                FROM orders) years) moons""")
 
 
 def _obs(x: str) -> str:
@@ -108,21 +108,20 @@ reg("cal_target_day", with_ctes("odates", "ocal") + f"""SELECT date, CASE WHEN l
 reg("q_missing_days", with_ctes("daily") + f"""SELECT s.symbol, CAST(g.d AS DATE) AS expected_date,
         'Missing' AS status
     FROM (SELECT DISTINCT symbol FROM daily) s,
-         (SELECT unnest(generate_series(DATE '{MISSING_FROM}', CAST((SELECT max(trade_date) FROM daily) AS DATE),
+         (SELECT unnest(generate_series(CAST((SELECT min(trade_date) FROM daily) AS DATE), CAST((SELECT max(trade_date) FROM daily) AS DATE),
                                         INTERVAL 1 DAY)) AS d) g
     WHERE isodow(g.d) < 6 AND NOT EXISTS (SELECT 1 FROM daily a WHERE a.symbol = s.symbol
                                           AND CAST(a.trade_date AS DATE) = CAST(g.d AS DATE))""")(
-    lambda s, d: CO.missing_days(daily(s, d), MISSING_FROM, daily(s, d).select(F.max("trade_date")).scalar()))
+    lambda s, d: CO.missing_days(daily(s, d)))
 
 reg("q_missing_trading_days", with_ctes("daily", "ocal") + f"""SELECT s.symbol, c.date AS expected_date,
         'Missing' AS status
     FROM (SELECT DISTINCT symbol FROM daily) s, ocal c
-    WHERE c.is_trading_day AND c.date >= DATE '{MISSING_FROM}'
+    WHERE c.is_trading_day AND c.date >= CAST((SELECT min(trade_date) FROM daily) AS DATE)
       AND c.date <= CAST((SELECT max(trade_date) FROM daily) AS DATE)
       AND NOT EXISTS (SELECT 1 FROM daily a WHERE a.symbol = s.symbol AND CAST(a.trade_date AS DATE) = c.date)""")(
     # C6 holiday-aware variant: expected days are exchange trading days
-    lambda s, d: CO.missing_days(daily(s, d), MISSING_FROM, daily(s, d).select(F.max("trade_date")).scalar(),
-                                 trading_days_only=True))
+    lambda s, d: CO.missing_days(daily(s, d), trading_days_only=True))
 
 # ================================================================= symbols, provider frames
 _CAND = """SELECT page_id, href, upper(replace(rtrim(string_split(href, '/')[2], '/'), 'ß', 'SS')) AS candidate
@@ -136,6 +135,14 @@ reg("extract_symbols", f"""SELECT candidate AS symbol, count(DISTINCT page_id) A
     WHERE {_VALID} GROUP BY 1""")(
     lambda s, d: H.extract_symbols(FX.table(s, d, "pages"), "/"))
 
+_TABLE_PAGES = """concat('<p>x</p><TABLE class="t"><tr><th>No</th><th>Symbol</th></tr><tr><td>1</td><td><a href="/stocks/a',
+    page_id % 50, '/">name</a></td></tr><tr><td>2</td><td> b.', page_id % 30,
+    ' </td></tr><tr><td>3</td></tr></TABLE><table><tr><td>1</td><td>ZZZ</td></tr></table>')"""
+reg("extract_table_symbols", """SELECT symbol, count(DISTINCT page_id) AS n_pages
+    FROM (SELECT page_id, 'A' || (page_id % 50) AS symbol FROM pages
+          UNION ALL SELECT page_id, 'B.' || (page_id % 30) FROM pages) GROUP BY ALL""")(
+    lambda s, d: H.table_symbols(FX.table(s, d, "pages").select("page_id", F.expr(_TABLE_PAGES).alias("html"))))
+
 _INTERVALS = "('1m', '2m', '5m', '15m', '30m', '60m', '90m', '1h', '1d', '5d', '1wk', '1mo', '3mo')"
 reg("normalize_interval", f"""SELECT event_id, requested,
         CASE WHEN requested IN {_INTERVALS} THEN requested ELSE '1d' END AS interval
@@ -273,12 +280,16 @@ reg("dq_layer_ranges", with_ctes("bronze", "silver", "daily_bars") + f"""
     UNION ALL SELECT 'gold', min(trade_date), max(trade_date) FROM daily_bars""")(
     lambda s, d: DQ.layer_date_ranges(bronze(s, d), silver(s, d), daily_bars(s, d)))
 
+# inputs with gaps: silver without the symbol that comes first, gold without the one that comes last
 reg("symbol_lineage_gaps", with_ctes("bronze", "silver", "daily_bars") + """
-    SELECT 'bronze_not_silver' AS gap, symbol FROM (SELECT DISTINCT symbol FROM bronze
-        EXCEPT SELECT DISTINCT symbol FROM silver)
-    UNION ALL SELECT 'silver_not_gold', symbol FROM (SELECT DISTINCT symbol FROM silver
-        EXCEPT SELECT DISTINCT symbol FROM daily_bars)""")(
-    lambda s, d: DQ.symbol_lineage_gaps(bronze(s, d), silver(s, d), daily_bars(s, d)))
+    SELECT 'bronze_not_silver' AS gap, symbol FROM bronze
+    WHERE symbol NOT IN (SELECT symbol FROM silver) OR symbol = (SELECT min(symbol) FROM silver) GROUP BY ALL
+    UNION ALL SELECT 'bronze_not_silver', NULL FROM bronze WHERE symbol IS NULL GROUP BY ALL
+    UNION ALL SELECT 'silver_not_gold', max(symbol) FROM silver""")(
+    lambda s, d: DQ.symbol_lineage_gaps(
+        bronze(s, d),
+        silver(s, d).filter(F.col("symbol") > silver(s, d).select(F.min("symbol")).scalar()),
+        daily_bars(s, d).filter(F.col("symbol") < silver(s, d).select(F.max("symbol")).scalar())))
 
 # ================================================================= monitoring (mon_*)
 _MA = f"TIMESTAMP '{MON_ASOF}'"
@@ -305,25 +316,22 @@ _GC = """SELECT symbol, count(*) AS trading_days, min(trade_date) AS first_date,
     CASE WHEN datediff('day', min(trade_date), max(trade_date)) > count(*) * 1.5
          THEN 'Missing Days Detected' ELSE 'Complete' END AS completeness_status
     FROM {src} GROUP BY symbol HAVING count(*) < {n}"""
-reg("mon_gold_completeness", with_ctes("daily_bars") + _GC.format(src="daily_bars", n=20))(
-    lambda s, d: MON.gold_completeness(daily_bars(s, d)))
-
-reg("mon_cross_layer", with_ctes("bronze", "silver", "daily_bars") + f"""
-    SELECT COALESCE(b.trade_date, s.trade_date, g.trade_date) AS trade_date, b.bronze_symbols, b.bronze_records,
-        s.silver_symbols, s.silver_records, g.gold_symbols, g.gold_records,
-        CASE WHEN s.silver_records < b.bronze_records * 0.9 THEN 'Warning: High Silver Filter Rate'
-             WHEN g.gold_records < s.silver_records * 0.8 THEN 'Warning: High Gold Filter Rate'
-             ELSE 'OK' END AS consistency_status
-    FROM (SELECT CAST("timestamp" AS DATE) AS trade_date, count(DISTINCT symbol) AS bronze_symbols,
-                 count(*) AS bronze_records FROM bronze
-          WHERE "timestamp" >= {_MA} - INTERVAL 7 DAY GROUP BY 1) b
-    FULL OUTER JOIN (SELECT CAST("timestamp" AS DATE) AS trade_date, count(DISTINCT symbol) AS silver_symbols,
-                 count(*) AS silver_records FROM silver
-          WHERE processed_timestamp >= {_MA} - INTERVAL 7 DAY GROUP BY 1) s ON b.trade_date = s.trade_date
-    FULL OUTER JOIN (SELECT CAST(trade_date AS DATE) AS trade_date, count(DISTINCT symbol) AS gold_symbols,
-                 count(*) AS gold_records FROM daily_bars
-          WHERE trade_date >= {_MA} - INTERVAL 7 DAY GROUP BY 1) g
-      ON COALESCE(b.trade_date, s.trade_date) = g.trade_date""")(
+# every fifth day of the month only, so that symbols fall below the bound and days are missing
+reg("mon_gold_completeness", with_ctes("daily_bars") + _GC.format(
+    src="(SELECT * FROM daily_bars WHERE day(trade_date) % 5 = 0) f", n=20))(
+    lambda s, d: MON.gold_completeness(daily_bars(s, d).filter(F.dayofmonth("trade_date") % 5 == 0)))
+
+_LAYER_DAYS = f"""SELECT 'b' AS layer, "timestamp" AS moment, symbol FROM bronze WHERE "timestamp" >= {_MA} - INTERVAL 7 DAY
+    UNION ALL SELECT 's', "timestamp", symbol FROM silver WHERE processed_timestamp >= {_MA} - INTERVAL 7 DAY
+    UNION ALL SELECT 'g', trade_date, symbol FROM daily_bars WHERE trade_date >= {_MA} - INTERVAL 7 DAY"""
+_PER_LAYER = ", ".join(f"""max(symbols) FILTER (layer = '{x[0]}') AS {x}_symbols,
+        max(records) FILTER (layer = '{x[0]}') AS {x}_records""" for x in ("bronze", "silver", "gold"))
+reg("mon_cross_layer", with_ctes("bronze", "silver", "daily_bars") + f"""SELECT *, CASE
+        WHEN silver_records / bronze_records < 0.9 THEN 'Warning: High Silver Filter Rate'
+        WHEN gold_records / silver_records < 0.8 THEN 'Warning: High Gold Filter Rate' ELSE 'OK' END AS consistency_status
+    FROM (SELECT trade_date, {_PER_LAYER}
+          FROM (SELECT layer, CAST(moment AS DATE) AS trade_date, count(DISTINCT symbol) AS symbols, count(*) AS records
+                FROM ({_LAYER_DAYS}) r GROUP BY ALL) layers GROUP BY trade_date) days""")(
     lambda s, d: MON.cross_layer(bronze(s, d), silver(s, d), daily_bars(s, d), MON_ASOF))
 
 reg("mon_symbol_days", with_ctes("silver", "daily_bars") + """
@@ -338,9 +346,14 @@ reg("mon_symbol_days", with_ctes("silver", "daily_bars") + """
 reg("mon_alerts", with_ctes("silver") + f"""SELECT * FROM (SELECT CAST(processed_timestamp AS DATE) AS process_date,
     avg(quality_score) AS avg_quality,
     CAST(sum(CASE WHEN is_valid = 0 THEN 1 ELSE 0 END) AS BIGINT) AS invalid_count
-    FROM silver WHERE processed_timestamp >= {_MA} - INTERVAL 1 DAY GROUP BY 1)
+    FROM (SELECT quality_score * 0.5 AS quality_score, is_valid, processed_timestamp + INTERVAL (hour("timestamp")) HOUR
+              AS processed_timestamp FROM silver) worse
+    WHERE processed_timestamp >= {_MA} - INTERVAL 1 DAY GROUP BY 1)
     WHERE avg_quality < 0.8 OR invalid_count > 100""", ("avg_quality",))(
-    lambda s, d: MON.alerts(silver(s, d), MON_ASOF))
+    # halved scores, spread over stamps: the alert fires
+    lambda s, d: MON.alerts(silver(s, d).withColumns({
+        "quality_score": F.col("quality_score") * 0.5,
+        "processed_timestamp": F.col("processed_timestamp") + F.make_dt_interval(hours=F.hour("timestamp"))}), MON_ASOF))
 
 reg("mon_health", with_ctes("bronze", "silver", "daily_bars") + f"""
     SELECT 'Bronze' AS layer, count(*) AS total_records, count(DISTINCT symbol) AS unique_symbols,
@@ -368,9 +381,15 @@ reg("incremental_bronze_batch", with_ctes("bronze") + "SELECT * FROM bronze WHER
     + "(" + ", ".join(f"'{b}'" for b in BATCHES) + ")")(
     lambda s, d: INC.incremental_bronze(bronze(s, d), batch_ids=BATCHES))
 
-reg("incremental_silver", with_ctes("silver") + f"""SELECT * FROM silver
-    WHERE processed_timestamp > {INGEST_BASE}""")(
-    lambda s, d: INC.incremental_silver(silver(s, d), BASE))
+def _stamped(silver_rows):
+    """Silver as if the rows of even hours had been processed with the first load."""
+    even = F.hour("timestamp") % 2 == 0
+    return silver_rows.withColumn("processed_timestamp", F.when(even, F.lit(BASE).cast("timestamp_ntz"))
+                                  .otherwise(F.col("processed_timestamp")))
+
+
+reg("incremental_silver", with_ctes("silver") + """SELECT * FROM silver WHERE hour("timestamp") % 2 = 1""")(
+    lambda s, d: INC.incremental_silver(_stamped(silver(s, d)), BASE))
 
 reg("watermarks", with_ctes("bronze", "silver", "daily_bars") + """
     SELECT 'bronze' AS layer, max(ingestion_timestamp) AS high_water_mark FROM bronze
@@ -413,6 +432,20 @@ reg("silver_upsert", with_ctes("silver0", "silver1") + f"""
     lambda s, d: upsert(clean_bronze_to_silver(_first_load(s, d), RUN_TS),
                         clean_bronze_to_silver(_late(s, d), RUN_TS), ["symbol", "timestamp"]))
 
+def _delete_day(s, d):
+    """Silver on disk loses all rows of its first day through the merge's deletes."""
+    path = f"{checkpoint_dir(s).rstrip('/')}/barlake-merge-{uuid.uuid4().hex}"
+    rows = silver(s, d).withColumn("part_date", F.to_date("timestamp"))
+    first = rows.filter(F.col("part_date") == rows.select(F.min("part_date")).scalar())
+    upsert_path(s, rows, path, ["symbol", "timestamp"], "part_date")
+    upsert_path(s, rows.limit(0), path, ["symbol", "timestamp"], "part_date",
+                deletes=first.select("symbol", "timestamp", "part_date"))
+    return s.read.parquet(path).drop("part_date")
+
+
+reg("upsert_delete_day", with_ctes("silver") + f"""SELECT * FROM silver
+    WHERE CAST({_SKEY} AS DATE) > (SELECT min(CAST({_SKEY} AS DATE)) FROM silver)""")(_delete_day)
+
 reg("bronze_upsert3", with_ctes("bronze0", "bronze1") + f"""
     SELECT * FROM bronze0 t WHERE NOT EXISTS (SELECT 1 FROM bronze1 u WHERE u.symbol = t.symbol
                                                AND u.{_SKEY} = t.{_SKEY} AND u.batch_id = t.batch_id)
@@ -420,24 +453,30 @@ reg("bronze_upsert3", with_ctes("bronze0", "bronze1") + f"""
     lambda s, d: upsert(_first_load(s, d), _late(s, d), ["symbol", "timestamp", "batch_id"]))
 
 
+def _stored(df):
+    """A stored layer: a reliable checkpoint in the shared folder, so that no reference derives it again."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint()
+
+
 def _refresh(s, d):
-    silver0 = clean_bronze_to_silver(_first_load(s, d), RUN_TS)
-    changed = clean_bronze_to_silver(_late(s, d), RUN_TS)
-    silver_all = upsert(silver0, changed, ["symbol", "timestamp"])
-    new_daily, _ = INC.refresh_daily(silver_all, daily_ohlcv(silver0, RUN_TS), changed, RUN_TS)
-    return silver0, changed, silver_all, new_daily
+    silver0 = _stored(clean_bronze_to_silver(_first_load(s, d), RUN_TS))
+    changed = _stored(clean_bronze_to_silver(_late(s, d), RUN_TS))
+    daily0 = _stored(daily_ohlcv(silver0, RUN_TS))
+    silver_all = _stored(upsert(silver0, changed, ["symbol", "timestamp"]))
+    new_daily, _ = INC.refresh_daily(silver_all, daily0, changed, RUN_TS)
+    return daily0, changed, new_daily
 
 
 reg("gold_upsert", with_ctes("daily_bars") + "SELECT * FROM daily_bars")(
     # incremental refresh == full recompute (touched + missing symbol-days upserted into gold)
-    lambda s, d: _refresh(s, d)[3])
+    lambda s, d: _refresh(s, d)[2])
 
 
 def _analytics_refresh(s, d):
-    silver0, changed, silver_all, new_daily = _refresh(s, d)
-    daily0 = daily_ohlcv(silver0, RUN_TS)
-    touched = INC.touched_days(changed)
-    return INC.refresh_indicators(new_daily, indicators(daily0, RUN_TS), touched, RUN_TS)
+    daily0, changed, new_daily = _refresh(s, d)
+    analytics0 = _stored(indicators(daily0, RUN_TS))
+    return INC.refresh_indicators(_stored(new_daily), analytics0, INC.touched_days(changed), RUN_TS)
 
 
 reg("analytics_refresh", with_ctes("analytics_bars") + "SELECT * FROM analytics_bars",

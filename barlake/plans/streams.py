@@ -52,6 +52,43 @@ def _medallion_stream(spark, sf_dir, table: str):
     return read_table(spark, getattr(paths, table)).drop(PART)
 
 
+def _bad_lines(spark, sf_dir, root: str):
+    """A landing folder of one malformed line per nation among well-formed bars."""
+    nation = FX.table(spark, sf_dir, "nation")
+    line = F.concat(F.lit('{"symbol":"N'), F.col("n_nationkey"), F.lit('","timestamp":"2024-01-02T10:00:00","close":1.5'))
+    nation.select(F.explode(F.array(F.concat(line, F.lit("}")), line)).alias("value"),
+                  F.lit("20240102").alias("batch_id")).write.partitionBy("batch_id").text(f"{root}/landing")
+    queries = start_bronze_stream(spark, f"{root}/landing", f"{root}/bronze", f"{root}/ckpt", "availableNow",
+                                  quarantine_path=f"{root}/quarantine", max_files_per_trigger=100)
+    for q in queries:
+        q.awaitTermination()
+    return spark.read.parquet(f"{root}/quarantine").select("raw_record", F.col("source").cast("string").alias("source"))
+
+
+reg("bronze_quarantine", """SELECT '{"symbol":"N' || n_nationkey || '","timestamp":"2024-01-02T10:00:00","close":1.5' AS raw_record,
+    '20240102' AS source FROM nation""")(lambda s, d: _bad_lines(s, d, _root(s)))
+
+
+def _late_invalidation(spark, sf_dir):
+    """Bars first, then for each symbol's first day a newer copy of every bar without an open price."""
+    root = _root(spark)
+    paths = MedallionPaths(f"{root}/silver", f"{root}/daily", f"{root}/analytics")
+    b = bronze(spark, sf_dir).filter("symbol IS NOT NULL AND symbol != '' AND timestamp IS NOT NULL")
+    day = F.to_date("timestamp")
+    late = b.filter(day == b.select(F.min(day)).scalar()).withColumn("open", F.lit(None).cast("double"))
+    for arrival, batch in ((late.limit(0), "20240101"), (late.limit(1), "20240101"), (b, None), (late, "20990101")):
+        if batch:
+            arrival = arrival.withColumn("batch_id", F.lit(batch))
+        write_landing(arrival, f"{root}/landing")
+        start_medallion_stream(spark, f"{root}/landing", paths, f"{root}/ckpt", "availableNow",
+                               run_ts=RUN_TS, max_files_per_trigger=1000).awaitTermination()
+    return read_table(spark, paths.daily).drop(PART)
+
+
+reg("stream_late_invalidation", with_ctes("bronze", "daily_bars") + """SELECT * FROM daily_bars
+    WHERE CAST(trade_date AS DATE) > (SELECT min(CAST("timestamp" AS DATE)) FROM bronze
+        WHERE symbol IS NOT NULL AND symbol != '')""")(_late_invalidation)
+
 reg("bronze_stream", with_ctes("bronze") + """SELECT symbol, "timestamp", open, high, low, close, volume, batch_id
     FROM bronze WHERE coalesce(symbol IS NOT NULL AND symbol != '', false) AND "timestamp" IS NOT NULL""")(
     _bronze_stream)

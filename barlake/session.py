@@ -39,11 +39,13 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when it is unset (local tests) a private scratch folder is created and
-    registered; on a cluster the configured shared folder is always used.
+    A local session (tests) may leave it unset and gets a private folder; anywhere else that raises.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="barlake-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)

@@ -21,9 +21,9 @@ def bar_request(symbols: Sequence[str] | str, start: datetime, end: datetime, in
     """Reject empty symbols / symbol lists and ``start >= end``; unknown intervals become ``1d``."""
     syms = (symbols,) if isinstance(symbols, str) else tuple(symbols)
     if not syms:
-        raise ValueError("Symbols list cannot be empty")
-    if any(not s for s in syms):
-        raise ValueError("Symbol cannot be empty")
+        raise ValueError("no symbols given")
+    if any(not s or not s.strip() for s in syms):
+        raise ValueError("a symbol is blank")
     if start >= end:
-        raise ValueError("start_time must be before end_time")
+        raise ValueError("the request ends before it starts")
     return BarRequest(syms, start, end, interval if interval in VALID_INTERVALS else DEFAULT_INTERVAL)

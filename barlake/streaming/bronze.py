@@ -81,9 +81,13 @@ def _trigger(writer, trigger: str | None):
 
 def start_bronze_stream(spark: SparkSession, landing: str, bronze_path: str, checkpoint: str,
                         trigger: str | None = "availableNow", ingestion_ts=None,
-                        array_files: bool = False, quarantine_path: str | None = None) -> list[StreamingQuery]:
-    """ST1/S6: append the landing stream to a parquet bronze table (and quarantine)."""
-    raw = read_bars_stream(spark, landing, array_files)
+                        array_files: bool = False, quarantine_path: str | None = None,
+                        **limits) -> list[StreamingQuery]:
+    """ST1/S6: append the landing stream to a parquet bronze table (and quarantine).
+
+    ``limits`` are those of ``read_bars_stream`` and bound a micro-batch.
+    """
+    raw = read_bars_stream(spark, landing, array_files, **limits)
     bronze, bad = bronze_from_stream(raw, ingestion_ts, array_files)
     qs = [_trigger(bronze.writeStream.format("parquet").outputMode("append")
                    .option("checkpointLocation", f"{checkpoint}/bronze"), trigger).start(bronze_path)]

@@ -110,3 +110,37 @@ def test_upsert_dedups_source_by_order(spark):
     tgt = _t(spark).withColumn("seq", F.lit(0))
     got = sorted((r.k, r.v) for r in upsert(tgt, src, ["k"], dedup_order=["seq"]).collect())
     assert got == [(1, "a"), (2, "new"), (3, "c")]
+
+
+def test_upsert_fails_on_repeated_source_keys(spark):
+    import pytest
+    from barlake.operators.upsert import upsert
+    t = spark.createDataFrame([(1, "a")], "k int, v string")
+    with pytest.raises(Exception, match="repeat a key"):
+        upsert(t, spark.createDataFrame([(1, "b"), (1, "c")], "k int, v string"), ["k"]).collect()
+    nulls = spark.createDataFrame([(None, "b"), (None, "c"), (1, "d")], "k int, v string")
+    assert sorted(r.v for r in upsert(t, nulls, ["k"]).collect()) == ["b", "c", "d"]
+
+
+def test_upsert_path_empties_a_partition_and_finishes_after_a_crash(spark, tmp_path):
+    import datetime as dt
+    import shutil
+    import pytest
+    from barlake.operators import upsert as U
+    d = [dt.date(2024, 1, i) for i in (1, 2, 3)]
+    schema = "k int, v string, p date"
+    frame = lambda rows: spark.createDataFrame(rows, schema)
+    path = str(tmp_path / "t")
+    U.upsert_path(spark, frame([(1, "a", d[0]), (2, "b", d[1]), (3, "c", d[2])]), path, ["k"], "p")
+    U.upsert_path(spark, frame([(3, "x", d[2])]), path, ["k"], "p", deletes=frame([(1, "", d[0])]).select("k", "p"))
+    read = lambda: sorted((r.k, r.v) for r in U.read_table(spark, path).collect())
+    assert read() == [(2, "b"), (3, "x")]
+    with pytest.raises(Exception, match="repeat a key"):
+        U.upsert_path(spark, frame([(2, "m", d[1]), (2, "n", d[1])]), path, ["k"], "p")
+    assert read() == [(2, "b"), (3, "x")]
+    # a merge that was written whole but never put in place, and the table's day already gone
+    frame([(2, "late", d[1])]).write.partitionBy("p").parquet(f"{path}/_pending/one/rows")
+    spark.createDataFrame([], "value string").write.parquet(f"{path}/_pending/one/emptied")
+    shutil.rmtree(f"{path}/p=2024-01-02")
+    U.recover(spark, path, "p")
+    assert read() == [(2, "late"), (3, "x")]

@@ -52,24 +52,34 @@ def test_graph_cut_lineage_same_result(spark):
         "LogicalRDD" in a._jdf.queryExecution().optimizedPlan().toString()
 
 
-def test_correlation_blocked_equals_single_block(spark):
-    """Block-pair decomposition (tiny blocks) gives the same matrix as one block."""
-    from datetime import datetime, timedelta
-    import barlake.operators.correlation as Q
-    rows = []
-    for s in range(7):
-        for d in range(40):
-            if (s * 7 + d) % 5:
-                r = ((s + 1) * (d + 3) % 11) / 10.0 - 0.4 + s * 0.01 * d
-                rows.append((f"S{s}", datetime(2024, 1, 1) + timedelta(days=d), None if (s + d) % 13 == 0 else r))
-    daily = spark.createDataFrame(rows, "symbol string, trade_date timestamp_ntz, daily_return double")
-    one = {(r.symbol1, r.symbol2): (round(r.correlation, 9) if r.correlation is not None else None,
-                                    r.observation_count)
-           for r in Q.correlation(daily, None, days=None).collect()}
-    blk = {(r.symbol1, r.symbol2): (round(r.correlation, 9) if r.correlation is not None else None,
-                                    r.observation_count)
-           for r in Q.correlation(daily, None, days=None, block=3, chunk=4, cells=8).collect()}
-    assert len(one) == 21 and one == blk
+def test_correlation_of_a_small_universe_among_many(spark):
+    """Every pair of a named universe out of 6,000 symbols, against the formula."""
+    import itertools
+    import math
+    from datetime import datetime
+    from barlake.operators.correlation import correlation
+    days = [datetime(2024, 1, d) for d in range(1, 11)]
+    frame = spark.range(6000).select(F.concat(F.lit("S"), F.lpad(F.col("id").cast("string"), 4, "0")).alias("symbol"),
+                                     F.explode(F.array(*[F.lit(d).cast("timestamp_ntz") for d in days])).alias("trade_date"))
+    r = F.pmod(F.xxhash64("symbol", "trade_date"), F.lit(1000)) / 1000.0
+    daily = frame.select("symbol", "trade_date", F.when(F.dayofmonth("trade_date") == F.length("symbol"), None)
+                         .when(F.col("symbol") == "S0004", F.lit(1.0)).otherwise(r).alias("daily_return"))
+    names = [f"S{i:04d}" for i in (4, 17, 1200, 5999)]
+    got = {(x.symbol1, x.symbol2): (x.correlation, x.observation_count) for x in correlation(daily, names, days=None).collect()}
+    frame = spark.createDataFrame([(n,) for n in names], "symbol string")
+    assert got == {(x.symbol1, x.symbol2): (x.correlation, x.observation_count)
+                   for x in correlation(daily, frame, days=None).collect()}
+    rows = {n: {x.trade_date: x.daily_return for x in daily.filter(F.col("symbol") == n).collect()} for n in names}
+    assert set(got) == set(itertools.combinations(names, 2))
+    for (a, b), (c, n) in got.items():
+        xy = [(rows[a][d], rows[b][d]) for d in days if rows[a][d] is not None and rows[b][d] is not None]
+        mx, my = (sum(v) / len(xy) for v in zip(*xy))
+        sxy, sxx, syy = (sum(f) for f in zip(*[((x - mx) * (y - my), (x - mx) ** 2, (y - my) ** 2) for x, y in xy]))
+        assert n == 10
+        if a == "S0004":
+            assert c is None
+        else:
+            assert math.isclose(c, sxy / math.sqrt(sxx * syy), rel_tol=1e-9)
 
 
 def test_cluster_rewrite_splits_hot_key(spark):
@@ -81,14 +91,3 @@ def test_cluster_rewrite_splits_hot_key(spark):
     per_part = out.where(F.col("symbol") == "HOT").groupBy(F.spark_partition_id().alias("p")).count().collect()
     assert len(per_part) > 1 and sum(r["count"] for r in per_part) == 10_000
     assert out.count() == 30_000
-
-
-def test_dense_index_matches_global_rank(spark):
-    from pyspark.sql import Window
-    from barlake.operators.correlation import dense_index
-    df = spark.range(5000).select(F.concat(F.lit("S"), F.lpad((F.col("id") * 7919 % 5000).cast("string"), 5, "0"))
-                                  .alias("symbol")).distinct()
-    got = {r.symbol: (r.i, r.k) for r in dense_index(df, "symbol", "i", "k", 6).collect()}
-    exp = {r.symbol: r.i for r in df.withColumn("i", F.row_number().over(Window.orderBy("symbol")) - 1).collect()}
-    assert {s: v[0] for s, v in got.items()} == exp
-    assert {v[1] for v in got.values()} == {len(exp)}

@@ -34,6 +34,46 @@ def test_bronze_stream_exactly_once_and_quarantine(spark, tmp_dir):
     assert spark.read.parquet(f"{tmp_dir}/q").count() == 1
 
 
+def test_unusable_first_batch_then_quarantine_and_metrics(spark, tmp_dir):
+    """A first batch of unusable and malformed rows only: no crash, nothing lost, failures counted."""
+    from barlake.operators.upsert import read_table
+    from barlake.streaming.medallion import MedallionPaths, start_medallion_stream
+    landing = f"{tmp_dir}/land9"
+    paths = MedallionPaths(*[f"{tmp_dir}/m9_{x}" for x in ("silver", "daily", "analytics")])
+    bar = '{"symbol":"AAPL","timestamp":"2024-01-02T10:00:00","open":%s,"high":2.0,"low":0.5,"close":1.5,"volume":10}\n'
+
+    def run(day, lines):
+        os.makedirs(f"{landing}/batch_id={day}")
+        with open(f"{landing}/batch_id={day}/part-0.json", "w") as f:
+            f.write(lines)
+        q = start_medallion_stream(spark, landing, paths, f"{tmp_dir}/ck9", max_files_per_trigger=5,
+                                   quarantine_path=f"{tmp_dir}/q9")
+        q.awaitTermination()
+        return q.lastProgress.observedMetrics["bronze_expectations"]
+
+    seen = run("20240102", bar % "null" + '{"symbol": \n')
+    assert (seen["input_records"], seen["failed_well_formed"]) == (2, 1)
+    assert spark.read.parquet(f"{tmp_dir}/q9").count() == 1
+    run("20240103", bar % "1.0")
+    assert read_table(spark, paths.daily).count() == 1 and read_table(spark, paths.analytics).count() == 1
+    run("20240104", bar % "null")         # the day's only bar becomes unusable
+    for path in (paths.silver, paths.daily, paths.analytics):
+        left = read_table(spark, path)
+        assert left is None or left.count() == 0
+
+
+def test_array_files_stream(spark, tmp_dir):
+    from barlake.streaming.bronze import start_bronze_stream
+    os.makedirs(f"{tmp_dir}/raw_stream")
+    with open(f"{tmp_dir}/raw_stream/bars_20240105.json", "w") as f:
+        f.write('[{"symbol": "ZQ", "timestamp": "2024-01-05T10:00:00", "close": 1.5},\n'
+                ' {"symbol": "ZR", "timestamp": "2024-01-05T11:00:00", "close": 2.5}]')
+    for q in start_bronze_stream(spark, f"{tmp_dir}/raw_stream", f"{tmp_dir}/b_arr", f"{tmp_dir}/ck_arr", array_files=True):
+        q.awaitTermination()
+    got = spark.read.parquet(f"{tmp_dir}/b_arr").collect()
+    assert sorted((r.symbol, r.batch_id) for r in got) == [("ZQ", "20240105"), ("ZR", "20240105")]
+
+
 def test_array_files_layout(spark, tmp_dir):
     """Pretty-printed JSON array files (the reference's landing format) via multiLine."""
     from barlake.sources.landing import read_bars_batch, to_bronze

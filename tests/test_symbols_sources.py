@@ -7,8 +7,8 @@ from barlake.functions.symbols import is_valid_symbol, normalize_interval
 from barlake.sources.html import extract_symbols
 from barlake.sources.landing import normalize_bars, session_hours
 
-VALID = ["AAPL", "BRK.B", "A", "ABC12", "1A", "A.B"]
-INVALID = ["", "123", "TOOLONG", "aapl", "AAP-L", "AAP L", ".A", "A."]
+VALID = ["ZQ", "Q1W2E", "X.Y.Z", "\u00c9TA", "9Z", "W"]           # up to five, dots inside, any capital letter
+INVALID = ["Q1W2EX", "X.Y.ZZ", "98765", "4.5", "zq", "Zq", "Z_Q", "Z\tQ", ".ZQ", "ZQ.", ".", " "]
 
 
 def test_symbol_truth_table(spark):
@@ -38,6 +38,26 @@ def test_extract_symbols_links_dedup_sorted(spark):
     assert got == ["AAPL", "BRK.B", "MSFT"]
 
 
+def test_table_symbols_first_table_second_cell(spark):
+    from barlake.sources.html import table_symbols
+    html = ("<div>no</div><Table id=a><thead><tr><th>#</th><th>Ticker name</th></tr></thead>"
+            "<tr><td>1</td><td><a class='k' href='/stocks/qq/'>Q Corp</a></td></tr>"
+            "<tr><td>2</td><td>\n <b>goog</b> </td></tr>"                      # text of a cell without a link
+            "<tr><td>3</td><td><a href=\"/other/x\">zz.a</a></td></tr>"       # a link elsewhere: its text
+            "<tr><td>4</td><td><a href=\"/stocks/MUCHTOOLONG/\">UV</a></td></tr>"
+            "<tr><td>5</td><td>QQ</td><td>THIRD</td></tr><tr><td>ONE</td></tr></Table>"
+            "<table><tr><td>1</td><td>NEXT</td></tr></table>")
+    pages = spark.createDataFrame([(1, html), (2, "<p>AA</p>"), (3, None), (4, "<table></table>")], "page_id long, html string")
+    assert [r.symbol for r in table_symbols(pages).collect()] == ["GOOG", "QQ", "UV", "ZZ.A"]
+
+
+def test_blank_symbols_are_rejected():
+    from datetime import datetime
+    from barlake.sources.requests import bar_request
+    with pytest.raises(ValueError):
+        bar_request(["A", "  "], datetime(2024, 1, 1), datetime(2024, 1, 2))
+
+
 def test_normalize_bars_missing_to_zero(spark):
     from datetime import datetime
     rows = [(datetime(2024, 1, 2), float("nan"), None, 1.0, 2.0, None)]
