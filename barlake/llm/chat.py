@@ -70,8 +70,11 @@ def pack(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
     parent = [(F.col("k") - 1).alias("pk"), F.col("p1").bitwiseXOR(F.col("x1")).alias("q1"),
               F.col("p2").bitwiseXOR(F.col("x2")).alias("q2")]
     children = nodes.select(*node, *parent)
-    forks = children.groupBy("pk", "q1", "q2").count().filter("count > 1").drop("count")
-    branches = children.join(forks, ["pk", "q1", "q2"], "left_semi").select(*node, F.lit(True).alias("branch"))
+    # every first turn counts as a branch, so the root's children, a third of all nodes or more, meet nowhere
+    later = children.filter("k > 1")
+    forks = later.groupBy("pk", "q1", "q2").count().filter("count > 1").drop("count")
+    branches = later.join(forks, ["pk", "q1", "q2"], "left_semi").select(*node).union(
+        children.filter("k = 1").select(*node)).withColumn("branch", F.lit(True))
     steps = keyed.join(branches, node, "left")
     paths = steps.groupBy("conv_id").agg(
         F.sort_array(F.collect_list(F.when(F.col("branch"), F.struct(*node)))).alias("path"), F.max("upto").alias("all"))

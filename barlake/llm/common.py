@@ -15,10 +15,12 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``; only where that is unset (tests) a private one."""
+    """The folder in ``spark.checkpoint.dir``; only a local session (tests) may leave it unset."""
     sc = spark.sparkContext
-    path = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
+    path = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not path:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         path = tempfile.mkdtemp(prefix="barlake-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(path)
