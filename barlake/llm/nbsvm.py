@@ -27,6 +27,7 @@ from barlake.llm.common import ship, stored
 BITS = 17                   # features: 2^BITS
 GRAMS = (2, 3, 4)           # bytes of an n-gram
 SAMPLE = 5000               # labelled rows at most that the linear model and the curve are fitted on
+BROADCAST_LABELS = 1_000_000    # teaching labels (two numbers each) are broadcast up to this many; beyond, texts are shuffled
 COST, EPOCHS = 1.0, 30
 
 
@@ -128,7 +129,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     labels = stored(labels)
     n = max(1, labels.count())
     place = F.pmod(F.xxhash64(F.lit("sample"), "doc_id"), F.lit(1 << 30))
-    rows = docs.select("doc_id", F.col("text").cast("binary").alias("text")).join(labels, "doc_id").select(
+    known = F.broadcast(labels) if n <= BROADCAST_LABELS else labels
+    rows = docs.select("doc_id", F.col("text").cast("binary").alias("text")).join(known, "doc_id").select(
         place.alias("place"), (place < F.lit(int(min(1.0, 1.2 * sample / n) * (1 << 30)))).alias("picked"), "text", "label")
     size = 1 << BITS
 
