@@ -9,6 +9,7 @@ and indicators are recomputed from each affected symbol's full series instead of
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -93,6 +94,26 @@ def refresh_daily(silver_all: DataFrame, daily_target: DataFrame | None, changed
     return kept.unionByName(recomputed), recomputed
 
 
+def lookback_start(daily: DataFrame, touched: DataFrame, part_col: str, days: int = 128) -> date | None:
+    """The first day of ``part_col`` that :func:`refresh_indicators` reads for ``touched``; None: all days.
+
+    Steps back from the first touched day over spans that double until no symbol lacks look-back rows and still has
+    older ones. A step reads the keys of the days in the span, and symbols alone before it.
+    """
+    first = touched.groupBy("symbol").agg(F.min("trade_date").alias("_from"))
+    lo = first.agg(F.to_date(F.min("_from"))).first()[0]
+    while lo is not None and days < 1 << 17:
+        start = lo - timedelta(days=days)
+        full = (daily.filter(F.col(part_col) >= F.lit(start)).join(first, "symbol")
+                .filter(F.col("trade_date") < F.col("_from"))
+                .groupBy("symbol").count().filter(F.col("count") >= LOOKBACK_ROWS))
+        short = first.join(full, "symbol", "left_anti")
+        if daily.filter(F.col(part_col) < F.lit(start)).join(short, "symbol", "left_semi").isEmpty():
+            return start
+        days *= 2
+    return None
+
+
 def refresh_indicators(daily_all: DataFrame, analytics_target: DataFrame | None, touched: DataFrame,
                        run_ts=None) -> DataFrame:
     """Recompute indicators of every row at or after each symbol's earliest touched day.

@@ -308,8 +308,13 @@ reg("mon_silver", with_ctes("silver") + f"""SELECT CAST(processed_timestamp AS D
     avg(quality_score) AS avg_quality_score, min(quality_score) AS min_quality_score,
     max(quality_score) AS max_quality_score,
     sum(CASE WHEN is_valid = 1 THEN 1 ELSE 0 END) * 100.0 / count(*) AS validity_rate_pct
-    FROM silver WHERE processed_timestamp >= {_MA} - INTERVAL 7 DAY GROUP BY 1""",
-    ("avg_quality_score", "validity_rate_pct"))(lambda s, d: MON.silver_daily(silver(s, d), MON_ASOF))
+    FROM (SELECT is_valid, quality_score, processed_timestamp - INTERVAL (hour("timestamp")) DAY AS processed_timestamp
+          FROM silver) spread
+    WHERE processed_timestamp >= {_MA} - INTERVAL 7 DAY GROUP BY 1""",
+    ("avg_quality_score", "validity_rate_pct"))(
+    # stamps spread over a day for each hour: several process days, and older ones that the report leaves out
+    lambda s, d: MON.silver_daily(silver(s, d).withColumn(
+        "processed_timestamp", F.col("processed_timestamp") - F.make_dt_interval(days=F.hour("timestamp"))), MON_ASOF))
 
 _GC = """SELECT symbol, count(*) AS trading_days, min(trade_date) AS first_date, max(trade_date) AS last_date,
     CAST(datediff('day', min(trade_date), max(trade_date)) AS INTEGER) AS date_range_days,

@@ -63,6 +63,20 @@ def symbols_registry(symbols: DataFrame, source: str, run_ts=None, active: bool
         "is_active": F.lit(1 if active else 0)})
 
 
+def write_symbols(registry: DataFrame, path: str) -> None:
+    """Store the registry, one partition per day of ingestion; a day written again is replaced."""
+    dated = registry.withColumn("ingestion_date", F.to_date("ingestion_timestamp"))
+    (dated.hint("rebalance", "ingestion_date").write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("ingestion_date").parquet(path))
+
+
+def read_symbols(spark: SparkSession, path: str) -> DataFrame:
+    """The stored registry as of its last day of ingestion."""
+    stored = spark.read.parquet(path)
+    last = stored.select(F.max("ingestion_date")).scalar()
+    return conform(stored.filter(F.col("ingestion_date") == last), BRONZE_SYMBOLS_SCHEMA)
+
+
 PROVIDER_COLS = {"Open": "open", "High": "high", "Low": "low", "Close": "close", "Volume": "volume"}
 
 

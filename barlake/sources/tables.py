@@ -7,6 +7,10 @@ whole directories.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -73,6 +77,16 @@ def analyze(spark: SparkSession, name: str) -> DataFrame:
     return spark.sql(f"DESCRIBE TABLE EXTENDED {name}")
 
 
+@contextmanager
+def cached(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK_DESER) -> Iterator[DataFrame]:
+    """Keep ``df`` for several queries inside a ``with`` block; what doesn't fit in memory goes to disk."""
+    kept = df.persist(level)
+    try:
+        yield kept
+    finally:
+        kept.unpersist()
+
+
 def explain_text(df: DataFrame, mode: str = "formatted") -> str:
     """The physical plan as text (for plan assertions and reviews)."""
     return df._jdf.queryExecution().explainString(

@@ -19,7 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.clean import add_quality, dedup_latest, drop_null_keys, ts_lit
 from ..operators.daily import daily_ohlcv, day_of
-from ..operators.incremental import refresh_indicators, restrict_to
+from ..operators.incremental import lookback_start, refresh_indicators, restrict_to
 from ..operators.quality import observe_expectations
 from ..operators.upsert import prune_partitions, read_table, upsert_path
 from ..schemas import GOLD_DAILY_OHLCV_SCHEMA, SILVER_BARS_SCHEMA, conform
@@ -48,6 +48,13 @@ def _table(spark: SparkSession, path: str, schema) -> DataFrame:
     return found
 
 
+def recent_daily(spark: SparkSession, paths: MedallionPaths, touched: DataFrame) -> DataFrame:
+    """The daily table from the first day on that the indicators of ``touched`` need (a partition filter)."""
+    daily = _table(spark, paths.daily, GOLD_DAILY_OHLCV_SCHEMA)
+    start = lookback_start(daily, touched, PART)
+    return daily if start is None else daily.filter(F.col(PART) >= F.lit(start))
+
+
 def process_bronze_batch(spark: SparkSession, batch: DataFrame, paths: MedallionPaths, run_ts=None) -> None:
     """Merge one batch of bronze rows into silver, daily and analytics on disk."""
     latest = dedup_latest(drop_null_keys(batch)).persist()
@@ -72,8 +79,7 @@ def process_bronze_batch(spark: SparkSession, batch: DataFrame, paths: Medallion
                     deletes=gone_days)
 
         # rows of days that vanished from gold vanish from analytics too
-        daily_all = _table(spark, paths.daily, GOLD_DAILY_OHLCV_SCHEMA).drop(PART)
-        fresh = refresh_indicators(daily_all, None, touched, run_ts)
+        fresh = refresh_indicators(recent_daily(spark, paths, touched).drop(PART), None, touched, run_ts)
         upsert_path(spark, _with_part(fresh, "trade_date"), paths.analytics, ["symbol", "trade_date"], PART,
                     deletes=gone_days)
     finally:

@@ -108,3 +108,35 @@ def test_clean_source_archives_processed_files(spark, tmp_dir):
     time.sleep(1)
     archived = [f for _, _, fs in os.walk(f"{tmp_dir}/archive") for f in fs if f.endswith(".json")]
     assert len(archived) >= 1   # files of committed batches are moved out of the landing zone
+
+
+def test_micro_batch_reads_recent_days_only(spark, tmp_dir):
+    from datetime import datetime, timedelta
+
+    from barlake.operators.incremental import refresh_indicators
+    from barlake.schemas import GOLD_DAILY_OHLCV_SCHEMA
+    from barlake.sources.tables import explain_text
+    from barlake.streaming import medallion as ME
+
+    end = datetime(2024, 1, 1)
+    day = lambda i: end - timedelta(days=i)
+    rows = ([("LONG", day(i)) for i in range(400)] + [("SPARSE", day(6 * i)) for i in range(100)]
+            + [("NEW", day(i)) for i in range(3)])
+    daily = spark.createDataFrame([(s, t, 1.0, 2.0, 0.5, 1.0 + (t.day * 7 + t.month) % 11, 10, 1, 0.5, 1.5, 1.25, end)
+                                   for s, t in rows], GOLD_DAILY_OHLCV_SCHEMA)
+    paths = ME.MedallionPaths(f"{tmp_dir}/s", f"{tmp_dir}/d", f"{tmp_dir}/a")
+    ME._with_part(daily, "trade_date").write.partitionBy(ME.PART).parquet(paths.daily)
+
+    def touched(*names):
+        return spark.createDataFrame([(s, end) for s in names], "symbol string, trade_date timestamp_ntz")
+
+    def days(*names):
+        recent = ME.recent_daily(spark, paths, touched(*names))
+        assert f"{ME.PART}" in explain_text(recent).split("PartitionFilters:")[1].split("\n")[0]
+        a, b = (refresh_indicators(x, None, touched(*names)).drop("updated_timestamp", "calculated_timestamp")
+                for x in (recent.drop(ME.PART), daily))
+        assert sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
+        return recent.select(ME.PART).distinct().count()
+
+    assert days("LONG") == days("LONG", "NEW") == 129      # a symbol without older rows widens nothing
+    assert days("LONG", "SPARSE") > 290                    # 49 rows of this one lie further back

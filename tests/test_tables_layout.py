@@ -130,3 +130,25 @@ def test_bucketed_gold_join_is_shuffle_free(spark, tmp_dir):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.requireAllClusterKeysForCoPartition")
+
+
+def test_symbol_registry_round_trip(spark, tmp_dir):
+    from barlake.sources import landing as L
+
+    one = spark.createDataFrame([("A",), ("B",), ("B",), (None,)], "symbol string")
+    L.write_symbols(L.symbols_registry(one, "page", "2024-01-02 06:00:00"), f"{tmp_dir}/symbols")
+    L.write_symbols(L.symbols_registry(one.limit(1), "page", "2024-01-03 06:00:00"), f"{tmp_dir}/symbols")
+    assert [r.symbol for r in L.read_symbols(spark, f"{tmp_dir}/symbols").collect()] == ["A"]
+    two = spark.createDataFrame([("C",), ("D",)], "symbol string")
+    L.write_symbols(L.symbols_registry(two, "page", "2024-01-03 09:00:00"), f"{tmp_dir}/symbols")     # replaces the day
+    got = L.read_symbols(spark, f"{tmp_dir}/symbols")
+    assert sorted(r.symbol for r in got.collect()) == ["C", "D"]
+    assert got.columns == [f.name for f in L.BRONZE_SYMBOLS_SCHEMA.fields]
+    assert spark.read.parquet(f"{tmp_dir}/symbols").count() == 4
+
+
+def test_cached_is_released(spark):
+    df = spark.range(10).withColumn("x", F.col("id") * 2)
+    with TB.cached(df) as kept:
+        assert kept.storageLevel.useMemory and kept.storageLevel.useDisk and kept.count() == 10
+    assert not df.storageLevel.useMemory
