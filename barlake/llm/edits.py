@@ -74,24 +74,30 @@ class TokenTree:
             self.chars[i] = self.chars[2 * i] + self.chars[2 * i + 1]
             self.tokens[i] = self.tokens[2 * i] + self.tokens[2 * i + 1]
 
-    def _leaves(self, begin: int, safe: int, ends: dict[int, int]) -> tuple[list[int], list[int], int]:
-        """Encode from ``begin`` on, up to an end of an old leaf at or behind ``safe``; (chars, tokens, end)."""
+    def _leaves(self, begin: int, safe: int, old: int, old_end: int) -> tuple[list[int], list[int], int]:
+        """Encode from ``begin`` on, up to an end of an old leaf at or behind ``safe``: (chars, tokens, that leaf).
+
+        ``old_end`` is where leaf ``old`` ends in the new text; later ends are looked up as the encoding passes them.
+        """
         chars, tokens, n, count, at = [], [], 0, 0, begin
-        start = begin
+        start, size = begin, len(self.chars) // 2
         for m in self.bpe.pattern.finditer(self.text, begin):
             at, n, count = m.end(), n + 1, count + self.bpe[m.group()]
             self.encoded += 1
-            stop = at >= safe and at in ends
+            while old_end < at and old < size - 1:
+                old += 1
+                old_end += self.chars[size + old]
+            stop = at >= safe and at == old_end
             if n == LEAF or stop:
                 chars.append(at - start)
                 tokens.append(count)
                 start, n, count = at, 0, 0
             if stop:
-                return chars, tokens, at
+                return chars, tokens, old
         if n:
             chars.append(at - start)
             tokens.append(count)
-        return chars, tokens, at
+        return chars, tokens, size - 1
 
     @property
     def total(self) -> int:
@@ -121,19 +127,13 @@ class TokenTree:
             begin -= self.chars[size + first]
         grown = len(inserted) - deleted
         self.text = self.text[:place] + inserted + self.text[place + deleted:]
-        ends, old, at = {}, first, begin
-        safe = place + len(inserted)
-        # old ends behind the edit, in places of the new text; a few leaves are enough to meet one almost always
-        while old < size:
-            at += self.chars[size + old]
-            if at + grown >= safe and at >= place + deleted and self.chars[size + old]:
-                ends[at + grown] = old
+        old, end = first, begin + self.chars[size + first]
+        while end < place + deleted and old < size - 1:     # the leaves that the edit cuts
             old += 1
-        chars, tokens, end = self._leaves(begin, safe, ends)
-        last = ends.get(end, size - 1) if chars or end in ends else size - 1
-        self._replace(first, last, chars, tokens)
+            end += self.chars[size + old]
+        self._replace(first, *self._leaves(begin, place + len(inserted), old, end + grown))
 
-    def _replace(self, first: int, last: int, chars: list[int], tokens: list[int]) -> None:
+    def _replace(self, first: int, chars: list[int], tokens: list[int], last: int) -> None:
         """Put new leaves in the place of old ones; where they don't fit the heap is laid out anew, unencoded."""
         size, room = len(self.chars) // 2, last - first + 1
         if len(chars) > room:

@@ -437,3 +437,23 @@ def test_pipeline_runs_and_stages_keep_their_columns(spark, tmp_path):
     empty = t.limit(0)
     for _, stage in P.STAGES:
         assert stage(spark, empty, SF).count() == 0
+
+
+def test_token_tree_with_small_leaves(monkeypatch):
+    import random
+    bpe_ = edits.ByteBpe(open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb").read(), public_tokenizers.PATTERN)
+    rng = random.Random(5)
+    bits = ["a", "'", "r", "e", " ", "  ", "\n", "word ", "don't ", "12", "!", "é", "中", " \n ", "'ll"]
+    for leaf in (1, 2, 5):
+        monkeypatch.setattr(edits, "LEAF", leaf)
+        for size in (0, 1, 40, 300):
+            text = "".join(rng.choices(bits, k=size))
+            tree = edits.TokenTree(bpe_, text)
+            for _ in range(60):
+                p, k = rng.randint(0, len(text) + 2), rng.choice([0, 1, 3, 40, 10_000 if rng.random() < 0.1 else 2])
+                s = "".join(rng.choices(bits, k=rng.choice([0, 1, 3, 30])))
+                tree.edit(p, k, s)
+                text = text[:p] + s + text[p + k:]
+                assert tree.text == text and tree.total == edits.TokenTree(bpe_, text).total
+                ends = {0, *(m.end() for m in bpe_.pattern.finditer(text))}
+                assert set(np.cumsum(tree.chars[len(tree.chars) // 2:]).tolist()) <= ends
