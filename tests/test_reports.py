@@ -73,3 +73,19 @@ def test_completeness_exact_and_approx(spark):
     approx = DQ.completeness(daily, "daily", "trade_date", approx=True).collect()[0]
     assert (exact.unique_symbols, exact.unique_dates, exact.avg_bars_per_day) == (40, 25, 1.0)
     assert abs(approx.unique_symbols - 40) <= 2 and abs(approx.unique_dates - 25) <= 2
+
+
+def test_registered_gold_completeness_reads_every_symbol_day(spark):
+    import __spark_entry__ as E
+    from barlake.plans.registry import daily_bars
+    sf = "/root/testdata/sf0.001"
+    days = {}
+    for r in daily_bars(spark, sf).select("symbol", "trade_date").collect():
+        days.setdefault(r.symbol, []).append(r.trade_date)
+    out = {r.symbol: r for r in E.queries()["mon_gold_completeness"](spark, sf).collect()}
+    assert all(len(d) >= 20 for d in days.values()) and not set(out) & set(days)    # none falls below by a filter
+    for s, d in days.items():
+        for name, some in ((f"{s}.W", [x for x in d if x.day % 5 == 0]), (f"{s}.N", [x for x in d if x.day <= 10])):
+            assert (out[name].trading_days, out[name].first_date, out[name].last_date) == (len(some), min(some), max(some))
+        assert out[f"{s}.W"].completeness_status == "Missing Days Detected"
+        assert out[f"{s}.N"].completeness_status == "Complete"
