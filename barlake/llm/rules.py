@@ -6,7 +6,8 @@ the examples it covers go and the next rule is learned. The list is emitted as a
 expression on the statistics.
 
 Defined results: a null text has no words and fails the base rules; without labels of both kinds the list is empty and the
-base rules decide alone; ids labelled both ways don't teach; repeated rows are judged alike.
+base rules decide alone; ids labelled both ways don't teach; an id on several rows teaches once, by one of those that
+pass the base rules; repeated rows are judged alike.
 """
 
 from __future__ import annotations
@@ -181,8 +182,11 @@ def learn_from(stats: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> lis
     """Rules from rows (doc_id, STATS) and labels (doc_id, quality); at most ``sample`` labels are used."""
     known = F.broadcast(stored(_sampled(labels, sample)))       # at most ``sample`` rows of two numbers
     rows = stats.join(known, "doc_id").filter(~base_failed()).select(
-        "label", *[F.expr(e).alias(m) for m, e in MEASURES.items()]).orderBy("label", *MEASURES).limit(2 * sample)
-    got = rows.toArrow()
+        "doc_id", "label", *[F.expr(e).alias(m) for m, e in MEASURES.items()])
+    # one row per id, drawn by hash, whatever its rows: the labels bound what is gathered
+    one = F.min(F.struct(F.xxhash64(*MEASURES).alias("draw"), "label", *MEASURES)).alias("one")
+    got = rows.groupBy("doc_id").agg(one).select("one.label", *[f"one.{m}" for m in MEASURES]).toArrow()
+    got = got.sort_by([(c, "ascending") for c in ("label", *MEASURES)])
     x = {m: got[m].to_numpy() for m in MEASURES}
     return learn(x, got["label"].to_numpy() == 0)
 

@@ -403,6 +403,21 @@ def test_rules_keep_good_documents(spark, docs):
     assert rules.keep_good(docs.limit(0), labels).count() == 0
 
 
+@pytest.mark.parametrize("hot", [3, 4])
+def test_rules_learn_from_all_labels_beside_a_repeated_id(spark, hot):
+    ids = spark.range(300).select(F.col("id").alias("doc_id"), (F.col("id") % 3 != 0).cast("int").alias("quality"))
+    repeats = spark.range(2000).select(F.lit(hot).cast("long").alias("doc_id"), F.col("id").alias("n"))
+    rows = ids.select("doc_id", F.col("doc_id").alias("n")).union(repeats)
+    n = {"n_words": F.lit(1000), "word_chars": 4000 + F.col("n"), "n_lines": F.lit(5),
+         "n_symbols": F.when(F.col("doc_id") % 3 == 0, 200 + F.col("doc_id")).otherwise(F.col("doc_id") % 50)}
+    stats = rows.select("doc_id", *[n.get(s, F.lit(0)).cast("long").alias(s) for s in rules.STATS]).repartition(4)
+    learned = rules.learn_from(stats, ids, sample=300)
+    kept = stats.select("doc_id", rules.verdict(learned).alias("kept")).distinct().collect()
+    assert sum(r.kept == (r.doc_id % 3 != 0) for r in kept) >= 295      # the lowest bad value is a threshold, not above it
+    again = rules.learn_from(stats.repartition(7), ids, sample=300)
+    assert again == learned
+
+
 @pytest.mark.parametrize("name", ["op1_mix_sources", "op4_chat", "op7_top_k", "op8_warc"])
 def test_queries_equal_their_sql(spark, name):
     from barlake.llm import queries
