@@ -127,9 +127,9 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     spark = docs.sparkSession
     ship(spark)
     labels = stored(labels)
-    n = max(1, labels.count())
     place = F.pmod(F.xxhash64(F.lit("sample"), "doc_id"), F.lit(1 << 30))
-    known = F.broadcast(labels) if n <= BROADCAST_LABELS else labels
+    known = F.broadcast(labels) if labels.count() <= BROADCAST_LABELS else labels
+    n = max(1, docs.select("doc_id").join(known, "doc_id").count())      # teaching rows: ids alone are read
     rows = docs.select("doc_id", F.col("text").cast("binary").alias("text")).join(known, "doc_id").select(
         place.alias("place"), (place < F.lit(int(min(1.0, 1.2 * sample / n) * (1 << 30)))).alias("picked"), "text", "label")
     size = 1 << BITS

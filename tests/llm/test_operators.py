@@ -336,6 +336,16 @@ def test_classifier_on_odd_rows(spark, docs):
     assert nbsvm.classified(docs.limit(0), labels).count() == 0
 
 
+def test_classifier_samples_the_matched_rows(spark):
+    labels = spark.range(50_000).select(F.col("id").alias("doc_id"), (F.col("id") % 2).cast("int").alias("label"))
+    docs = spark.range(0, 50_000, 499).select(F.col("id").alias("doc_id"), F.concat(
+        F.when(F.col("id") % 2 == 1, "fine prose of calm water ").otherwise("#### buy $$$ now !!! "), "id").alias("text"))
+    model = nbsvm.fit(docs, labels, sample=200)     # 101 of 50,000 labels have a row: all of them are fitted on
+    seen = np.zeros(1 << nbsvm.BITS, bool)
+    of = lambda text: model.score(nbsvm.features(text, seen))
+    assert model.slope and of(b"fine prose of calm water") > 0.7 > 0.3 > of(b"#### buy $$$ now !!!")
+
+
 def test_dual_descent_separates():
     rng = np.random.default_rng(0)
     y = rng.choice([-1.0, 1.0], 300)
