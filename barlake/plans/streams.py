@@ -53,11 +53,14 @@ def _medallion_stream(spark, sf_dir, table: str):
 
 
 def _bad_lines(spark, sf_dir, root: str):
-    """A landing folder of one malformed line per nation among well-formed bars."""
-    nation = FX.table(spark, sf_dir, "nation")
-    line = F.concat(F.lit('{"symbol":"N'), F.col("n_nationkey"), F.lit('","timestamp":"2024-01-02T10:00:00","close":1.5'))
-    nation.select(F.explode(F.array(F.concat(line, F.lit("}")), line)).alias("value"),
-                  F.lit("20240102").alias("batch_id")).write.partitionBy("batch_id").text(f"{root}/landing")
+    """A landing folder of all bars, a line each; those whose volume divides by 7 lack the closing brace."""
+    stamp = F.coalesce(F.concat(F.lit('"'), F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss"), F.lit('"')), F.lit("null"))
+    cents = F.coalesce(F.floor(F.col("close") * 100).cast("string"), F.lit("null"))
+    line = F.concat(F.lit('{"symbol":"'), "symbol", F.lit('","timestamp":'), stamp, F.lit(',"close":'), cents, F.lit(',"volume":'),
+                    F.col("volume").cast("string"))
+    bronze(spark, sf_dir).select(
+        F.concat(line, F.when(F.col("volume") % 7 == 0, "").otherwise("}")).alias("value"), "batch_id",
+    ).write.partitionBy("batch_id").text(f"{root}/landing")
     queries = start_bronze_stream(spark, f"{root}/landing", f"{root}/bronze", f"{root}/ckpt", "availableNow",
                                   quarantine_path=f"{root}/quarantine", max_files_per_trigger=100)
     for q in queries:
@@ -65,8 +68,10 @@ def _bad_lines(spark, sf_dir, root: str):
     return spark.read.parquet(f"{root}/quarantine").select("raw_record", F.col("source").cast("string").alias("source"))
 
 
-reg("bronze_quarantine", """SELECT '{"symbol":"N' || n_nationkey || '","timestamp":"2024-01-02T10:00:00","close":1.5' AS raw_record,
-    '20240102' AS source FROM nation""")(lambda s, d: _bad_lines(s, d, _root(s)))
+reg("bronze_quarantine", with_ctes("bronze") + """SELECT '{"symbol":"' || symbol || '","timestamp":'
+        || coalesce(strftime("timestamp", '"%Y-%m-%dT%H:%M:%S"'), 'null') || ',"close":'
+        || coalesce(CAST(CAST(floor(close * 100) AS BIGINT) AS VARCHAR), 'null') || ',"volume":' || volume AS raw_record,
+    batch_id AS source FROM bronze WHERE volume % 7 = 0""")(lambda s, d: _bad_lines(s, d, _root(s)))
 
 
 def _late_invalidation(spark, sf_dir):

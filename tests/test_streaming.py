@@ -140,3 +140,13 @@ def test_micro_batch_reads_recent_days_only(spark, tmp_dir):
 
     assert days("LONG") == days("LONG", "NEW") == 129      # a symbol without older rows widens nothing
     assert days("LONG", "SPARSE") > 290                    # 49 rows of this one lie further back
+
+
+def test_registered_quarantine_lands_every_bar(spark):
+    import __spark_entry__ as E
+    from barlake.plans.registry import bronze
+    sf = "/root/testdata/sf0.001"
+    b = bronze(spark, sf)
+    out = E.queries()["bronze_quarantine"](spark, sf).collect()
+    assert len(out) == b.filter("volume % 7 = 0").count() > 50
+    assert {r.source for r in out} <= {r.batch_id for r in b.select("batch_id").distinct().collect()}
