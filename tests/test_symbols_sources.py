@@ -82,3 +82,13 @@ def test_session_hours_with_zone(spark):
     df = spark.createDataFrame([(t,) for t in ts], "timestamp timestamp_ntz")
     got = [r.timestamp for r in session_hours(df, tz="America/New_York").collect()]
     assert got == [datetime(2024, 1, 2, 14, 30)]
+
+
+def test_registered_table_symbols_read_the_pages_own_html(spark, monkeypatch):
+    import __spark_entry__ as E
+    from barlake.plans import extra
+    sf = "/root/testdata/sf0.001"
+    monkeypatch.setattr(extra.H, "table_symbols", lambda pages: pages)
+    given = {r.page_id: r.html for r in E.queries()["extract_table_symbols"](spark, sf).collect()}
+    pages = spark.read.parquet(f"{sf}/pages.parquet").collect()
+    assert len(pages) == len(given) and all(given[r.page_id].startswith(r.html) for r in pages)
