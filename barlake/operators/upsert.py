@@ -74,7 +74,7 @@ def upsert_path(spark: SparkSession, source: DataFrame, path: str, keys: Sequenc
     # REBALANCE (not repartition): AQE splits a hot day into several write tasks
     merged.hint("rebalance", partition_col).write.partitionBy(partition_col).format(fmt).save(f"{pending}/rows")
     left = read_table(spark, f"{pending}/rows", fmt)
-    emptied = parts if left is None else parts.join(left.select(partition_col).distinct(), partition_col, "left_anti")
+    emptied = parts if left is None else _having(parts, left, partition_col, "left_anti")
     emptied.select(F.col(partition_col).cast("string").alias("value")).write.parquet(f"{pending}/emptied")
     recover(spark, path, partition_col, fmt)
 
@@ -106,11 +106,18 @@ def prune_partitions(table: DataFrame, partition_col: str, values: DataFrame) ->
     The least and greatest value become literal ``PartitionFilters``, so partitions outside are never listed
     or read; a semi join keeps those that occur.
     """
-    lo, hi = values.agg(F.min(partition_col), F.max(partition_col)).first()
+    part = F.col(partition_col)
+    lo, hi, null = values.agg(F.min(part), F.max(part), F.max(part.isNull())).first()
     if lo is None:
-        return table.filter(F.col(partition_col).isNull())
-    inside = table.filter(F.col(partition_col).between(F.lit(lo), F.lit(hi)))
-    return inside.join(values.select(partition_col).distinct(), partition_col, "left_semi")
+        return table.filter(part.isNull()) if null else table.filter(F.lit(False))
+    span = part.between(F.lit(lo), F.lit(hi))
+    return _having(table.filter(span | part.isNull() if null else span), values, partition_col, "left_semi")
+
+
+def _having(df: DataFrame, values: DataFrame, col: str, how: str) -> DataFrame:
+    """Semi or anti join of ``df`` with the values of ``col`` in ``values``; null is a value like any other."""
+    v = values.select(F.col(col).alias(f"_{col}_value")).distinct()
+    return df.join(v, F.col(col).eqNullSafe(F.col(f"_{col}_value")), how)
 
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet",

@@ -144,3 +144,17 @@ def test_upsert_path_empties_a_partition_and_finishes_after_a_crash(spark, tmp_p
     shutil.rmtree(f"{path}/p=2024-01-02")
     U.recover(spark, path, "p")
     assert read() == [(2, "late"), (3, "x")]
+
+
+def test_upsert_path_keeps_null_partition_values(spark, tmp_dir):
+    path, d = f"{tmp_dir}/t", datetime(2024, 1, 1).date()
+    frame = lambda *rows: spark.createDataFrame(rows, "k int, v string, p date")
+    rows = lambda: sorted((r.k, r.v, str(r.p)) for r in read_table(spark, path).collect())
+    upsert_path(spark, frame((1, "a", None), (2, "b", d), (5, "e", None)), path, ["k"], "p")
+    assert rows() == [(1, "a", "None"), (2, "b", "2024-01-01"), (5, "e", "None")]
+    for _ in range(2):      # and again as a replay
+        upsert_path(spark, frame((1, "A", None), (3, "c", d)), path, ["k"], "p")
+        assert rows() == [(1, "A", "None"), (2, "b", "2024-01-01"), (3, "c", "2024-01-01"), (5, "e", "None")]
+    upsert_path(spark, frame((2, "B", d)), path, ["k"], "p",
+                deletes=frame((1, "", None), (5, "", None)).select("k", "p"))
+    assert rows() == [(2, "B", "2024-01-01"), (3, "c", "2024-01-01")]
