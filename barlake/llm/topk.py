@@ -76,19 +76,27 @@ def best(queries: pa.Table, candidates: pa.Table, k: int) -> pa.Table:
                      "vec_id": pa.array(vec, pa.int64()), "score": pa.array(score, pa.int64())})
 
 
-def top_k(vectors: DataFrame, is_query: Column, k: int = 10) -> DataFrame:
-    """(query_id, rank, vec_id, score) from rows (vec_id, v): each query's k best, ties to the smaller id."""
-    spark = vectors.sparkSession
-    ship(spark)
+def dealt(vectors: DataFrame, is_query: Column) -> tuple[DataFrame, DataFrame]:
+    """Queries and candidates in their blocks (qb, cb), each query block beside each candidate block.
+
+    Rows of one id are dealt to all blocks: a candidate by its place in the table, a query by its vector.
+    """
     asked = vectors.filter(is_query).withColumn("which", F.xxhash64("v")).dropDuplicates(["vec_id", "v"])
     n, m = vectors.count(), asked.count()
-    blocks = max(partitions(spark), -(-n // CANDIDATES))
+    blocks = max(partitions(vectors.sparkSession), -(-n // CANDIDATES))
     groups = max(1, -(-m // QUERIES))
-    place = F.xxhash64(F.lit("block"), "vec_id")
-    cand = vectors.withColumn("cb", F.pmod(place, F.lit(blocks))).withColumn(
+    place = lambda salt: F.xxhash64(F.lit("block"), "vec_id", salt)
+    cand = vectors.withColumn("cb", F.pmod(place(F.monotonically_increasing_id()), F.lit(blocks))).withColumn(
         "qb", F.explode(F.expr(f"sequence(0L, {groups - 1}L)")))
-    asked = asked.withColumn("qb", F.pmod(place, F.lit(groups))).withColumn(
-        "cb", F.explode(F.expr(f"sequence(0L, {blocks - 1}L)")))
+    return asked.withColumn("qb", F.pmod(place(F.col("which")), F.lit(groups))).withColumn(
+        "cb", F.explode(F.expr(f"sequence(0L, {blocks - 1}L)"))), cand
+
+
+def top_k(vectors: DataFrame, is_query: Column, k: int = 10) -> DataFrame:
+    """(query_id, rank, vec_id, score) from rows (vec_id, v): each query's k best, ties to the smaller id."""
+    spark = vectors.sparkSession
+    ship(spark)
+    asked, cand = dealt(vectors, is_query)
 
     def run(q: pa.Table, c: pa.Table) -> pa.Table:
         return best(q, c, k)

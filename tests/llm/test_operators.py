@@ -289,6 +289,19 @@ def test_top_k_against_every_product(spark):
     assert topk.top_k(topk.whole_numbers(frame.limit(0)), F.col("vec_id") % 100 == 0).count() == 0
 
 
+def test_top_k_blocks_stay_small_with_a_hot_id(spark, monkeypatch):
+    monkeypatch.setattr(topk, "CANDIDATES", 50)
+    monkeypatch.setattr(topk, "QUERIES", 50)
+    v = spark.range(900).select(F.when(F.col("id") % 3 == 0, 100).otherwise(F.col("id") + 1000).alias("vec_id"),
+                                F.array(F.col("id") % 200, F.lit(1).cast("long")).alias("v")).repartition(4)
+    asked, cand = topk.dealt(v, F.col("vec_id") == 100)
+    assert cand.groupBy("cb", "qb").count().agg(F.max("count")).first()[0] < 100
+    assert asked.groupBy("cb", "qb").count().agg(F.max("count")).first()[0] < 100
+    assert cand.select("vec_id", "v").distinct().count() == v.distinct().count()
+    got = topk.top_k(v, F.col("vec_id") == 100, k=3).filter("rank = 1").collect()
+    assert len(got) == asked.select("which").distinct().count() and all(r.vec_id != 100 for r in got)
+
+
 def test_warc_round_trip_and_revisits(spark, tmp_path):
     big, other = "<p>" + "x" * 200, "y" * 150 + "\r\n\r\nWARC/1.1\r\nContent-Length: 3\r\n\r\nabcé"
     rows = [(5, "u\r\nX: 1", big), (3, "v", big), (9, None, big), (1, "w", "tiny"), (2, "w", "tiny"), (4, "z", None),
