@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barlake.llm import bpe, chat, edits, mixing, nbsvm, rules, sharding, simhash, topk, warc
+from barlake.llm import audit, bpe, chat, edits, lexical, linededup, mixing, nbsvm, rules, sharding, simhash, topk, warc
+from barlake.llm.common import shared_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -177,3 +179,102 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    index = linededup.LineIndex.create(docs, f"{shared_dir(spark).rstrip('/')}/lines-{uuid.uuid4().hex}")
+    return index.drop_lines(docs).select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+ORACLES["op11_line_dedup"] = r"""
+WITH rows AS (SELECT row_number() OVER () AS r, doc_id, string_split(COALESCE(text, ''), chr(10)) AS lines FROM documents),
+lines AS (
+  SELECT r, doc_id, i, lines[i] AS line,
+         translate(trim(lines[i], chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM (SELECT *, unnest(generate_series(1, len(lines))) AS i FROM rows)),
+often AS (SELECT key FROM lines WHERE key <> '' GROUP BY key HAVING COUNT(DISTINCT r) >= 10)
+SELECT doc_id, COUNT(*) AS n_lines, COUNT(o.key) AS n_dropped,
+       sha256(COALESCE(string_agg(line, chr(10) ORDER BY i) FILTER (o.key IS NULL), '')) AS kept_sha256
+FROM lines l LEFT JOIN often o ON l.key = o.key GROUP BY r, doc_id
+"""
+
+
+@query
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=50)
+
+
+ORACLES["op12_ranked_search"] = r"""
+WITH words AS (
+  SELECT row_number() OVER () AS r, doc_id, list_transform(
+    regexp_extract_all(COALESCE(text, ''), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'),
+    lambda x: translate(x, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS terms FROM documents),
+held AS (SELECT r, doc_id, term, COUNT(*) AS tf FROM (SELECT r, doc_id, unnest(terms) AS term FROM words) GROUP BY ALL),
+corpus AS (SELECT COUNT(*) AS n, SUM(len(terms))::BIGINT AS l FROM words WHERE len(terms) > 0),
+items AS (
+  SELECT DISTINCT item_id, text AS item, unnest(list_transform(
+    regexp_extract_all(COALESCE(text, ''), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'),
+    lambda x: translate(x, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'))) AS term FROM benchmark),
+weights AS (
+  SELECT term, floor(1000 * ln((2 * n + 2)::DOUBLE / (2 * df + 1)))::BIGINT AS w
+  FROM (SELECT term, COUNT(*) AS df FROM held GROUP BY term), corpus),
+gains AS (
+  SELECT h.r, h.doc_id, h.term,
+         w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * len(d.terms) * n) // l))) AS gain
+  FROM held h JOIN words d ON h.r = d.r JOIN weights w ON h.term = w.term, corpus),
+scores AS (
+  SELECT item_id, item, r, doc_id, SUM(gain)::BIGINT AS score
+  FROM items i JOIN gains g ON i.term = g.term GROUP BY ALL HAVING SUM(gain) > 0)
+SELECT item_id, rank::INT AS rank, doc_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY item_id, item ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM scores)
+WHERE rank <= 50
+"""
+
+
+@query
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.interactions(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+ORACLES["op13_filter_audit"] = r"""
+WITH d AS (
+  SELECT doc_id, COALESCE(lang, '') AS part, COALESCE(text, '') AS t,
+         regexp_extract_all(COALESCE(text, ''), '[^ 	-]+') AS words FROM documents),
+marks AS (
+  SELECT doc_id, MAX((quality = 1)::INT) AS good, MAX((toxic = 1)::INT) AS toxic FROM labels GROUP BY doc_id),
+fails AS (
+  SELECT part, COALESCE(good, 0) AS good, COALESCE(toxic, 0) AS toxic,
+         map {'A': len(words) < 200, 'B': 100 * len(list_distinct(words)) < 50 * len(words),
+              'C': 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 3 * length(t),
+              'D': regexp_matches(t, '[#$%&*|]'),
+              'E': COALESCE(d.doc_id > MIN(d.doc_id) OVER (PARTITION BY t), false)} AS f
+  FROM d LEFT JOIN marks ON d.doc_id = marks.doc_id),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+orders AS (
+  SELECT a.x || b.x || c.x || d.x || e.x AS filter_order
+  FROM letters a, letters b, letters c, letters d, letters e
+  WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+steps AS (SELECT filter_order, step, filter_order[step] AS letter, filter_order[:step - 1] AS before
+          FROM orders, (SELECT unnest(generate_series(1, 5))::INT AS step)),
+alike AS (SELECT part, good, toxic, f, COUNT(*) AS n FROM fails GROUP BY ALL),
+seen AS (
+  SELECT part, filter_order, step, letter, n, good, toxic, f[letter] AS hit,
+         len(list_filter(string_split(before, ''), lambda x: f[x])) > 0 AS earlier,
+         len(list_filter(map_values(f), lambda x: x)) AS failed
+  FROM steps, alike),
+counted AS (
+  SELECT part, filter_order, step, letter,
+         COALESCE(SUM(n) FILTER (NOT hit AND NOT earlier), 0)::BIGINT AS kept,
+         COALESCE(SUM(n) FILTER (hit AND NOT earlier), 0)::BIGINT AS removed,
+         COALESCE(SUM(n) FILTER (hit AND earlier), 0)::BIGINT AS redundant,
+         COALESCE(SUM(n) FILTER (hit AND failed = 1), 0)::BIGINT AS unique_fails,
+         COALESCE(SUM(n * good) FILTER (hit AND NOT earlier), 0)::BIGINT AS good_lost,
+         COALESCE(SUM(n * toxic) FILTER (hit AND NOT earlier), 0)::BIGINT AS toxic_lost
+  FROM seen GROUP BY ALL)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       SUM(removed) OVER (PARTITION BY part, letter)::BIGINT AS shapley
+FROM counted
+"""
