@@ -29,6 +29,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from barlake.llm.common import free_name, partitions, ship
 
@@ -273,7 +274,7 @@ class LineIndex:
                           F.coalesce(F.col(named)["dropped"], F.lit(0)).cast("long").alias(dropped))
 
 
-@F.pandas_udf("kept string, dropped long")
+@F.pandas_udf(T.StructType([T.StructField("kept", T.StringType()), T.StructField("dropped", T.LongType())]))
 def _without(text: pd.Series, gone: pd.Series) -> pd.DataFrame:
     """Texts without the lines whose keys are gone; a null text gives nulls."""
     kept, dropped = [], []
