@@ -63,7 +63,7 @@ def pack(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
     turns = turns_with_places(conversations)
     x = turns.select("conv_id", "k", "chars", "upto", F.xxhash64(F.lit(1), "k", "role", "text").alias("x1"),
                      F.xxhash64(F.lit("2"), "k", "text", "role").alias("x2"))
-    keyed = running_totals(x, ["conv_id"], ["k"], {"p1": F.bit_xor("x1"), "p2": F.bit_xor("x2")})
+    keyed = running_totals(x, ["conv_id"], ["k"], {"p1": F.bit_xor("x1"), "p2": F.bit_xor("x2")}, xor=["p1", "p2"])
     keyed = stored(keyed)
     nodes = stored(keyed.groupBy("k", "p1", "p2").agg(F.min("x1").alias("x1"), F.min("x2").alias("x2")))
     node = ["k", "p1", "p2"]

@@ -65,38 +65,43 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
+def free_stem(df: DataFrame, name: str) -> str:
+    """``name``, or ``name`` with underscores before it, as no column of ``df`` begins like it (in any case)."""
+    while any(c.lower().startswith(name.lower()) for c in df.columns):
+        name = f"_{name}"
+    return name
+
+
 def running_totals(df: DataFrame, group: Sequence[str], order: Sequence[str], totals: dict[str, Column],
-                   ties_alike: bool = False) -> DataFrame:
+                   xor: Sequence[str] = ()) -> DataFrame:
     """Add inclusive running totals along ``order`` within ``group``, with no task that holds a whole group.
 
-    ``totals`` names the new columns and gives the aggregate over the rows up to each row (``F.sum`` of integers
-    or ``F.bit_xor``). The rows are sorted by range into partitions, each partition is totalled, the
-    partitions' totals (one row per partition and group) are accumulated, and a window within each partition
-    does the rest. Rows that agree in ``order`` are split over partitions too, unless ``ties_alike``: then
-    each gets the total including all its equals. ``group`` and ``order`` columns may be null.
+    ``totals`` names the new columns (free names) and gives the aggregate over the rows up to each row: a sum or count of
+    integers, or a ``F.bit_xor`` for those named in ``xor``. The rows are sorted by range into partitions, each partition
+    is totalled, the partitions' totals (one row per partition and group) are accumulated, and a window within each
+    partition does the rest. Rows that agree in ``order`` follow each other in any order and are split over
+    partitions too. ``group`` and ``order`` columns may be null; other columns are carried along, whatever their names.
     """
     spark = df.sparkSession
     group, order = list(group), list(order)
-    tie = [] if ties_alike else [F.monotonically_increasing_id()]
-    names = {k: f"_before_{i}" for i, k in enumerate(totals)}
-    ranged = df.withColumns({"_rt_tie": tie[0] if tie else F.lit(0)})
-    ranged = ranged.repartitionByRange(partitions(spark), *group, *order, *(["_rt_tie"] if tie else []))
-    ranged = stored(ranged.withColumn("_rt_part", F.spark_partition_id()))
-    xor = {k: "bit_xor" in str(c) for k, c in totals.items()}
-    parts = ranged.groupBy(*group, "_rt_part").agg(*[c.alias(k) for k, c in totals.items()])
-    before = Window.partitionBy(*group).orderBy("_rt_part").rowsBetween(Window.unboundedPreceding, -1)
-    add = {k: F.bit_xor if xor[k] else F.sum for k in totals}
-    offsets = parts.select(*[F.col(g).alias(f"_g{i}") for i, g in enumerate(group)], F.col("_rt_part").alias("_rt_p"),
-                           *[F.coalesce(add[k](k).over(before), F.lit(0)).alias(names[k]) for k in totals])
-    within = Window.partitionBy(*group, "_rt_part").orderBy(*order, *([] if ties_alike else ["_rt_tie"]))
-    if not ties_alike:
-        within = within.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    same = F.col("_rt_part") == F.col("_rt_p")
-    for i, g in enumerate(group):
-        same = same & F.col(g).eqNullSafe(F.col(f"_g{i}"))
+    stem = free_stem(df, "_rt_")
+    tie, part, total_of = f"{stem}tie", f"{stem}part", f"{stem}of"
+    same_group = [f"{stem}g{i}" for i in range(len(group))]
+    before_of = {k: f"{stem}b{i}" for i, k in enumerate(totals)}
+    ranged = df.withColumn(tie, F.monotonically_increasing_id())
+    ranged = ranged.repartitionByRange(partitions(spark), *group, *order, tie)
+    ranged = stored(ranged.withColumn(part, F.spark_partition_id()))
+    parts = ranged.groupBy(*group, part).agg(*[c.alias(k) for k, c in totals.items()])
+    before = Window.partitionBy(*group).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = parts.select(*[F.col(g).alias(s) for g, s in zip(group, same_group)], F.col(part).alias(total_of), *[
+        F.coalesce((F.bit_xor if k in xor else F.sum)(k).over(before), F.lit(0)).alias(before_of[k]) for k in totals])
+    within = Window.partitionBy(*group, part).orderBy(*order, tie).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    same = F.col(part) == F.col(total_of)
+    for g, s in zip(group, same_group):
+        same = same & F.col(g).eqNullSafe(F.col(s))
     out = ranged.withColumns({k: c.over(within) for k, c in totals.items()}).join(offsets, same)
-    return out.select(*df.columns, *[
-        (F.col(k).bitwiseXOR(F.col(names[k])) if xor[k] else F.col(k) + F.col(names[k])).alias(k) for k in totals])
+    return out.select(*[F.col(f"`{c}`") for c in df.columns], *[
+        (F.col(k).bitwiseXOR(F.col(before_of[k])) if k in xor else F.col(k) + F.col(before_of[k])).alias(k) for k in totals])
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:

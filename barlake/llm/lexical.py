@@ -2,11 +2,13 @@
 
 The documents are cut into blocks. A block's index has for every term a list of (document, value) and the greatest impact,
 and for pairs of terms the list of documents that hold both, with the greatest impact that the two have together in
-one document. A query's terms are paired, and each pair of terms bounds what a document can gain by it: the larger single
-maximum if it holds one term, the joint maximum if it holds both, which is at most the sum of the two maxima and
-often far less (terms that never meet in the block don't add up at all). Sorted by bound, the pairs' parts that
-together stay below the score to beat are not searched for; only documents in the lists of the other parts are
-candidates, and a candidate is dropped as soon as its score so far and the bounds of what is left stay below.
+one document. A query's terms are paired, and each pair of terms bounds what a document can gain by it: a term's own
+maximum if it holds that one, the joint maximum if it holds both, which is at most the sum of the two maxima and
+often far less (terms that never meet in the block don't add up at all). So a pair can be searched for at four levels: the
+documents of both lists; those that hold the term with the greater maximum; those that hold both; none. Each
+level leaves out documents that gain at most the lesser maximum, the greater one, or the joint one. Levels are chosen
+that save most postings while what is left out stays, all pairs together, below the score to beat; a candidate is dropped
+as soon as its score so far and the bounds of what is left stay below.
 One block in eight is searched first; the k-th score in there is what documents elsewhere must beat.
 
 All numbers are 64-bit integers but for the logarithm. Terms are runs of ASCII letters and digits and of all characters
@@ -71,7 +73,7 @@ class Queries:
         for own in self.of:
             live = sorted((t for t in own if self.weight[t] > 0), key=lambda t: (self.weight[t], t))
             pairs = [tuple(sorted(live[i:i + 2])) for i in range(0, len(live) - 1, 2)]
-            self.pairs.append(pairs + [(live[-1], -1)] * (len(live) % 2))
+            self.pairs.append(pairs + [(t, -1) for t in live[2 * len(pairs):]])
 
 
 def values(tf: np.ndarray, n: np.ndarray, documents: int, length: int) -> np.ndarray:
@@ -194,29 +196,33 @@ class Block:
 
         With ``joint`` false the bounds are the independent ones, each pair the sum of its terms' maxima.
         """
-        bounds, parts = [], []      # parts: (bound, lists that a document must be in to gain it)
+        bounds, levels, steps = [], [], []      # levels of a pair: (bound of what is left out, postings searched, lists)
         for a, b in pairs:
-            own = [t for t in (a, b) if t in self.most]
-            if not own:
-                continue
-            tops = [self.most[t] for t in own]
-            meet = self.meet.get((a, b))
-            if joint:
-                one, extra = max(tops), max(0, (meet[1] if meet else 0) - max(tops))
-                parts.append((one, [self.lists[t][0] for t in own]))
-                if extra:
-                    parts.append((extra, [meet[0]]))
-                bounds.append((one + extra, own))
+            own = sorted((t for t in (a, b) if t in self.most), key=self.most.get)
+            tops, lists = [self.most[t] for t in own], [self.lists[t][0] for t in own]
+            if joint and len(own) == 2:
+                docs, most = self.meet.get((a, b), (np.zeros(0, np.int32), 0))
+                both = max(tops[1], most)
+                levels.append([(0, len(lists[0]) + len(lists[1]) - len(docs), lists), (tops[0], len(lists[1]), lists[1:]),
+                               (tops[1], len(docs), [docs]), (both, 0, [])])
+                bounds.append((both, own))
             else:
-                parts += [(m, [self.lists[t][0]]) for t, m in zip(own, tops)]
+                levels += [[(0, len(x), [x]), (m, 0, [])] for m, x in zip(tops, lists)]
                 bounds.append((sum(tops), own))
-        parts.sort(key=lambda x: x[0])
-        below = 0
-        while parts and below + parts[0][0] < beat:
-            below += parts.pop(0)[0]
+        for i, own in enumerate(levels):        # steps with ever less saved for a point of the bound
+            at = 0
+            while at < len(own) - 1:
+                rate, to = max(((own[at][1] - x[1]) / (x[0] - own[at][0] + 1), j) for j, x in enumerate(own) if j > at)
+                steps.append((rate, i, at, to))
+                at = to
+        below, chosen = 0, [0] * len(levels)
+        for _, i, at, to in sorted(steps, key=lambda x: -x[0]):
+            more = levels[i][to][0] - levels[i][at][0]
+            if chosen[i] == at and below + more < beat:
+                below, chosen[i] = below + more, to
         near = np.zeros(len(self.ids), bool)
-        for _, lists in parts:
-            for docs in lists:
+        for own, at in zip(levels, chosen):
+            for docs in own[at][2]:
                 near[docs] = True
         return np.flatnonzero(near), sorted(bounds, key=lambda x: -x[0])
 

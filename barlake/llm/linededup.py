@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from barlake.llm.common import free_name, partitions, ship
+from barlake.llm.common import free_name, free_stem, partitions, ship
 
 SPACE = b" \t\n\x0b\x0c\r"
 SLOTS = 4               # fingerprints a bucket
@@ -227,7 +227,7 @@ class LineIndex:
         spark, (_, min_chars) = self.spark, self.settings
         ship(spark)
         n, kept, dropped = (free_name(docs, x) for x in ("n_lines", "kept_text", "n_dropped"))
-        named, gone = free_name(docs, "_text_id"), free_name(docs, "_gone")
+        named, gone = free_stem(docs, "_text_id"), free_stem(docs, "_gone")
         whole = F.coalesce(F.col(f"`{text}`"), F.lit(""))
         text_id = F.substring(F.unhex(F.sha2(whole.cast("binary"), 256)), 1, 16)
 
@@ -264,7 +264,8 @@ class LineIndex:
                 probe, "text_id binary, key binary").distinct()
             sure = maybe.join(self.droppable(), "key", "left_semi")
             found = sure.groupBy("text_id").agg(F.collect_set("key").alias("gone"))
-        found = found.select(F.col("text_id").alias(f"{named}_r"), F.col("gone").alias(gone))
+        # a computed key: the groups are dealt once more, so that Spark can split a text with very many copies in the join
+        found = found.select(F.substring("text_id", 1, 16).alias(f"{named}_r"), F.col("gone").alias(gone))
         out = docs.withColumn(named, text_id).join(found, F.col(named) == F.col(f"{named}_r"), "left")
         cut = _without(F.when(F.col(gone).isNotNull(), whole.cast("binary")), F.col(gone))
         out = out.withColumn(named, cut)

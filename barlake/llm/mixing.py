@@ -7,8 +7,9 @@ budget. A source that runs out of copies leaves the queue and the others go on b
 agrees with :func:`targets` up to the copies that straddle it.
 
 Defined results: a null or empty text has 0 words; a null source is a source of its own, the last in order; rows
-that agree in every column are taken alike; a null doc_id shuffles like any value; an empty table gives no rows;
-extra columns are carried along.
+that repeat are documents of their own, one behind the other in the queue, so that the cut may take some of them only
+(which of them is all one, as they are alike); a null doc_id shuffles like any value; an empty table gives no rows; extra
+columns are carried along.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from barlake.llm.common import WORD, free_name, running_totals, stored
+from barlake.llm.common import WORD, free_name, free_stem, running_totals, stored
 
 #: The cuts (one row per source, about 100 bytes) are broadcast up to this many; beyond, the join is shuffled.
 BROADCAST_SOURCES = 20_000
@@ -34,6 +35,11 @@ def shuffle_key(doc_id: Column | str, seed: str) -> Column:
                   16, 10).cast("long")
 
 
+def text_key(text: Column | str) -> Column:
+    """60 bits of the MD5 of a text, which order the documents of one doc_id."""
+    return F.conv(F.left(F.md5(F.coalesce(text, F.lit(""))), F.lit(15)), 16, 10).cast("long")
+
+
 def targets(rows: DataFrame, weights: Sequence[float] = (3.0, 1.0, 2.0), share: float = 1.5,
             max_repeats: int = 2) -> DataFrame:
     """From rows (_source, _size): one row per source with its rank, weight, source_size, budget and target.
@@ -67,42 +73,56 @@ def queue_cuts(rows: DataFrame, weights: Sequence[float] = (3.0, 1.0, 2.0), shar
                max_repeats: int = 2) -> DataFrame:
     """Run the queue over rows (_source, _size, _key, _tie): the targets and each source's last copy taken.
 
-    A source's copies leave in the order (epoch, _key, _tie), so its last copy taken tells them all.
-    Two range sorts of slim rows, no texts; the rows of a hot source are spread over all ranges.
+    A source's copies leave in the order (epoch, _key, _tie), so its last copy taken tells them all; where several rows
+    agree in these, ``taken`` of ``alike`` of them are taken. Two range sorts of slim rows, no texts; the rows of
+    a hot source, and those that repeat, are spread over all ranges.
     """
     sources = stored(targets(rows, weights, share, max_repeats))
     slim = rows.join(_bounded(sources), F.col("_source").eqNullSafe(F.col("_s")))
     slim = slim.select("rank", "weight", "source_size", "budget", "_size", "_key", "_tie")
-    placed = running_totals(slim, ["rank"], ["_key", "_tie"], {"words": F.sum("_size")}, ties_alike=True)
+    placed = running_totals(slim, ["rank"], ["_key", "_tie"], {"words": F.sum("_size")})
     copies = placed.withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(max_repeats - 1))))
     finish = (F.col("epoch") * F.col("source_size") + F.col("words")) / F.col("weight")
     copies = copies.select("rank", "budget", "epoch", "_size", "_key", "_tie", finish.alias("finish"))
     order = ["finish", "rank", "epoch", "_key", "_tie"]
-    queue = running_totals(copies, [], order, {"total": F.sum("_size")}, ties_alike=True)
-    last = queue.filter("total <= budget").groupBy(F.col("rank").alias("_r")).agg(
-        F.max(F.struct("epoch", "_key", "_tie")).alias("last"))
+    queue = running_totals(copies, [], order, {"total": F.sum("_size")})
+    place = F.struct("epoch", "_key", "_tie")
+    fits = F.col("total") <= F.col("budget")
+    last = stored(queue.filter(fits).groupBy(F.col("rank").alias("_r")).agg(F.max(place).alias("last")))
+    equals = queue.join(_bounded(last, "_r", "_r"), (F.col("rank") == F.col("_r")) & (place == F.col("last")))
+    last = equals.groupBy(F.col("rank").alias("_r")).agg(
+        F.first("last").alias("last"), F.count_if(fits).alias("taken"), F.count("*").alias("alike"))
     return stored(sources.join(last, F.col("rank") == F.col("_r"), "left").select(
-        "_source", "source_size", "target", "last"))
+        "_source", "source_size", "target", "last", "taken", "alike"))
 
 
-def _bounded(sources: DataFrame) -> DataFrame:
-    s = sources.withColumnRenamed("_source", "_s")
+def _bounded(sources: DataFrame, name: str = "_source", to: str = "_s") -> DataFrame:
+    s = sources.withColumnRenamed(name, to)
     return F.broadcast(s) if s.count() <= BROADCAST_SOURCES else s
 
 
 def with_copies(df: DataFrame, source: str, key: str, tie: str, cuts: DataFrame, name: str = "copies") -> DataFrame:
-    """Add a struct (copies, source_size, target) to each row, from the cuts of its source."""
-    s = free_name(df, "_s")
-    c = cuts.select(F.col("_source").alias(s), F.struct("source_size", "target", "last").alias(f"{s}_cut"))
-    if c.count() <= BROADCAST_SOURCES:
-        c = F.broadcast(c)
-    cut, last = F.col(f"{s}_cut"), F.col(f"{s}_cut.last")
-    within = F.struct(F.col(key), F.col(tie)) <= F.struct(last["_key"], last["_tie"])
-    n = F.when(last.isNull(), 0).otherwise(last["epoch"] + within.cast("int"))
-    out = df.join(c, F.col(source).eqNullSafe(F.col(s)), "left")
-    return out.select(*[F.col(f"`{x}`") for x in df.columns],
-                      F.struct(n.alias("copies"), cut["source_size"].alias("source_size"),
-                               cut["target"].alias("target")).alias(name))
+    """Add a struct (copies, source_size, target) to each row, from the cuts of its source.
+
+    Of the rows that are alike where the cut falls among them, as many get a copy more as it says: they are numbered, on
+    their own (there are none where rows don't repeat).
+    """
+    stem = free_stem(df, "_mix_")
+    s, cut = f"{stem}s", F.col(f"{stem}cut")
+    c = cuts.select(F.col("_source").alias(s), F.struct("source_size", "target", "last", "taken", "alike").alias(f"{stem}cut"))
+    joined = df.join(_bounded(c, s, s), F.col(source).eqNullSafe(F.col(s)), "left")
+    at, last = F.struct(F.col(key), F.col(tie)), F.struct(cut["last"]["_key"], cut["last"]["_tie"])
+    split = F.coalesce((at == last) & (cut["taken"] < cut["alike"]), F.lit(False))
+
+    def told(rows: DataFrame, more: Column) -> DataFrame:
+        n = F.when(cut["last"].isNull(), 0).otherwise(cut["last"]["epoch"] + more.cast("int"))
+        return rows.select(*[F.col(f"`{x}`") for x in df.columns], F.struct(
+            n.alias("copies"), cut["source_size"].alias("source_size"), cut["target"].alias("target")).alias(name))
+
+    if cuts.filter("taken < alike").isEmpty():
+        return told(joined, at <= last)
+    numbered = running_totals(joined.filter(split), [s], [key, tie], {f"{stem}n": F.count(F.lit(1))})
+    return told(joined.filter(~split), at <= last).unionByName(told(numbered, F.col(f"{stem}n") <= cut["taken"]))
 
 
 def mix(docs: DataFrame, text: str = "text", source: str = "source", doc_id: str = "doc_id",
@@ -124,7 +144,7 @@ def mixed_words(docs: DataFrame, weights: Sequence[float] = (3.0, 1.0, 2.0), sha
                 max_repeats: int = 2, seed: str = "mix") -> DataFrame:
     """Per document its size in words, its source's size and target, and the words that the mix takes of it."""
     rows = stored(docs.select("doc_id", F.col("source").alias("_source"), word_count("text").alias("_size"),
-                              shuffle_key("doc_id", seed).alias("_key"), F.xxhash64("doc_id", "text").alias("_tie")))
+                              shuffle_key("doc_id", seed).alias("_key"), text_key("text").alias("_tie")))
     out = with_copies(rows, "_source", "_key", "_tie", queue_cuts(rows, weights, share, max_repeats), "got")
     return out.select("doc_id", F.col("_size").alias("size"), F.col("got.source_size").alias("source_size"),
                       F.col("got.target").alias("target"), (F.col("got.copies") * F.col("_size")).alias("taken"))

@@ -2,16 +2,18 @@
 
 The features are indicators of the hashed byte n-grams of a whole text. Class counts over all labelled training rows,
 added up in the tasks and then by feature, give log-count ratios; indicators scaled by them, at unit length,
-feed a linear hinge-loss model that dual coordinate descent fits on a bounded sample; a logistic curve, fitted
+feed a linear hinge-loss model that dual coordinate descent fits on a bounded sample of ids; a logistic curve, fitted
 on sampled rows that the model hasn't seen, turns margins into scores.
 
 Defined results: a null text counts as empty and gets the score of no evidence; rows without label or id don't teach,
 nor do ids labelled both ways; with one class or none to learn from every score is the smoothed share of label
-1; repeated rows teach as often as they occur; labels, language, source and id are never inputs of a score.
+1; the rows of an id teach as much as one row (each a share in the class counts, and the one with the least features in
+the sample); labels, language, source and id are never inputs of a score.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -26,7 +28,9 @@ from barlake.llm.common import ship, stored
 
 BITS = 17                   # features: 2^BITS
 GRAMS = (2, 3, 4)           # bytes of an n-gram
-SAMPLE = 5000               # labelled rows at most that the linear model and the curve are fitted on
+SAMPLE = 5000               # labelled ids at most that the linear model and the curve are fitted on
+SAMPLE_FEATURES = 1 << 25   # and features that they may have together (128 MB on the driver)
+UNIT = 1 << 20              # what the rows of an id add up to in the class counts
 BROADCAST_LABELS = 1_000_000    # teaching labels (two numbers each) are broadcast up to this many; beyond, texts are shuffled
 COST, EPOCHS = 1.0, 30
 
@@ -119,34 +123,58 @@ def held_out(doc_id: Column | str) -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
+def packed(found: np.ndarray) -> bytes:
+    """The features of a text as bytes: numbers, or beyond 2^BITS / 32 of them a bitmap (16 kB at most)."""
+    if 32 * len(found) <= 1 << BITS:
+        return b"n" + found.astype("<i4").tobytes()
+    bits = np.zeros(1 << BITS, bool)
+    bits[found] = True
+    return b"b" + np.packbits(bits).tobytes()
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    if data[:1] == b"n":
+        return np.frombuffer(data, "<i4", offset=1)
+    return np.flatnonzero(np.unpackbits(np.frombuffer(data, np.uint8, offset=1))).astype(np.int32)
+
+
+def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, sample_features: int = SAMPLE_FEATURES) -> Model:
     """Learn from the rows of docs (doc_id, text) with a label in labels (doc_id, label).
 
-    Only the bounded sample's features (a few kB a row) and the class counts (2^BITS rows) come to the driver.
+    Only the class counts (2^BITS rows) and the bounded sample's features come to the driver: those of at most ``sample``
+    ids, in the order of a hash, as far as they have ``sample_features`` features together (one id in any case).
     """
     spark = docs.sparkSession
     ship(spark)
-    labels = stored(labels)
-    place = F.pmod(F.xxhash64(F.lit("sample"), "doc_id"), F.lit(1 << 30))
-    known = F.broadcast(labels) if labels.count() <= BROADCAST_LABELS else labels
-    n = max(1, docs.select("doc_id").join(known, "doc_id").count())      # teaching rows: ids alone are read
-    rows = docs.select("doc_id", F.col("text").cast("binary").alias("text")).join(known, "doc_id").select(
-        place.alias("place"), (place < F.lit(int(min(1.0, 1.2 * sample / n) * (1 << 30)))).alias("picked"), "text", "label")
+    place = F.xxhash64(F.lit("sample"), "doc_id")
+    # ids alone are read here: how many rows each teaching id has
+    known = stored(docs.select("doc_id").join(labels, "doc_id").groupBy("doc_id", "label").agg(F.count("*").alias("copies")))
+    n = known.count()
+    share = F.greatest(F.lit(1), F.floor(F.lit(UNIT) / F.col("copies"))).cast("long")
+    chosen = F.pmod(place, F.lit(1 << 30)) < F.lit(int(min(1.0, 1.2 * sample / max(1, n)) * (1 << 30)))
+    known = known.select("doc_id", "label", share.alias("share"), F.when(chosen, place).alias("place"))
+    rows = docs.select("doc_id", F.col("text").cast("binary").alias("text")).join(
+        F.broadcast(known) if n <= BROADCAST_LABELS else known, "doc_id").select("place", "share", "text", "label")
     size = 1 << BITS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros((2, size), np.int64)
         seen = np.zeros(size, bool)
-        names = ["feature", "neg", "pos", "place", "label", "found"]
-        kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
+        names = ["feature", "neg", "pos", "place", "label", "n", "digest", "found"]
+        kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary()]
+        least: dict[int, tuple] = {}    # of the chosen ids; the rows of an id go on only as they get less
         for batch in batches:
             kept = []
-            place, picked, text, label = (batch.column(i) for i in range(4))
-            for p, k, t, y in zip(place.to_pylist(), picked.to_pylist(), text, label.to_pylist()):
+            place, share, text, label = (batch.column(i) for i in range(4))
+            for p, c, t, y in zip(place.to_pylist(), share.to_pylist(), text, label.to_pylist()):
                 found = features(t.as_py(), seen)
-                counts[y][found] += 1
-                if k:
-                    kept.append((None, None, None, p, y, found.astype("<i4").tobytes()))
+                counts[y][found] += c
+                if p is not None:
+                    data = packed(found)
+                    row = len(found), hashlib.blake2b(data, digest_size=16).digest()
+                    if p not in least or row < least[p]:
+                        least[p] = row
+                        kept.append((None, None, None, p, y, *row, data))
             if kept:
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*kept), kinds)], names)
         some = np.flatnonzero(counts.any(0))
@@ -155,16 +183,20 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(some, pa.int32()), pa.array(counts[0][some]), pa.array(counts[1][some]), *none], names)
 
-    got = stored(rows.mapInArrow(run, "feature int, neg long, pos long, place long, label int, found binary"))
+    got = stored(rows.mapInArrow(run, "feature int, neg long, pos long, place long, label int, n int, digest binary, found binary"))
     sums = got.filter("feature is not null").groupBy("feature").agg(F.sum("neg").alias("neg"), F.sum("pos").alias("pos"))
     sums = sums.toArrow()
     counts = np.zeros((2, size))
     for c, name in ((0, "neg"), (1, "pos")):
-        counts[c][sums["feature"].to_numpy()] = sums[name].to_numpy()
-    picked = got.filter("found is not null").select("place", "label", "found").orderBy("place", "label", "found")
-    picked = picked.limit(sample).toArrow()
+        counts[c][sums["feature"].to_numpy()] = sums[name].to_numpy() / UNIT
+    # one row for each place (an id): copies meet as slim rows, after each task has reduced its own
+    one = got.filter("place is not null").groupBy("place").agg(F.min(F.struct("n", "digest", "found", "label")).alias("row"))
+    first = one.select("place", "row.n").orderBy("place").limit(sample).toArrow()
+    within = np.searchsorted(np.cumsum(first["n"].to_numpy()), sample_features, "right")
+    upto = first["place"][min(max(within, 1), len(first)) - 1].as_py() if len(first) else 0
+    picked = one.filter(F.col("place") <= upto).select("place", "row.label", "row.found").orderBy("place").limit(sample).toArrow()
     y = picked["label"].to_numpy()
-    found = [np.frombuffer(x.as_py(), "<i4") for x in picked["found"]]
+    found = [unpacked(x.as_py()) for x in picked["found"]]
     ratio = log_count_ratios(*counts)
     weight, bias, slope, shift = np.zeros(size), 0.0, 0.0, float(np.log((y.sum() + 1) / (len(y) - y.sum() + 1)))
     if 0 < y.sum() < len(y):

@@ -33,7 +33,8 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLES["op1_mix_sources"] = r"""
 WITH docs AS (
   SELECT doc_id, source, COALESCE(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
-         ('0x' || left(md5(concat_ws(':', 'mix', doc_id)), 15))::BIGINT AS k
+         ('0x' || left(md5(concat_ws(':', 'mix', doc_id)), 15))::BIGINT AS k,
+         ('0x' || left(md5(COALESCE(text, '')), 15))::BIGINT AS tie
   FROM documents),
 src AS (
   SELECT source, SUM(size)::BIGINT AS source_size,
@@ -54,14 +55,15 @@ aims AS (
   FROM levels),
 placed AS (
   SELECT d.*, a.rank, a.w, a.source_size, a.budget, a.target,
-         SUM(size) OVER (PARTITION BY a.rank ORDER BY k, doc_id) AS words
+         SUM(size) OVER (PARTITION BY a.rank ORDER BY k, tie ROWS UNBOUNDED PRECEDING) AS words,
+         row_number() OVER (PARTITION BY a.rank ORDER BY k, tie) AS place
   FROM docs d JOIN aims a ON d.source IS NOT DISTINCT FROM a.source),
 queued AS (
-  SELECT p.*, e.epoch, SUM(size) OVER (ORDER BY (epoch * source_size + words) / w, rank, epoch, k, doc_id) AS total
+  SELECT p.*, e.epoch, SUM(size) OVER (ORDER BY (epoch * source_size + words) / w, rank, epoch, place ROWS UNBOUNDED PRECEDING) AS total
   FROM placed p, (VALUES (0), (1)) e(epoch))
 SELECT doc_id, size, source_size, target,
        SUM(CASE WHEN total <= budget THEN size ELSE 0 END)::BIGINT AS taken
-FROM queued GROUP BY ALL
+FROM queued GROUP BY doc_id, size, source_size, target, rank, place
 """
 
 
@@ -242,7 +244,7 @@ def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLES["op13_filter_audit"] = r"""
 WITH d AS (
   SELECT doc_id, COALESCE(lang, '') AS part, COALESCE(text, '') AS t,
-         regexp_extract_all(COALESCE(text, ''), '[^ 	-]+') AS words FROM documents),
+         regexp_extract_all(COALESCE(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
 marks AS (
   SELECT doc_id, MAX((quality = 1)::INT) AS good, MAX((toxic = 1)::INT) AS toxic FROM labels GROUP BY doc_id),
 fails AS (
