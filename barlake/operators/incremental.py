@@ -80,13 +80,16 @@ def touched_days(changed_silver: DataFrame) -> DataFrame:
 
 
 def refresh_daily(silver_all: DataFrame, daily_target: DataFrame | None, changed_silver: DataFrame,
-                  run_ts=None) -> tuple[DataFrame, DataFrame]:
+                  run_ts=None, complete: bool = False) -> tuple[DataFrame, DataFrame]:
     """Recompute the touched and missing symbol-days and upsert them into gold.
 
     Returns ``(new_daily, recomputed_rows)``. A touched day that lost all valid bars
-    is removed from gold (its recomputation is empty).
+    is removed from gold (its recomputation is empty). With ``complete``, gold is known to have had every symbol-day of
+    silver before the change, so none but the touched ones can be missing and silver isn't compared with gold.
     """
-    todo = touched_days(changed_silver).unionByName(new_dates(silver_all, daily_target)).distinct()
+    todo = touched_days(changed_silver)
+    if not complete:
+        todo = todo.unionByName(new_dates(silver_all, daily_target)).distinct()
     recomputed = daily_ohlcv(restrict_to(silver_all, todo), run_ts)
     if daily_target is None:
         return recomputed, recomputed
@@ -121,7 +124,8 @@ def refresh_indicators(daily_all: DataFrame, analytics_target: DataFrame | None,
     Each affected symbol's series is cut at the ``LOOKBACK_ROWS`` rows preceding its
     first touched day (found by a row_number over the two key columns only), so every
     recomputed row still sees its complete rolling frames while the expensive
-    sliding-window pass covers only recent rows instead of the full history.
+    sliding-window pass covers only recent rows instead of the full history. Touched days
+    that are gone from daily go from analytics too.
     """
     first = touched.groupBy("symbol").agg(F.min("trade_date").alias("_from"))
     keys = daily_all.select("symbol", "trade_date").join(first, "symbol")
@@ -138,4 +142,4 @@ def refresh_indicators(daily_all: DataFrame, analytics_target: DataFrame | None,
              .filter(F.col("trade_date") >= F.col("_from")).drop("_from"))
     if analytics_target is None:
         return fresh
-    return upsert(analytics_target, fresh, DAY_KEYS)
+    return upsert(analytics_target, fresh, DAY_KEYS, deletes=touched)

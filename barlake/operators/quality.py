@@ -53,22 +53,56 @@ def _day(c: str) -> Column:
     return F.date_trunc("day", F.col(c)).cast("timestamp_ntz")
 
 
+def completeness_profile(df: DataFrame, ts_col: str, batch_col: str | None = None, bars_col: str | None = None) -> DataFrame:
+    """A5, first level: (day, symbol, batch, bars, counted), a row for each combination that occurs.
+
+    Profiles merge: those of new rows are added to stored ones (:func:`store_profile`), whose rows aren't read again.
+    """
+    day = _day(ts_col) if ts_col != "trade_date" else F.col(ts_col)
+    batch = F.col(batch_col).cast("string") if batch_col else F.lit(None).cast("string")
+    bars = F.col(bars_col).cast("bigint") if bars_col else F.lit(None).cast("bigint")
+    return df.groupBy(day.alias("day"), "symbol", batch.alias("batch")).agg(
+        F.sum(bars).alias("bars"), F.count(bars).alias("counted"))
+
+
+def store_profile(profile: DataFrame, path: str) -> None:
+    """Keep a profile by day; the days that it has are replaced, others stay as they are."""
+    (profile.withColumn("part_date", F.to_date("day")).hint("rebalance", "part_date").write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("part_date").parquet(path))
+
+
+def completeness_of(profile: DataFrame, layer: str, batches: bool = False) -> DataFrame:
+    """A5, second level: the exact distinct counts of a layer from its profile (or the profiles of all its days)."""
+    each = F.explode(F.array(F.struct(F.lit("s").alias("kind"), F.col("symbol").alias("value")),
+                             F.struct(F.lit("d").alias("kind"), F.col("day").cast("string").alias("value")),
+                             F.struct(F.lit("b").alias("kind"), F.col("batch").alias("value"))))
+    # bars ride on the rows of one kind; a value's rows meet before anything is counted
+    mine = lambda c: F.sum(F.when(F.col("x.kind") == "s", F.col(c))).alias(c)
+    values = profile.select(each.alias("x"), "bars", "counted").groupBy("x.kind", "x.value").agg(mine("bars"), mine("counted"))
+    n = lambda k: F.count_if((F.col("kind") == k) & F.col("value").isNotNull())
+    none = F.lit(None)
+    return values.agg(n("s").alias("unique_symbols"), n("d").alias("unique_dates"), n("b").alias("unique_batches"),
+                      F.try_divide(F.sum("bars").cast("double"), F.sum("counted")).alias("avg_bars_per_day")).select(
+        F.lit(layer).alias("layer"), "unique_symbols", "unique_dates",
+        (F.col("unique_batches") if batches else none.cast("bigint")).alias("unique_batches"), "avg_bars_per_day")
+
+
 def completeness(df: DataFrame, layer: str, ts_col: str, batch_col: str | None = None,
                  bars_col: str | None = None, approx: bool = False) -> DataFrame:
     """A5: distinct symbols / batches / days and average bars per day for one layer.
 
-    ``approx=True`` swaps exact distinct counts for HyperLogLog sketches
-    (``approx_count_distinct``), which merge map-side and avoid the
-    distinct-expansion shuffle on very large layers.
+    Exact counts go by a profile, grouped once. ``approx=True`` takes HyperLogLog sketches
+    (``approx_count_distinct``) instead, which merge map-side.
     """
-    cd = F.approx_count_distinct if approx else F.count_distinct
+    if not approx:
+        return completeness_of(completeness_profile(df, ts_col, batch_col, bars_col), layer, batch_col is not None)
+    cd = F.approx_count_distinct
     day = _day(ts_col) if ts_col != "trade_date" else F.col(ts_col)
     aggs = [cd("symbol").cast("bigint").alias("unique_symbols"), cd(day).cast("bigint").alias("unique_dates"),
             (cd(batch_col).cast("bigint") if batch_col else F.lit(None).cast("bigint")).alias("unique_batches"),
             (F.avg(bars_col) if bars_col else F.lit(None).cast("double")).alias("avg_bars_per_day")]
     return df.agg(*aggs).select(F.lit(layer).alias("layer"), "*")
 
-
 def quality_stats(silver: DataFrame) -> DataFrame:
     """Score statistics."""
     return silver.agg(F.min("quality_score").alias("min_quality"), F.max("quality_score").alias("max_quality"),

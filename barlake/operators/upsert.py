@@ -2,9 +2,10 @@
 
 ``upsert`` is MERGE's user-visible outcome (matched -> replace whole row, not
 matched -> insert) as ``left_anti`` + ``unionByName``. On disk, ``upsert_path``
-first writes the merged partitions beside the table, then puts them in place: a
+first writes the merged partitions beside the table, then moves their folders into place: a
 crash before that leaves the table as it was, a crash after it is finished by the
-next call. It is not atomic for concurrent readers.
+next call. It is not atomic for concurrent readers, and a table has one writer at a time: a
+second one would take the first one's unfinished merge for a crashed one.
 """
 
 from __future__ import annotations
@@ -38,13 +39,17 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
 
 
 def assert_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """``df``, failing when it is evaluated if two rows have the same (fully non-null) key."""
-    n = F.count(F.lit(1)).over(Window.partitionBy(*keys))
+    """``df``, failing when it is evaluated if two rows have the same (fully non-null) key.
+
+    Rows with a null in their key may repeat; each is a group of its own, so they don't meet in one task.
+    """
     known = F.lit(True)
     for k in keys:
         known = known & F.col(k).isNotNull()
-    checked = F.assert_true(~known | (F.col("_n") == 1), F.lit(f"source rows repeat a key ({', '.join(keys)})"))
-    return df.withColumn("_n", n).filter(checked.isNull()).drop("_n")
+    own = df.withColumn("_own", F.when(~known, F.monotonically_increasing_id()))
+    n = F.count(F.lit(1)).over(Window.partitionBy(*keys, "_own"))
+    checked = F.assert_true(F.col("_n") == 1, F.lit(f"source rows repeat a key ({', '.join(keys)})"))
+    return own.withColumn("_n", n).filter(checked.isNull()).drop("_n", "_own")
 
 
 def upsert_path(spark: SparkSession, source: DataFrame, path: str, keys: Sequence[str],
@@ -52,8 +57,8 @@ def upsert_path(spark: SparkSession, source: DataFrame, path: str, keys: Sequenc
     """S8 on disk: merge ``source`` into the partitioned table at ``path``.
 
     Only partitions whose ``partition_col`` value occurs in ``source`` or ``deletes`` are read and rewritten;
-    one that ``deletes`` empties is removed. The source is evaluated once: the merged partitions go to
-    ``path/_pending/<id>`` (hidden from readers), and from there into place. Keys must determine the
+    one that ``deletes`` empties is removed. The source is evaluated once, into ``path/_pending/<id>`` (hidden from
+    readers); the merged partitions are written there once and their folders moved into place. Keys must determine the
     partition value, so a row cannot move between partitions and leave a stale copy behind.
     """
     keys = list(keys)
@@ -61,8 +66,11 @@ def upsert_path(spark: SparkSession, source: DataFrame, path: str, keys: Sequenc
         raise ValueError("partition column must be part of the source rows")
     recover(spark, path, partition_col, fmt)
     current = read_table(spark, path, fmt)
+    pending = f"{path.rstrip('/')}/_pending/{uuid.uuid4().hex}"
+    source = _kept(source, f"{pending}/source")
     parts = source.select(partition_col)
     if deletes is not None:
+        deletes = _kept(deletes.select(*dict.fromkeys([*keys, partition_col])), f"{pending}/deletes")
         parts = parts.unionByName(deletes.select(partition_col))
     parts = parts.distinct()
     if current is None:
@@ -70,7 +78,6 @@ def upsert_path(spark: SparkSession, source: DataFrame, path: str, keys: Sequenc
     else:
         merged = upsert(prune_partitions(current, partition_col, parts), source.select(*current.columns), keys,
                         deletes=deletes)
-    pending = f"{path.rstrip('/')}/_pending/{uuid.uuid4().hex}"
     # REBALANCE (not repartition): AQE splits a hot day into several write tasks
     merged.hint("rebalance", partition_col).write.partitionBy(partition_col).format(fmt).save(f"{pending}/rows")
     left = read_table(spark, f"{pending}/rows", fmt)
@@ -79,25 +86,40 @@ def upsert_path(spark: SparkSession, source: DataFrame, path: str, keys: Sequenc
     recover(spark, path, partition_col, fmt)
 
 
+def _kept(rows: DataFrame, path: str) -> DataFrame:
+    """``rows`` computed once, stored at ``path``."""
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 def recover(spark: SparkSession, path: str, partition_col: str, fmt: str = "parquet") -> None:
-    """Put merges that were written completely into place, in any order of calls; drop incomplete ones."""
+    """Put merges that were written completely into place, in order of their ends; drop incomplete ones.
+
+    A partition's folder is moved once what it replaces is gone; if that is cut short, the folder is still there and the next
+    call moves it.
+    """
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    top = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/_pending")
-    fs = top.getFileSystem(conf)
-    if not fs.exists(top):
+    at = lambda *names: jvm.org.apache.hadoop.fs.Path("/".join(names))
+    base = path.rstrip("/")
+    fs = at(base).getFileSystem(conf)
+    if not fs.exists(at(base, "_pending")):
         return
-    for status in sorted(fs.listStatus(top), key=lambda s: s.getModificationTime()):
-        at = status.getPath()
-        if fs.exists(jvm.org.apache.hadoop.fs.Path(at, "emptied/_SUCCESS")):
-            rows = read_table(spark, f"{at}/rows", fmt)
-            if rows is not None:
-                (rows.hint("rebalance", partition_col).write.mode("overwrite")
-                 .option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).format(fmt).save(path))
-            # the values of partitions that lost their last row: days, one directory each
-            for r in spark.read.schema("value string").parquet(f"{at}/emptied").toLocalIterator():
-                name = "__HIVE_DEFAULT_PARTITION__" if r.value is None else r.value
-                fs.delete(jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{partition_col}={name}"), True)
-        fs.delete(at, True)
+    whole = [(fs.getFileStatus(done).getModificationTime(), s.getPath().toString()) for s in fs.listStatus(at(base, "_pending"))
+             for done in [at(s.getPath().toString(), "emptied/_SUCCESS")] if fs.exists(done)]
+    for _, merge in sorted(whole):
+        if fs.exists(at(merge, "rows")):
+            for folder in fs.listStatus(at(merge, "rows")):      # one for each touched partition value
+                name = folder.getPath().getName()
+                if name.startswith(f"{partition_col}="):
+                    fs.delete(at(base, name), True)
+                    if not fs.rename(folder.getPath(), at(base, name)):
+                        raise OSError(f"{folder.getPath().toString()} can't be moved into {base}")
+        # the values of partitions that lost their last row: days, one directory each
+        for r in spark.read.schema("value string").parquet(f"{merge}/emptied").toLocalIterator():
+            name = "__HIVE_DEFAULT_PARTITION__" if r.value is None else r.value
+            fs.delete(at(base, f"{partition_col}={name}"), True)
+        fs.delete(at(merge), True)
+    fs.delete(at(base, "_pending"), True)
 
 
 def prune_partitions(table: DataFrame, partition_col: str, values: DataFrame) -> DataFrame:
@@ -145,20 +167,24 @@ def snapshot_asof(bronze: DataFrame, ts, keys: Sequence[str] = ("symbol", "times
     return dedup_latest(b, keys)
 
 
-def append_evolve(target: DataFrame, new_rows: DataFrame) -> DataFrame:
-    """Append with schema evolution (missing columns become NULL on either side)."""
-    return target.unionByName(new_rows, allowMissingColumns=True)
+def snapshot_asof_series(bronze: DataFrame, stamps: Sequence, keys: Sequence[str] = ("symbol", "timestamp")) -> DataFrame:
+    """The deduplicated states as of several stamps, as rows of ``snapshot_asof`` with an ``as_of`` column.
 
+    A key's rows are reduced to the newest one between two stamps (map-side, however often it arrived); each of these is
+    valid from its stamp up to the next one that has a newer row, so bronze is read and shuffled once for all stamps.
+    """
+    stamps = sorted({str(s) for s in stamps})
+    at = F.array(*[ts_lit(s) for s in stamps])
+    b = bronze.filter(F.col("ingestion_timestamp") <= ts_lit(stamps[-1]))
+    b = b.filter(F.col("symbol").isNotNull() & F.col("timestamp").isNotNull())
+    since = F.size(F.filter(at, lambda s: s < F.col("ingestion_timestamp")))
+    newest = dedup_latest(b.withColumn("_since", since), [*keys, "_since"])
+    until = F.coalesce(F.lead("_since").over(Window.partitionBy(*keys).orderBy("_since")), F.lit(len(stamps)))
+    valid = newest.withColumn("_until", until)      # at most a row a stamp for each key
+    asof = F.explode(F.slice(at, F.col("_since") + 1, F.col("_until") - F.col("_since")))
+    return valid.withColumn("as_of", asof).select("as_of", *bronze.columns)
 
-def cluster_rewrite(df: DataFrame, cols: Sequence[str], num_partitions: int | None = None) -> DataFrame:
-    """Range-cluster rows on ``cols`` so parquet min/max statistics skip files.
 
-    ``repartitionByRange`` samples the key distribution (no driver collect of data);
-    rows are then sorted inside each partition. Write the result with any file sink.
-    """
-    cols = list(cols)
-    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    # a deterministic per-row hash as the last range key lets one hot key value
-    # span several ranges instead of landing in a single partition
-    tie = F.xxhash64(*[F.col(c) for c in df.columns])
-    return df.repartitionByRange(n, *[F.col(c) for c in cols], tie).sortWithinPartitions(*cols)
+def append_evolve(target: DataFrame, new_rows: DataFrame) -> DataFrame:
+    """Append with schema evolution (missing columns become NULL on either side)."""
+    return target.unionByName(new_rows, allowMissingColumns=True)

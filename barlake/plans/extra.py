@@ -13,6 +13,7 @@ from ..functions import calendar as C
 from ..functions.symbols import normalize_interval
 from ..operators import calendar_ops as CO
 from ..operators import incremental as INC
+from ..operators import ledger as LED
 from ..operators import monitoring as MON
 from ..operators import quality as DQ
 from ..operators.clean import (BRONZE_DROP_EXPECTATIONS, DAILY_WARN_EXPECTATIONS,
@@ -21,11 +22,13 @@ from ..operators.clean import (BRONZE_DROP_EXPECTATIONS, DAILY_WARN_EXPECTATIONS
 from ..operators.daily import daily_ohlcv
 from ..operators.indicators import indicators
 from ..operators.joins import enrich_suppliers
-from ..operators.upsert import append_evolve, cluster_rewrite, snapshot_asof, upsert, upsert_path
+from ..operators.layout import cluster_rewrite, compact
+from ..operators.upsert import append_evolve, snapshot_asof, snapshot_asof_series, upsert, upsert_path
 from ..session import checkpoint_dir
 from ..sources import fixtures as FX
 from ..sources import html as H
 from ..sources import landing as L
+from ..sources.tables import write_partitioned
 from .medallion import market_graph
 from .oracle import INGEST_BASE, RUN_TS, add, with_ctes
 from .registry import bronze, daily, daily_bars, daily_sup, reg, silver
@@ -37,6 +40,17 @@ PREV_GOLD_CUTOFF = "2024-01-16 00:00:00"
 BATCHES = ["20240110", "20240111", "20240112"]
 
 
+def _scratch(s) -> str:
+    """A new folder in the shared one, for the stored layers of a query."""
+    return f"{checkpoint_dir(s).rstrip('/')}/barlake-layers-{uuid.uuid4().hex}"
+
+
+def _stored(df):
+    """A stored layer: a reliable checkpoint in the shared folder, so that no reference derives it again."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint()
+
+
 def _union(dfs: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, dfs)
 
@@ -427,10 +441,22 @@ _NEW = f"""SELECT * FROM ({_SDAYS}) n WHERE NOT EXISTS (SELECT 1 FROM daily_bars
 reg("new_dates", with_ctes("silver", "daily_bars") + _NEW)(
     lambda s, d: INC.new_dates(silver(s, d), _prev_gold(s, d)))
 
+def _pending_silver(s, d):
+    """Stored silver of the symbol-days that gold, which ends at the cutoff, hasn't seen by the ledger."""
+    root = _scratch(s)
+    rows = _stored(silver(s, d))
+    write_partitioned(rows, f"{root}/silver", "timestamp")
+    old = F.col("timestamp") < F.lit(PREV_GOLD_CUTOFF).cast("timestamp_ntz")
+    LED.note(f"{root}/ledger", 0, rows.filter(old))
+    LED._noted(s.range(1), f"{root}/ledger/seen", 0)
+    LED.note(f"{root}/ledger", 1, rows.filter(~old & (F.col("is_valid") == 1)))
+    touched, _ = LED.pending(s, f"{root}/ledger")
+    return LED.touched_silver(s, f"{root}/silver", touched).drop(LED.PART)
+
+
 reg("incremental_daily", with_ctes("silver", "daily_bars") + f"""SELECT * FROM daily_bars
     WHERE (symbol, trade_date) IN (SELECT (symbol, trade_date) FROM ({_NEW}) x)""")(
-    lambda s, d: daily_ohlcv(INC.restrict_to(silver(s, d), INC.new_dates(silver(s, d), _prev_gold(s, d))),
-                             RUN_TS))
+    lambda s, d: daily_ohlcv(_pending_silver(s, d), RUN_TS))
 
 # ================================================================= upsert / refresh / time travel
 
@@ -453,7 +479,7 @@ reg("silver_upsert", with_ctes("silver0", "silver1") + f"""
 
 def _delete_day(s, d):
     """Silver on disk loses all rows of its first day through the merge's deletes."""
-    path = f"{checkpoint_dir(s).rstrip('/')}/barlake-merge-{uuid.uuid4().hex}"
+    path = f"{_scratch(s)}/silver"
     rows = silver(s, d).withColumn("part_date", F.to_date("timestamp"))
     first = rows.filter(F.col("part_date") == rows.select(F.min("part_date")).scalar())
     upsert_path(s, rows, path, ["symbol", "timestamp"], "part_date")
@@ -472,18 +498,12 @@ reg("bronze_upsert3", with_ctes("bronze0", "bronze1") + f"""
     lambda s, d: upsert(_first_load(s, d), _late(s, d), ["symbol", "timestamp", "batch_id"]))
 
 
-def _stored(df):
-    """A stored layer: a reliable checkpoint in the shared folder, so that no reference derives it again."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
-
-
 def _refresh(s, d):
     silver0 = _stored(clean_bronze_to_silver(_first_load(s, d), RUN_TS))
     changed = _stored(clean_bronze_to_silver(_late(s, d), RUN_TS))
     daily0 = _stored(daily_ohlcv(silver0, RUN_TS))
     silver_all = _stored(upsert(silver0, changed, ["symbol", "timestamp"]))
-    new_daily, _ = INC.refresh_daily(silver_all, daily0, changed, RUN_TS)
+    new_daily, _ = INC.refresh_daily(silver_all, daily0, changed, RUN_TS, complete=True)
     return daily0, changed, new_daily
 
 
@@ -501,6 +521,20 @@ def _analytics_refresh(s, d):
 reg("analytics_refresh", with_ctes("analytics_bars") + "SELECT * FROM analytics_bars",
     ("sma_5", "sma_20", "sma_50", "volatility"))(_analytics_refresh)
 
+def _ledger_refresh(s, d, layer):
+    """Stored layers by ledger: the first load, then the late corrections."""
+    root = _scratch(s)
+    at = {x: f"{root}/{x}" for x in ("silver", "daily", "analytics", "ledger")}
+    for run, bars in enumerate(clean_bronze_to_silver(b, RUN_TS) for b in (_first_load(s, d), _late(s, d))):
+        LED.merge_bars(s, bars, at["silver"], at["ledger"], run)
+        LED.refresh_gold(s, at["silver"], at["daily"], at["analytics"], at["ledger"], RUN_TS)
+    return s.read.parquet(at[layer]).drop(LED.PART)
+
+
+reg("gold_ledger", with_ctes("daily_bars") + "SELECT * FROM daily_bars")(lambda s, d: _ledger_refresh(s, d, "daily"))
+reg("analytics_ledger", with_ctes("analytics_bars") + "SELECT * FROM analytics_bars",
+    ("sma_5", "sma_20", "sma_50", "volatility"))(lambda s, d: _ledger_refresh(s, d, "analytics"))
+
 reg("snapshot_asof", with_ctes("bronze0") + """SELECT symbol, "timestamp", open, high, low, close, volume,
         ingestion_timestamp, batch_id FROM (
       SELECT *, row_number() OVER (PARTITION BY symbol, "timestamp" ORDER BY ingestion_timestamp DESC,
@@ -508,6 +542,15 @@ reg("snapshot_asof", with_ctes("bronze0") + """SELECT symbol, "timestamp", open,
       FROM bronze0 WHERE symbol IS NOT NULL AND "timestamp" IS NOT NULL) WHERE rn = 1""")(
     lambda s, d: snapshot_asof(bronze(s, d), BASE))
 
+STAMPS = ["2024-01-31 12:00:00", BASE, "2024-02-01 00:30:00", "2024-02-01 01:00:00", "2024-02-01 09:00:00"]
+reg("snapshot_asof_series", with_ctes("bronze") + f"""SELECT as_of, symbol, "timestamp", open, high, low, close, volume,
+        ingestion_timestamp, batch_id FROM (
+      SELECT *, row_number() OVER (PARTITION BY as_of, symbol, "timestamp" ORDER BY ingestion_timestamp DESC,
+             batch_id DESC, open DESC, high DESC, low DESC, close DESC, volume DESC) AS rn
+      FROM bronze, (SELECT unnest([{", ".join(f"TIMESTAMP '{x}'" for x in STAMPS)}]) AS as_of) s
+      WHERE ingestion_timestamp <= as_of AND symbol IS NOT NULL AND "timestamp" IS NOT NULL) WHERE rn = 1""")(
+    lambda s, d: snapshot_asof_series(bronze(s, d), STAMPS))
+
 reg("append_evolve", with_ctes("bronze0", "bronze1") + """
     SELECT symbol, "timestamp", open, high, low, close, volume, ingestion_timestamp,
            CAST(NULL AS VARCHAR) AS batch_id FROM bronze0
@@ -518,6 +561,17 @@ reg("append_evolve", with_ctes("bronze0", "bronze1") + """
 reg("cluster_rewrite", with_ctes("daily_sup") + "SELECT * FROM daily_sup")(
     lambda s, d: cluster_rewrite(daily_sup(s, d), ["trade_date", "symbol"]))
 
+def _compacted(s, d):
+    """Daily rows stored by year in many small files, read back after compaction."""
+    path = f"{_scratch(s)}/daily"
+    rows = daily_sup(s, d)
+    rows.withColumn("year", F.year("trade_date")).repartition(40).write.partitionBy("year").parquet(path)
+    compact(s, path, target=4 << 20)
+    return s.read.parquet(path).select(*rows.columns)
+
+
+reg("compacted_daily", with_ctes("daily_sup") + "SELECT * FROM daily_sup")(_compacted)
+
 reg("broadcast_dim_join", with_ctes("daily_sup") + """SELECT d.symbol, d.trade_date, d.close, s.s_name, n.n_name
     FROM daily_sup d JOIN supplier s ON d.symbol = CAST(s.s_suppkey AS VARCHAR)
     JOIN nation n ON s.s_nationkey = n.n_nationkey""")(

@@ -7,6 +7,7 @@ shared folder); a private folder is created only when that is unset (tests).
 
 from __future__ import annotations
 
+import time
 import uuid
 
 from pyspark.sql import functions as F
@@ -15,7 +16,8 @@ from ..operators.upsert import read_table
 from ..session import checkpoint_dir
 from ..sources import fixtures as FX
 from ..sources.landing import write_landing
-from ..streaming.bronze import start_bronze_stream
+from ..streaming.bronze import EPOCH, RESCUED, read_bronze, start_bronze_stream
+from ..streaming.expectations import ExpectationLog, expectation_history
 from ..streaming.medallion import PART, MedallionPaths, start_medallion_stream
 from .oracle import RUN_TS, with_ctes
 from .registry import bronze, reg
@@ -39,7 +41,40 @@ def _bronze_stream(spark, sf_dir):
         for q in start_bronze_stream(spark, f"{root}/landing", f"{root}/bronze", f"{root}/ckpt",
                                      "availableNow", quarantine_path=f"{root}/quarantine"):
             q.awaitTermination()
-    return spark.read.parquet(f"{root}/bronze").drop("ingestion_timestamp")
+    return read_bronze(spark, f"{root}/bronze").drop("ingestion_timestamp", RESCUED, EPOCH)
+
+
+def _bronze_evolution(spark, sf_dir):
+    """Bars as declared, then the late corrections with three more fields and a volume in quotes now and then."""
+    root = _root(spark)
+    first, late = _arrivals(spark, sf_dir)
+    write_landing(first, f"{root}/landing")
+    fields = [F.col("symbol"), F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss").alias("timestamp"), F.col("close")]
+    more = [(F.floor("close") + 0.5).alias("vwap"), (F.col("volume") % 100).alias("trades"),
+            F.when(F.col("volume") % 3 == 0, F.lit("X")).alias("venue")]
+    plain = F.to_json(F.struct(*fields, F.col("volume"), *more))
+    quoted = F.to_json(F.struct(*fields, F.col("volume").cast("string").alias("volume"), *more))
+
+    def run():
+        for q in start_bronze_stream(spark, f"{root}/landing", f"{root}/bronze", f"{root}/ckpt", "availableNow"):
+            q.awaitTermination()
+
+    run()
+    late.select(F.when(F.col("volume") % 5 == 0, quoted).otherwise(plain).alias("value"),
+                "batch_id").write.mode("append").partitionBy("batch_id").text(f"{root}/landing")
+    run()
+    got = read_bronze(spark, f"{root}/bronze")
+    return got.select("symbol", "timestamp", "close", "volume", "batch_id", "trades", "venue", "vwap",
+                      F.to_json(RESCUED).alias("rescued"))
+
+
+reg("bronze_evolution", with_ctes("bronze0", "bronze1") + """SELECT symbol, "timestamp", close, volume, batch_id,
+        CAST(NULL AS BIGINT) AS trades, NULL::VARCHAR AS venue, NULL::DOUBLE AS vwap, NULL::VARCHAR AS rescued
+    FROM bronze0 WHERE symbol IS NOT NULL AND symbol != '' AND "timestamp" IS NOT NULL
+    UNION ALL SELECT symbol, "timestamp", close, CASE WHEN volume % 5 != 0 THEN volume END, batch_id, volume % 100,
+        CASE WHEN volume % 3 = 0 THEN 'X' END, floor(close) + 0.5,
+        CASE WHEN volume % 5 = 0 THEN '{"volume":"' || volume || '"}' END
+    FROM bronze1 WHERE symbol IS NOT NULL AND symbol != '' AND "timestamp" IS NOT NULL""")(_bronze_evolution)
 
 
 def _medallion_stream(spark, sf_dir, table: str):
@@ -107,3 +142,30 @@ reg("stream_medallion_daily", with_ctes("daily_bars") + "SELECT * FROM daily_bar
 reg("stream_medallion_analytics", with_ctes("analytics_bars") + "SELECT * FROM analytics_bars",
     ("sma_5", "sma_20", "sma_50", "volatility"))(
     lambda s, d: _medallion_stream(s, d, "analytics"))
+
+
+def _expectation_history(spark, sf_dir):
+    """The landing stream in two runs, its expectations kept by the listener."""
+    root = _root(spark)
+    log = ExpectationLog(spark, f"{root}/expectations", {"landing_expectations": "landing"})
+    spark.streams.addListener(log)
+    try:
+        for i, arrival in enumerate(_arrivals(spark, sf_dir)):
+            write_landing(arrival, f"{root}/landing")
+            for q in start_bronze_stream(spark, f"{root}/landing", f"{root}/bronze", f"{root}/ckpt", "availableNow"):
+                q.awaitTermination()
+            while (read_table(spark, f"{root}/expectations/query={q.id}/batch={i}") is None):
+                time.sleep(0.1)     # events arrive a little after the batch
+    finally:
+        spark.streams.removeListener(log)
+    return expectation_history(spark, f"{root}/expectations").drop("query", "observed_at")
+
+
+reg("expectation_history", with_ctes("bronze0", "bronze1") + """SELECT batch, dataset, expectation, passed_records,
+        input_records - passed_records AS failed_records, input_records, passed_records * 100.0 / input_records AS pass_rate_pct
+    FROM (SELECT batch, 'landing' AS dataset, expectation, count(*) AS input_records,
+                 count(*) FILTER (CASE expectation WHEN 'valid_symbol' THEN coalesce(symbol, '') != ''
+                                  WHEN 'valid_timestamp' THEN "timestamp" IS NOT NULL ELSE true END) AS passed_records
+          FROM (SELECT 0::BIGINT AS batch, * FROM bronze0 UNION ALL SELECT 1, * FROM bronze1) b,
+               (SELECT unnest(['well_formed', 'nothing_rescued', 'valid_symbol', 'valid_timestamp']) AS expectation) e
+          GROUP BY ALL) counted""", ("pass_rate_pct",))(_expectation_history)

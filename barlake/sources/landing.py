@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators.clean import ts_lit
 from ..schemas import BRONZE_BARS_SCHEMA, BRONZE_SYMBOLS_SCHEMA, RAW_BAR_SCHEMA, conform
@@ -38,11 +39,12 @@ def read_bars_batch(spark: SparkSession, path: str, array_files: bool = False) -
     return r.json(path)
 
 
-def to_bronze(raw: DataFrame, ingestion_ts=None, batch_col: Column | None = None) -> DataFrame:
+def to_bronze(raw: DataFrame, ingestion_ts=None, batch_col: Column | None = None,
+              carried: dict[str, Column] | None = None) -> DataFrame:
     """Parse the timestamp, stamp ingestion time, derive ``batch_id``, cast.
 
     ``batch_id`` comes from ``batch_col`` when given (partition column of the
-    landing layout), else from the source file name ``bars_YYYYMMDD.json``.
+    landing layout), else from the source file name ``bars_YYYYMMDD.json``. ``carried`` names further columns to keep.
     """
     if batch_col is None:
         batch_col = F.regexp_extract(F.col("_metadata.file_path"), BATCH_FROM_FILE, 1)
@@ -51,8 +53,10 @@ def to_bronze(raw: DataFrame, ingestion_ts=None, batch_col: Column | None = None
                                 F.try_to_timestamp(F.col("timestamp"))).cast("timestamp_ntz"),
         "ingestion_timestamp": ts_lit(ingestion_ts),
         "batch_id": batch_col.cast("string"),
+        **(carried or {}),
     })
-    return conform(df, BRONZE_BARS_SCHEMA)
+    kept = T.StructType([*BRONZE_BARS_SCHEMA.fields, *[df.schema[c] for c in carried or ()]])
+    return conform(df, kept)
 
 
 def symbols_registry(symbols: DataFrame, source: str, run_ts=None, active: bool = True) -> DataFrame:

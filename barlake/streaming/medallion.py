@@ -23,7 +23,7 @@ from ..operators.incremental import lookback_start, refresh_indicators, restrict
 from ..operators.quality import observe_expectations
 from ..operators.upsert import prune_partitions, read_table, upsert_path
 from ..schemas import GOLD_DAILY_OHLCV_SCHEMA, SILVER_BARS_SCHEMA, conform
-from .bronze import CORRUPT, bronze_from_stream, read_bars_stream
+from .bronze import CORRUPT, EPOCH, RESCUED, bronze_from_stream, read_bars_stream
 
 PART = "part_date"
 OHLCV = ["open", "high", "low", "volume"]
@@ -92,20 +92,28 @@ def start_medallion_stream(spark: SparkSession, landing: str, paths: MedallionPa
                            **limits) -> StreamingQuery:
     """Run the landing stream into silver, daily and analytics.
 
-    Malformed records go to ``quarantine_path`` (default: beside silver). ``limits`` are those of
+    Malformed records go to ``quarantine_path`` (default: beside silver); fields that silver has no column for, and values of
+    another type, go with their keys to ``<silver>_rescued``. ``limits`` are those of
     ``read_bars_stream`` (``max_files_per_trigger``, ``max_bytes_per_trigger``, ``clean_source``, ``archive_dir``)
     and bound a micro-batch. Expectation counts of each micro-batch are observed as ``bronze_expectations``.
     """
     raw = read_bars_stream(spark, landing, array_files, **limits)
     quarantine = quarantine_path or f"{paths.silver.rstrip('/')}_quarantine"
+    rescued = f"{paths.silver.rstrip('/')}_rescued"
+
+    def put(rows: DataFrame, epoch: int, path: str) -> None:
+        (rows.withColumn(EPOCH, F.lit(epoch)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(EPOCH).parquet(path))
 
     def merge(rows: DataFrame, epoch: int) -> None:
         rows.persist()      # read and observed once
-        bronze, bad = bronze_from_stream(rows, ingestion_ts, array_files)
-        (bad.withColumn("epoch", F.lit(epoch)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("epoch").parquet(quarantine))
-        process_bronze_batch(spark, bronze, paths, run_ts)
-        rows.unpersist()
+        try:
+            bronze, bad = bronze_from_stream(rows, ingestion_ts)
+            put(bad, epoch, quarantine)
+            put(bronze.filter(F.col(RESCUED).isNotNull()).select("symbol", "timestamp", "batch_id", RESCUED), epoch, rescued)
+            process_bronze_batch(spark, bronze.drop(RESCUED), paths, run_ts)
+        finally:
+            rows.unpersist()
 
     raw, _ = observe_expectations(raw, "bronze_expectations",
                                   {"well_formed": f"{CORRUPT} IS NULL", "close": "close IS NOT NULL"})

@@ -83,7 +83,7 @@ def test_correlation_of_a_small_universe_among_many(spark):
 
 
 def test_cluster_rewrite_splits_hot_key(spark):
-    from barlake.operators.upsert import cluster_rewrite
+    from barlake.operators.layout import cluster_rewrite
     df = spark.range(30_000).select(
         F.when(F.col("id") % 3 == 0, F.lit("HOT")).otherwise(F.concat(F.lit("S"), (F.col("id") % 50).cast("string")))
         .alias("symbol"), F.col("id"))
