@@ -309,34 +309,32 @@ reg("symbol_lineage_gaps", with_ctes("bronze", "silver", "daily_bars") + """
 
 # ================================================================= monitoring (mon_*)
 _MA = f"TIMESTAMP '{MON_ASOF}'"
-reg("mon_bronze", with_ctes("bronze") + f"""SELECT CAST(ingestion_timestamp AS DATE) AS ingestion_date,
-    count(*) AS total_records, count(DISTINCT symbol) AS unique_symbols,
-    CAST(sum(CASE WHEN symbol IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS null_symbols,
-    CAST(sum(CASE WHEN "timestamp" IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS null_timestamps,
-    CAST(sum(CASE WHEN close IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS null_closes,
-    min(ingestion_timestamp) AS first_ingestion, max(ingestion_timestamp) AS last_ingestion
-    FROM bronze WHERE ingestion_timestamp >= {_MA} - INTERVAL 7 DAY GROUP BY 1""")(
+reg("mon_bronze", with_ctes("bronze") + f"""SELECT day AS ingestion_date, n AS total_records, unique_symbols,
+        n - named AS null_symbols, n - timed AS null_timestamps, n - closed AS null_closes, first_ingestion, last_ingestion
+    FROM (SELECT CAST(ingestion_timestamp AS DATE) AS day, count(*) AS n, count(symbol) AS named, count("timestamp") AS timed,
+                 count(close) AS closed, count(DISTINCT symbol) AS unique_symbols, min(ingestion_timestamp) AS first_ingestion,
+                 max(ingestion_timestamp) AS last_ingestion
+          FROM bronze WHERE {_MA} - ingestion_timestamp <= INTERVAL 7 DAY GROUP BY day) days""")(
     lambda s, d: MON.bronze_daily(bronze(s, d), MON_ASOF))
 
-reg("mon_silver", with_ctes("silver") + f"""SELECT CAST(processed_timestamp AS DATE) AS process_date,
-    count(*) AS total_records, CAST(sum(CASE WHEN is_valid = 1 THEN 1 ELSE 0 END) AS BIGINT) AS valid_records,
-    CAST(sum(CASE WHEN is_valid = 0 THEN 1 ELSE 0 END) AS BIGINT) AS invalid_records,
-    avg(quality_score) AS avg_quality_score, min(quality_score) AS min_quality_score,
-    max(quality_score) AS max_quality_score,
-    sum(CASE WHEN is_valid = 1 THEN 1 ELSE 0 END) * 100.0 / count(*) AS validity_rate_pct
-    FROM (SELECT is_valid, quality_score, processed_timestamp - INTERVAL (hour("timestamp")) DAY AS processed_timestamp
-          FROM silver) spread
-    WHERE processed_timestamp >= {_MA} - INTERVAL 7 DAY GROUP BY 1""",
+reg("mon_silver", with_ctes("silver") + f"""SELECT day AS process_date, valid + invalid AS total_records, valid AS valid_records,
+        invalid AS invalid_records, list_avg(scores) AS avg_quality_score, list_min(scores) AS min_quality_score,
+        list_max(scores) AS max_quality_score, valid * 100.0 / (valid + invalid) AS validity_rate_pct
+    FROM (SELECT CAST(stamp AS DATE) AS day, count(*) FILTER (is_valid = 1) AS valid, count(*) FILTER (is_valid = 0) AS invalid,
+                 list(quality_score) AS scores
+          FROM (SELECT *, processed_timestamp - INTERVAL (hour("timestamp")) DAY AS stamp FROM silver) spread
+          WHERE {_MA} - stamp <= INTERVAL 7 DAY GROUP BY day) days""",
     ("avg_quality_score", "validity_rate_pct"))(
     # stamps spread over a day for each hour: several process days, and older ones that the report leaves out
     lambda s, d: MON.silver_daily(silver(s, d).withColumn(
         "processed_timestamp", F.col("processed_timestamp") - F.make_dt_interval(days=F.hour("timestamp"))), MON_ASOF))
 
-_GC = """SELECT symbol, count(*) AS trading_days, min(trade_date) AS first_date, max(trade_date) AS last_date,
-    CAST(datediff('day', min(trade_date), max(trade_date)) AS INTEGER) AS date_range_days,
-    CASE WHEN datediff('day', min(trade_date), max(trade_date)) > count(*) * 1.5
-         THEN 'Missing Days Detected' ELSE 'Complete' END AS completeness_status
-    FROM {src} GROUP BY symbol HAVING count(*) < {n}"""
+# symbols with few rows; they miss days if they span over one and a half days a row
+_GC = """SELECT symbol, n AS trading_days, days[1] AS first_date, days[-1] AS last_date, span::INT AS date_range_days,
+        ['Complete', 'Missing Days Detected'][1 + (2 * span > 3 * n)::INT] AS completeness_status
+    FROM (SELECT symbol, days, len(days) AS n, CAST(days[-1] AS DATE) - CAST(days[1] AS DATE) AS span
+          FROM (SELECT symbol, list_sort(list(trade_date)) AS days FROM {src} GROUP BY symbol) listed) spans
+    WHERE n < {n}"""
 # all of daily_bars, and beside each symbol two more of the same bars: .W traded on every fifth day of the month only (days
 # missing), .N up to the tenth only (few days, none missing); the symbols themselves have days enough and stay out
 _LISTED = """SELECT symbol, trade_date FROM daily_bars
@@ -388,22 +386,20 @@ reg("mon_alerts", with_ctes("silver") + f"""SELECT * FROM (SELECT CAST(processed
         "quality_score": F.col("quality_score") * 0.5,
         "processed_timestamp": F.col("processed_timestamp") + F.make_dt_interval(hours=F.hour("timestamp"))}), MON_ASOF))
 
-reg("mon_health", with_ctes("bronze", "silver", "daily_bars") + f"""
-    SELECT 'Bronze' AS layer, count(*) AS total_records, count(DISTINCT symbol) AS unique_symbols,
-        max(ingestion_timestamp) AS last_update FROM bronze WHERE ingestion_timestamp >= {_MA} - INTERVAL 1 DAY
-    UNION ALL SELECT 'Silver', count(*), count(DISTINCT symbol), max(processed_timestamp) FROM silver
-        WHERE processed_timestamp >= {_MA} - INTERVAL 1 DAY
-    UNION ALL SELECT 'Gold', count(*), count(DISTINCT symbol), max(updated_timestamp) FROM daily_bars
-        WHERE trade_date >= {_MA} - INTERVAL 1 DAY""")(
-    lambda s, d: MON.health(bronze(s, d), silver(s, d), daily_bars(s, d), MON_ASOF))
-
-reg("mon_freshness", with_ctes("bronze", "silver", "daily_bars") + f"""
-    SELECT 'Bronze' AS layer, max(ingestion_timestamp) AS last_update,
-        datediff('hour', max(ingestion_timestamp), TIMESTAMP '{MON_NOW}') AS hours_since_update FROM bronze
-    UNION ALL SELECT 'Silver', max(processed_timestamp),
-        datediff('hour', max(processed_timestamp), TIMESTAMP '{MON_NOW}') FROM silver
-    UNION ALL SELECT 'Gold', max(updated_timestamp),
-        datediff('hour', max(updated_timestamp), TIMESTAMP '{MON_NOW}') FROM daily_bars""")(
+# every row of the three layers with the stamp that tells its age and the one that tells its last change
+_STAMPED = """SELECT * FROM (SELECT 'Bronze' AS layer, symbol, ingestion_timestamp AS aged, ingestion_timestamp AS changed FROM bronze
+    UNION ALL SELECT 'Silver', symbol, processed_timestamp, processed_timestamp FROM silver
+    UNION ALL SELECT 'Gold', symbol, trade_date, updated_timestamp FROM daily_bars) stacked"""
+HEALTH_ASOF = "2024-01-31 00:00:00"     # the day after gold's last one
+
+reg("mon_health", with_ctes("bronze", "silver", "daily_bars") + f"""SELECT layer, count(*) AS total_records,
+        count(DISTINCT symbol) AS unique_symbols, max(changed) AS last_update
+    FROM ({_STAMPED}) rows WHERE TIMESTAMP '{HEALTH_ASOF}' - aged <= INTERVAL 1 DAY GROUP BY layer""")(
+    lambda s, d: MON.health(bronze(s, d), silver(s, d), daily_bars(s, d), HEALTH_ASOF))
+
+reg("mon_freshness", with_ctes("bronze", "silver", "daily_bars") + f"""SELECT layer, last_update,
+        datediff('hour', last_update, TIMESTAMP '{MON_NOW}') AS hours_since_update
+    FROM (SELECT layer, max(changed) AS last_update FROM ({_STAMPED}) rows GROUP BY layer) layers""")(
     lambda s, d: MON.freshness(bronze(s, d), silver(s, d), daily_bars(s, d), MON_NOW))
 
 # ================================================================= incremental
