@@ -6,8 +6,9 @@ each distinct fingerprint goes once per block, keyed by that block's bits, to th
 there the trie below the key is joined with itself, node pair by node pair, adding up the bits in which
 the two paths differ, dropping a pair as soon as the sum exceeds ``distance``, and dropping pairs whose
 leaves are already all linked. What a task emits is a spanning forest of its links, never all
-pairs. A key with too many fingerprints is cut into chunks and each pair of chunks joined, so no link is lost.
-Components of the forests' union give the classes.
+pairs. A key with too many fingerprints is split in the same way by blocks of the bits that it doesn't fix, again and again
+until its parts are small: links within it agree in one of those blocks too, so none is lost, and each level places a
+fingerprint ``distance + 1`` times. Components of the forests' union give the classes.
 
 Defined results: a null text counts as empty; a text without words has fingerprint 0, linked like any other; a null
 doc_id belongs to its class but never names it unless the whole class has none; repeated rows stay repeated.
@@ -16,6 +17,7 @@ doc_id belongs to its class but never names it unless the whole class has none;
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -27,7 +29,7 @@ from pyspark.sql import types as T
 
 from barlake.llm.common import components, free_name, partitions, ship, stored
 
-GROUP = 30_000      # fingerprints of one key that a task takes together; above, pairs of chunks of half as many
+GROUP = 30_000      # fingerprints of one key that a task takes together; above, the key is split by further bits
 TASK = 120_000      # fingerprints that a task should get
 FRONTIER = 1 << 20  # node pairs expanded at once
 LEAVES = 128        # pairs of rows up to which a node pair is settled at once
@@ -70,10 +72,34 @@ def hexadecimal(fp: Column) -> Column:
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
 
 
-def blocks(n: int) -> list[tuple[int, int]]:
-    """(shift, width) of n blocks that make up the 64 bits."""
-    widths = [64 // n + (i < 64 % n) for i in range(n)]
-    return [(64 - sum(widths[:i + 1]), w) for i, w in enumerate(widths)]
+def finer(fixed: int, n: int) -> list[int]:
+    """The bits ``fixed`` (a mask of 64) with each of n blocks of the other bits, neighbours in a block."""
+    free = [i for i in range(63, -1, -1) if not fixed >> i & 1]
+    size, more = divmod(len(free), n)
+    ends = [0]
+    for i in range(n):
+        ends.append(ends[-1] + size + (i < more))
+    return [fixed | sum(1 << i for i in free[s:e]) for s, e in zip(ends, ends[1:])]
+
+
+def without(fp: np.ndarray, fixed: int) -> np.ndarray:
+    """The bits of the fingerprints that ``fixed`` leaves out, moved to the left."""
+    rest, at, width = np.zeros(len(fp), np.uint64), 63, 0
+    while at >= 0:
+        low = at
+        while low >= 0 and not fixed >> low & 1:
+            low -= 1
+        n = at - low
+        if n:
+            part = (fp >> np.uint64(low + 1)) & np.uint64((1 << n) - 1)
+            rest = (rest << np.uint64(n) if n < 64 else rest) | part
+            width += n
+        at = low - 1
+    return rest << np.uint64(64 - width) if 0 < width < 64 else rest
+
+
+def signed(mask: int) -> int:
+    return mask - (1 << 64) if mask >> 63 else mask
 
 
 def _merge(root: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -189,59 +215,61 @@ def trie_classes(key: np.ndarray, rest: np.ndarray, distance: int) -> np.ndarray
     return out
 
 
-def _placed(fps: DataFrame, distance: int) -> DataFrame:
-    """Each fingerprint once per block: (key, pair, fp); ``pair`` is 0, or a pair of chunks of a large key."""
-    n = distance + 1
-    keys = [(F.shiftrightunsigned("fp", s).bitwiseAND(F.lit((1 << w) - 1)) + F.lit(i << w)) if w < 62 else F.col("fp")
-            for i, (s, w) in enumerate(blocks(n))]
-    at = fps.select("fp", F.posexplode(F.array(*keys)).alias("block", "key"))
-    large = stored(at.groupBy("block", "key").count().filter(F.col("count") > GROUP).select(
-        F.col("block").alias("_b"), F.col("key").alias("_k"), F.ceil(F.col("count") / (GROUP // 2)).alias("chunks")))
-    if large.isEmpty():
-        return at.withColumn("pair", F.lit(0).cast("long"))
-    at = at.join(large, (F.col("block") == F.col("_b")) & (F.col("key") == F.col("_k")), "left")
-    mine = F.pmod(F.xxhash64("fp"), F.col("chunks"))
-    others = F.expr("filter(sequence(0, chunks - 1), o -> o != pmod(xxhash64(fp), chunks))")
-    at = at.withColumn("other", F.explode(F.when(F.col("chunks").isNull(), F.array(F.lit(None).cast("long")))
-                                          .otherwise(others)))
-    pair = F.least(mine, "other") * F.col("chunks") + F.greatest(mine, F.col("other"))
-    return at.select("fp", "block", "key", F.when(F.col("chunks").isNull(), F.lit(0)).otherwise(pair).alias("pair"))
+def _placed(fps: DataFrame, distance: int) -> tuple[DataFrame, int]:
+    """Each distinct fingerprint once for each of its keys, as (fp, fixed), and how many rows that are at most.
+
+    A key is the fingerprint's bits under the mask ``fixed``. The masks, of which there are ``distance + 1`` for each one
+    that had a large key, are all that the driver sees; a key of over GROUP fingerprints leaves more than 14 bits
+    free, so there are at most seven levels.
+    """
+    spark, n = fps.sparkSession, distance + 1
+    rows = fps.count() * n
+    at = fps.select("fp", F.explode(F.array(*[F.lit(signed(m)).cast("long") for m in finer(0, n)])).alias("fixed"))
+    done = []
+    while True:
+        at = at.withColumn("key", F.col("fp").bitwiseAND(F.col("fixed")))
+        open_ = F.bit_count("fixed") <= 64 - 2 * n      # with fewer bits free a key has at most 4^n fingerprints
+        large = stored(at.groupBy("fixed", "key").count().filter((F.col("count") > GROUP) & open_))
+        if large.isEmpty():
+            return reduce(DataFrame.unionByName, [*done, at.select("fp", "fixed")]), rows
+        done.append(at.join(large, ["fixed", "key"], "left_anti").select("fp", "fixed"))
+        split = stored(at.join(large, ["fixed", "key"], "left_semi").select("fp", "fixed"))
+        masks = [r.fixed for r in large.select("fixed").distinct().collect()]
+        below = spark.createDataFrame([(m, signed(x)) for m in masks for x in finer(m & _FP, n)], "was long, fixed long")
+        at = split.withColumnRenamed("fixed", "was").join(F.broadcast(below), "was").select("fp", "fixed")
+        rows += n * large.agg(F.sum("count")).first()[0]
 
 
 def classes(fps: DataFrame, distance: int = 4) -> DataFrame:
     """(node, component) for every distinct long in ``fps.fp`` that is linked to another one."""
     spark = fps.sparkSession
     ship(spark)
-    n = fps.count()
-    layout = blocks(distance + 1)
-    tasks = max(partitions(spark), -(-n * len(layout) // TASK))
+    placed, n = _placed(fps, distance)
+    tasks = max(partitions(spark), -(-n // TASK))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts = [b for b in batches if b.num_rows]
         if not parts:
             return
-        col = {c: np.concatenate([b.column(b.schema.get_field_index(c)).to_numpy(zero_copy_only=False) for b in parts])
-               for c in ("fp", "block", "key", "pair")}
-        fp = col["fp"].view(np.uint64)
+        fp, fixed = (np.concatenate([b.column(c).to_numpy(zero_copy_only=False) for b in parts]).view(np.uint64) for c in (0, 1))
         rest = np.zeros(len(fp), np.uint64)
-        for i, (shift, width) in enumerate(layout):
-            own, f = col["block"] == i, fp[col["block"] == i]
-            low = f & np.uint64((1 << shift) - 1)
-            high = f >> np.uint64(shift + width) if shift + width < 64 else np.zeros_like(f)
-            rest[own] = ((high << np.uint64(shift)) | low) << np.uint64(width) if width < 64 else 0
-        order = np.lexsort((col["pair"], col["key"], col["block"]))
+        for mask in np.unique(fixed):
+            own = fixed == mask
+            rest[own] = without(fp[own], int(mask))
+        key = fp & fixed
+        order = np.lexsort((key, fixed))
         new = np.zeros(len(fp), bool)
-        for c in ("block", "key", "pair"):
-            new[1:] |= col[c][order][1:] != col[c][order][:-1]
+        for c in (fixed, key):
+            new[1:] |= c[order][1:] != c[order][:-1]
         group = np.empty(len(fp), np.int64)
         group[order] = np.cumsum(new)
         top = trie_classes(group, rest, distance)
         linked = np.flatnonzero(top != np.arange(len(fp)))
-        yield pa.RecordBatch.from_arrays([pa.array(col["fp"][linked]), pa.array(col["fp"][top[linked]])], ["a", "b"])
+        a, b = (x.view(np.int64) for x in (fp[linked], fp[top[linked]]))
+        yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
-    placed = _placed(fps, distance).select("fp", F.col("block").cast("int").alias("block"), "key", "pair")
-    links = placed.repartition(tasks, "block", "key", "pair").mapInArrow(run, "a long, b long")
-    return components(links)
+    dealt = placed.repartition(tasks, "fixed", F.col("fp").bitwiseAND(F.col("fixed")))
+    return components(dealt.select("fp", "fixed").mapInArrow(run, "a long, b long"))
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", shingle: int = 4,

@@ -128,7 +128,7 @@ def plain_fingerprint(text):
 
 @pytest.mark.parametrize("group", [30_000, 3])
 def test_simhash_against_all_pairs(spark, docs, monkeypatch, group):
-    monkeypatch.setattr(simhash, "GROUP", group)      # 3: keys are cut into chunks
+    monkeypatch.setattr(simhash, "GROUP", group)      # 3: keys are split again and again
     table = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
     frame = docs.select((F.col("doc_id") + 100_000).alias("doc_id"), "text").union(table)
     got = simhash.near_duplicates(frame).collect()

@@ -12,7 +12,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from barlake.llm import mixing, nbsvm, queries, sharding
+from barlake.llm import mixing, nbsvm, queries, sharding, simhash
 from barlake.llm.common import running_totals
 
 SF = "/root/testdata/sf0.001"
@@ -114,6 +114,35 @@ def test_sample_is_bounded_in_features(spark):
     assert np.array_equal(nbsvm.unpacked(nbsvm.packed(found[:9])), found[:9])
 
 
+# ---------------------------------------------------------------- large keys of fingerprints
+def test_large_keys_are_split_by_further_bits(spark, monkeypatch):
+    """Fingerprints that agree in three of five blocks: each level places them five times at most, and no link is lost."""
+    monkeypatch.setattr(simhash, "GROUP", 400)
+    rng = np.random.default_rng(8)
+    few = rng.integers(0, 1 << 25, 3000, dtype=np.uint64)
+    few = np.concatenate([few, few[:1500] ^ (np.uint64(1) << rng.integers(0, 25, 1500, dtype=np.uint64))])
+    fps = np.unique((np.uint64(0xABCDEF12) << np.uint64(32)) | few).view(np.int64)
+    frame = spark.createDataFrame([(int(x),) for x in fps], "fp long")
+    placed, most = simhash._placed(frame, 4)
+    sizes = placed.groupBy("fixed", F.col("fp").bitwiseAND(F.col("fixed"))).count()
+    assert sizes.agg(F.max("count")).first()[0] <= 400
+    assert len(fps) * 5 < placed.count() <= most <= len(fps) * 5 ** 4
+    near = simhash.trie_classes(np.zeros(len(fps), np.int64), fps.view(np.uint64), 4)
+    want = {int(f): int(fps[near == c].min()) for c in np.unique(near) if (near == c).sum() > 1 for f in fps[near == c]}
+    assert {r.node: r.component for r in simhash.classes(frame, 4).collect()} == want
+
+
+def test_masks_fix_disjoint_blocks_of_the_other_bits():
+    for fixed in (0, 0xFFF0000000000000, 0x0F0F0F0F00000000, (1 << 64) - (1 << 12)):
+        masks = simhash.finer(fixed, 5)
+        parts = [m ^ fixed for m in masks]
+        assert sum(parts) == (1 << 64) - 1 - fixed and all(a & b == 0 for i, a in enumerate(parts) for b in parts[:i])
+        fps = np.random.default_rng(1).integers(0, 1 << 64, 50, dtype=np.uint64)
+        for f, r in zip(fps.tolist(), simhash.without(fps, fixed).tolist()):
+            bits = "".join(format(f, "064b")[i] for i in range(64) if not format(fixed, "064b")[i] == "1")
+            assert format(r, "064b")[:len(bits)] == bits
+
+
 # ---------------------------------------------------------------- running totals, sharding
 def test_running_totals_keep_columns_of_any_name(spark):
     names = ["x", "_rt_tie", "_rt_part", "_before_0", "_rt_p", "_rt_of", "_g0", "_tie"]
