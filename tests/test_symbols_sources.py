@@ -28,14 +28,12 @@ def test_normalize_interval(spark, i, exp):
 
 
 def test_extract_symbols_links_dedup_sorted(spark):
-    html = ("<table><tr><td>1</td><td><a href=\"/stocks/MSFT/\">MSFT</a></td></tr>"
-            "<tr><td>2</td><td><a href=\"/stocks/aapl/\">Apple</a></td></tr>"
-            "<tr><td>3</td><td><a class=\"x\" href=\"/stocks/BRK.B/\">BRK</a></td></tr>"
-            "<tr><td>4</td><td><a href=\"/stocks/MSFT/\">dup</a></td></tr>"
-            "<tr><td>5</td><td><a href=\"/stocks/TOOLONG/\">x</a></td></tr></table>")
+    html = ("<ol><li><a href=\"/stocks/ZY/\">first</a><li><a href=\"/stocks/kq7/\">lower case</a>"
+            "<li><a class=\"x\" href=\"/stocks/W.V//\">slashes</a><li><a href=\"/stocks/ZY/\">again</a>"
+            "<li><a href=\"/stocks/SIXLET/\">too long</a></ol>")
     pages = spark.createDataFrame([(1, "u", html), (2, "v", "<p>no table</p>")], "page_id long, url string, html string")
     got = [r.symbol for r in extract_symbols(pages).collect()]
-    assert got == ["AAPL", "BRK.B", "MSFT"]
+    assert got == ["KQ7", "W.V", "ZY"]
 
 
 def test_table_symbols_first_table_second_cell(spark):
@@ -88,7 +86,9 @@ def test_registered_table_symbols_read_the_pages_own_html(spark, monkeypatch):
     import __spark_entry__ as E
     from barlake.plans import extra
     sf = "/root/testdata/sf0.001"
-    monkeypatch.setattr(extra.H, "table_symbols", lambda pages: pages)
+    monkeypatch.setattr(extra.H, "table_symbols", lambda pages, prefix: pages)
     given = {r.page_id: r.html for r in E.queries()["extract_table_symbols"](spark, sf).collect()}
     pages = spark.read.parquet(f"{sf}/pages.parquet").collect()
-    assert len(pages) == len(given) and all(given[r.page_id].startswith(r.html) for r in pages)
+    listed = lambda html: (html.replace("</td></tr>", "</li>").replace("<tr><td>*</td><td>", "<li>")
+                           .replace("</table>", "</ul>").replace("<table>", "<ul>"))
+    assert len(pages) == len(given) and all(listed(given[r.page_id]) == r.html for r in pages)
