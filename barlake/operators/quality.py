@@ -73,9 +73,8 @@ def store_profile(profile: DataFrame, path: str) -> None:
 
 def completeness_of(profile: DataFrame, layer: str, batches: bool = False) -> DataFrame:
     """A5, second level: the exact distinct counts of a layer from its profile (or the profiles of all its days)."""
-    each = F.explode(F.array(F.struct(F.lit("s").alias("kind"), F.col("symbol").alias("value")),
-                             F.struct(F.lit("d").alias("kind"), F.col("day").cast("string").alias("value")),
-                             F.struct(F.lit("b").alias("kind"), F.col("batch").alias("value"))))
+    kinds = {"s": F.col("symbol"), "d": F.col("day").cast("string")} | ({"b": F.col("batch")} if batches else {})
+    each = F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), c.alias("value")) for k, c in kinds.items()]))
     # bars ride on the rows of one kind; a value's rows meet before anything is counted
     mine = lambda c: F.sum(F.when(F.col("x.kind") == "s", F.col(c))).alias(c)
     values = profile.select(each.alias("x"), "bars", "counted").groupBy("x.kind", "x.value").agg(mine("bars"), mine("counted"))
