@@ -1,9 +1,16 @@
 """WARC archives with revisit resolution.
 
-Record headers are shuffled by payload digest; of equal payloads of at least ``least`` bytes the one with the
-smallest id is written as a response, the others as revisits that refer to it, with fresh headers and no payload.
+Record headers (id, url, length, digest; no payload) are shuffled by payload digest; of equal payloads of at least
+``least`` bytes the one with the smallest id is written as a response, the others as revisits that refer to it, with fresh
+headers and no payload. Revisits are made of their headers alone. Which payloads to write, the scan of the pages learns from
+two bitmaps over hashed (id, digest), one of revisits and one of responses: a payload whose place holds no revisit is
+written where it was read, one whose place holds revisits only is passed over, and only those of places that hold both
+are shuffled and joined exactly. The bitmaps have a fixed size; on corpora that fill them more payloads are shuffled, with the
+same result.
+
 Archives are written by Spark's text sink (a record's own terminator is the line separator), so they go to any
-file system Spark writes to. Reading parses records by Content-Length and joins revisits to their responses.
+file system Spark writes to. They are rolled by bytes: records are written by size class, each class with as many
+records to a file as its largest size allows. Reading parses records by Content-Length and joins revisits to their responses.
 
 Defined results: a null payload counts as empty; rows that repeat the smallest id of a payload are all responses; a null id
 is never referred to (rows without id are revisits if another row with their payload has one, else
@@ -23,23 +30,64 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barlake.llm.common import shared_dir, ship
+from barlake.llm.common import shared_dir, ship, stored
 
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 BATCH_BYTES = 8 << 20
+#: Bits of each bitmap of places, and of its rows (Spark's bitmaps have 4,096 bytes).
+PLACE_BITS, GROUP_BITS = 26, 1 << 15
 
 
-def resolved(pages: DataFrame, page_id: str = "page_id", url: str = "url", payload: str = "html",
-             least: int = 100) -> DataFrame:
-    """(id, url, payload, bytes, digest, original): original is the id that a revisit refers to, else null."""
+def _rows(pages: DataFrame, page_id: str, url: str, payload: str) -> DataFrame:
     body = F.coalesce(F.col(f"`{payload}`"), F.lit(""))
     rows = pages.select(F.col(f"`{page_id}`").alias("id"), F.col(f"`{url}`").alias("url"), body.alias("payload"))
-    rows = rows.withColumns({"bytes": F.octet_length("payload").cast("long"), "digest": F.sha2("payload", 256)})
-    first = rows.filter(F.col("bytes") >= least).groupBy(F.col("digest").alias("d")).agg(
-        F.min("id").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1 and first is not null")
-    rows = rows.join(first, F.col("digest") == F.col("d"), "left")
+    rows = rows.withColumns({"bytes": F.octet_length("payload").cast("long"), "digest": F.unhex(F.sha2("payload", 256))})
+    return rows.withColumn("place", F.pmod(F.xxhash64("id", "digest"), F.lit(1 << PLACE_BITS)))
+
+
+def _bit(bitmap: str) -> Column:
+    """Whether the bit of ``place`` is set in its group's bitmap (null: no)."""
+    at = f"cast(shiftright(place, 3) % {GROUP_BITS // 8} + 1 AS int)"
+    byte = f"cast(conv(hex(substring({bitmap}, {at}, 1)), 16, 10) AS bigint)"
+    return F.expr(f"coalesce(shiftright({byte}, cast(place % 8 AS int)) % 2 = 1, false)")
+
+
+def decided(heads: DataFrame, least: int) -> DataFrame:
+    """``heads`` with ``original``: the id that a revisit refers to, else null."""
+    first = heads.filter(F.col("bytes") >= least).groupBy(F.col("digest").alias("d")).agg(
+        F.min("id").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1 and first is not null").drop("n")
     revisit = F.col("first").isNotNull() & ~F.col("id").eqNullSafe(F.col("first"))
-    return rows.select("id", "url", "payload", "bytes", "digest", F.when(revisit, F.col("first")).alias("original"))
+    return heads.join(first, F.col("digest") == F.col("d"), "left").select(
+        *heads.columns, F.when(revisit, F.col("first")).alias("original"))
+
+
+def resolved(pages: DataFrame, page_id: str = "page_id", url: str = "url", payload: str = "html",
+             least: int = 100) -> DataFrame:
+    """(id, url, payload, bytes, digest, original): original is the id that a revisit refers to, else null; the payload of a
+    revisit is null, ``bytes`` and ``digest`` are those of the payload that it had."""
+    rows = _rows(pages, page_id, url, payload)
+    heads = stored(decided(stored(rows.drop("payload")), least))
+    group = F.floor(F.col("place") / GROUP_BITS).alias("group")
+    bit = (F.col("place") % GROUP_BITS).alias("bit")
+    places = heads.select(group, bit, F.col("original").isNotNull().alias("revisit")).distinct()
+    # at most 2^PLACE_BITS / GROUP_BITS rows of two bitmaps: 16 MB, whatever the corpus
+    maps = stored(places.repartition("group").groupBy("group").agg(*[
+        F.bitmap_construct_agg(F.when(held, F.col("bit"))).alias(name)
+        for name, held in (("revisits", F.col("revisit")), ("responses", ~F.col("revisit")))]))
+
+    def marked(df: DataFrame) -> DataFrame:
+        return df.withColumn("group", group).join(F.broadcast(maps), "group")
+
+    sure = marked(rows).filter(~_bit("revisits"))
+    unsure = marked(rows).filter(_bit("revisits") & _bit("responses"))
+    both = marked(heads.filter("original is null")).filter(_bit("revisits")).select(
+        F.col("id").alias("i"), F.col("digest").alias("d"))
+    unsure = unsure.join(both, F.col("id").eqNullSafe(F.col("i")) & (F.col("digest") == F.col("d")), "left_semi")
+    kind = heads.schema["original"].dataType
+    columns = ["id", "url", "payload", "bytes", F.lower(F.hex("digest")).alias("digest"), "original"]
+    responses = sure.select(*rows.columns).union(unsure.select(*rows.columns)).withColumn("original", F.lit(None).cast(kind))
+    revisits = heads.filter("original is not null").withColumn("payload", F.lit(None).cast("string"))
+    return responses.select(*columns).union(revisits.select(*columns))
 
 
 def record(date: str) -> Column:
@@ -61,10 +109,19 @@ def record(date: str) -> Column:
                     F.when(revisit, F.lit("")).otherwise(F.col("payload")))
 
 
-def write(rows: DataFrame, path: str, date: str = "2024-01-01T00:00:00Z", records_per_file: int = 20_000) -> None:
-    """Write the records of :func:`resolved` as gzipped archives under ``path``."""
-    rows.select(record(date).alias("value")).write.option("lineSep", "\r\n\r\n").option(
-        "compression", "gzip").option("maxRecordsPerFile", records_per_file).text(path)
+def write(rows: DataFrame, path: str, date: str = "2024-01-01T00:00:00Z", file_bytes: int = 1 << 29,
+          classes: tuple[int, ...] = (1 << 13, 1 << 17, 1 << 22)) -> None:
+    """Write the records of :func:`resolved` as gzipped archives under ``path``, a folder for each size class.
+
+    Payloads of an archive hold ``file_bytes`` together at most, before compression (a longer payload has its own archive).
+    A class costs another scan of the lengths of the pages, its payloads are hashed and written once.
+    """
+    held = F.when(F.col("original").isNull(), F.col("bytes")).otherwise(0)
+    for low, high in zip((-1, *classes), (*classes, None)):
+        inside = held > low if high is None else (held > low) & (held <= high)
+        rows.filter(inside).select(record(date).alias("value")).write.option("lineSep", "\r\n\r\n").option(
+            "compression", "gzip").option("maxRecordsPerFile", 1 if high is None else max(1, file_bytes // high)).text(
+            f"{path}/{'longer' if high is None else f'upto-{high}'}")
 
 
 def parse(stream: io.BufferedIOBase) -> Iterator[tuple[dict[str, str], bytes]]:
@@ -98,9 +155,10 @@ def read(spark: SparkSession, path: str) -> DataFrame:
         names = ["page_id", "record_type", "refers_to", "digest", "payload"]
         for batch in batches:
             for content in batch.column(0):
-                data = io.BytesIO(content.as_buffer())
+                data = pa.BufferReader(content.as_buffer())
+                packed = content.as_buffer()[:2].to_pybytes() == b"\x1f\x8b"
                 rows, held = [], 0
-                for headers, block in parse(gzip.GzipFile(fileobj=data) if data.getvalue()[:2] == b"\x1f\x8b" else data):
+                for headers, block in parse(io.BufferedReader(gzip.GzipFile(fileobj=data) if packed else data)):
                     kind = headers["warc-type"]
                     payload = block.partition(b"\r\n\r\n")[2] if kind == "response" else None
                     digest = (hashlib.sha256(payload).hexdigest() if kind == "response"
@@ -114,13 +172,14 @@ def read(spark: SparkSession, path: str) -> DataFrame:
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").option("recursiveFileLookup", True).load(path)
     return files.select("content").mapInArrow(run, schema)
 
 
 def resolve(records: DataFrame) -> DataFrame:
-    """Join each revisit to its original response: adds payload_bytes, from the original's payload."""
-    r = records.withColumn("payload_bytes", F.octet_length("payload").cast("long")).drop("payload")
+    """Join each revisit to its original response: adds payload_bytes, from the original's payload. The archives are
+    parsed once; what is stored of them has no payloads."""
+    r = stored(records.withColumn("payload_bytes", F.octet_length("payload").cast("long")).drop("payload"))
     originals = r.filter("record_type = 'response'").groupBy(F.col("page_id").alias("o"), F.col("digest").alias("d")).agg(
         F.max("payload_bytes").alias("original_bytes"))
     out = r.join(originals, (F.col("refers_to") == F.col("o")) & (F.col("digest") == F.col("d")), "left")

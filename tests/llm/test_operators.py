@@ -326,6 +326,37 @@ def test_warc_round_trip_and_revisits(spark, tmp_path):
     assert warc.read(spark, empty).count() == 0
 
 
+@pytest.mark.parametrize("bits", [1, 4, 26])
+def test_warc_bitmaps_of_any_fill_give_the_same_records(spark, tmp_path, monkeypatch, bits):
+    monkeypatch.setattr(warc, "PLACE_BITS", bits)
+    rows = [(i, f"u{i}", f"payload {i % 23} " * 20) for i in range(60)] + [(None, "n", "payload 3 " * 20), (7, "again", "other " * 30)]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    path = str(tmp_path / "w")
+    warc.write(warc.resolved(frame.repartition(3)), path)
+    got = sorted(((r.page_id, r.record_type, r.refers_to) for r in warc.resolve(warc.read(spark, path)).collect()), key=str)
+    first = {}
+    for i, _, html in rows:
+        if i is not None:
+            first[html] = min(first.get(html, i), i)
+    want = [(i, *(("response", None) if i == first[html] else ("revisit", first[html]))) for i, _, html in rows]
+    assert got == sorted(want, key=str)
+
+
+def test_warc_long_pages_and_archives_rolled_by_bytes(spark, tmp_path):
+    huge = "0123456789abcdef\r\n\r\n" * 2_500_000          # 50 MB
+    rows = [(1, "h", huge), (2, "h", huge)] + [(10 + i, "s", f"{i:04d}" * 250) for i in range(40)] + [
+        (100 + i, "m", f"{i:04d}" * 25_000) for i in range(5)]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    path = str(tmp_path / "w")
+    warc.write(warc.resolved(frame), path, file_bytes=1 << 17)
+    files = lambda kind: len(list((tmp_path / "w" / kind).glob("part-*")))
+    assert files(f"upto-{1 << 13}") >= 41 / 16 and files(f"upto-{1 << 17}") == 5 and files("longer") == 1
+    got = {r.page_id: (r.record_type, r.refers_to, r.payload_bytes, r.digest)
+           for r in warc.resolve(warc.read(spark, path)).collect()}
+    digest = lambda t: hashlib.sha256(t.encode()).hexdigest()
+    assert got == {i: ("revisit" if i == 2 else "response", 1 if i == 2 else None, len(t), digest(t)) for i, _, t in rows}
+
+
 def test_classifier_on_held_out_labels(spark):
     d = "/root/testdata/sf0.1"
     labels = spark.read.parquet(f"{d}/labels.parquet")
