@@ -81,8 +81,9 @@ def resolved(pages: DataFrame, page_id: str = "page_id", url: str = "url", paylo
     sure = marked(rows).filter(~_bit("revisits"))
     unsure = marked(rows).filter(_bit("revisits") & _bit("responses"))
     both = marked(heads.filter("original is null")).filter(_bit("revisits")).select(
-        F.col("id").alias("i"), F.col("digest").alias("d"))
-    unsure = unsure.join(both, F.col("id").eqNullSafe(F.col("i")) & (F.col("digest") == F.col("d")), "left_semi")
+        F.col("id").alias("i"), F.col("digest").alias("d")).distinct()
+    # no semi join: the optimizer would push it below the bitmaps and so shuffle every payload
+    unsure = unsure.join(both, F.col("id").eqNullSafe(F.col("i")) & (F.col("digest") == F.col("d")))
     kind = heads.schema["original"].dataType
     columns = ["id", "url", "payload", "bytes", F.lower(F.hex("digest")).alias("digest"), "original"]
     responses = sure.select(*rows.columns).union(unsure.select(*rows.columns)).withColumn("original", F.lit(None).cast(kind))
