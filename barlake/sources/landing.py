@@ -68,17 +68,21 @@ def symbols_registry(symbols: DataFrame, source: str, run_ts=None, active: bool
 
 
 def write_symbols(registry: DataFrame, path: str) -> None:
-    """Store the registry, one partition per day of ingestion; a day written again is replaced."""
+    """Store the registry, one partition per day of ingestion and source; a source's day written again is replaced."""
     dated = registry.withColumn("ingestion_date", F.to_date("ingestion_timestamp"))
-    (dated.hint("rebalance", "ingestion_date").write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy("ingestion_date").parquet(path))
+    keys = ["ingestion_date", "source"]
+    (dated.hint("rebalance", *keys).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(path))
 
 
 def read_symbols(spark: SparkSession, path: str) -> DataFrame:
-    """The stored registry as of its last day of ingestion."""
-    stored = spark.read.parquet(path)
-    last = stored.select(F.max("ingestion_date")).scalar()
-    return conform(stored.filter(F.col("ingestion_date") == last), BRONZE_SYMBOLS_SCHEMA)
+    """The stored registry, each source as of its own last day of ingestion (a null source counts as one)."""
+    # a stated schema: partition values such as source=007 stay strings
+    stored = spark.read.schema(T.StructType([*BRONZE_SYMBOLS_SCHEMA.fields, T.StructField("ingestion_date", T.DateType())])
+                               ).parquet(path)
+    last = stored.groupBy(F.col("source").alias("last_source")).agg(F.max("ingestion_date").alias("last_date"))
+    current = stored.join(last, F.col("source").eqNullSafe(F.col("last_source")) & (F.col("ingestion_date") == F.col("last_date")))
+    return conform(current, BRONZE_SYMBOLS_SCHEMA)
 
 
 PROVIDER_COLS = {"Open": "open", "High": "high", "Low": "low", "Close": "close", "Volume": "volume"}

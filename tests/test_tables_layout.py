@@ -147,6 +147,61 @@ def test_symbol_registry_round_trip(spark, tmp_dir):
     assert spark.read.parquet(f"{tmp_dir}/symbols").count() == 4
 
 
+def test_symbol_registry_keeps_each_source(spark, tmp_dir):
+    from barlake.sources import landing as L
+
+    def write(symbols, source, stamp):
+        frame = spark.createDataFrame([(x,) for x in symbols], "symbol string")
+        L.write_symbols(L.symbols_registry(frame, source, stamp), f"{tmp_dir}/sources")
+
+    def stored():
+        return sorted((r.source or "", r.symbol) for r in L.read_symbols(spark, f"{tmp_dir}/sources").collect())
+
+    write(["A", "B"], "007", "2024-01-02 06:00:00")
+    write(["A", "C"], "page", "2024-01-02 07:00:00")          # the same day: both stay
+    assert stored() == [("007", "A"), ("007", "B"), ("page", "A"), ("page", "C")]
+    write(["D"], "page", "2024-01-03 07:00:00")               # one source is newer, the other keeps its last day
+    write(["N"], None, "2024-01-01 07:00:00")
+    assert stored() == [("", "N"), ("007", "A"), ("007", "B"), ("page", "D")]
+    write(["E"], "007", "2024-01-02 09:00:00")                # replaces that source's day alone
+    assert stored() == [("", "N"), ("007", "E"), ("page", "D")]
+
+
+def test_statistics_choose_the_join_order(spark, tmp_dir):
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS barlake_s LOCATION '{tmp_dir}/ws'")
+    n = 2_000
+    # grade: 0..9 for 99 of 100 venues, the others up to 100,000; region: even over 0..9
+    tables = {
+        "bars": spark.range(20 * n).selectExpr("id % 2000 AS symbol_id", "id % 1999 AS venue_id", "id AS volume"),
+        "symbols": spark.range(n).selectExpr("id AS symbol_id", "id % 10 AS region"),
+        "venues": spark.range(n).selectExpr("id AS venue_id", "CASE WHEN id % 100 = 0 THEN id * 50 ELSE id % 10 END AS grade"),
+    }
+    for name, df in tables.items():
+        df.write.mode("overwrite").saveAsTable(f"barlake_s.{name}")
+    query = """SELECT sum(volume) AS volume, count(*) AS n
+               FROM barlake_s.bars JOIN barlake_s.symbols USING (symbol_id) JOIN barlake_s.venues USING (venue_id)
+               WHERE region < 3 AND grade < 10"""
+
+    def first_joined():
+        """The dimension that meets the bars first, i.e. in the deepest join."""
+        plan = TB.explain_text(spark.sql(query), "extended").split("== Optimized Logical Plan ==")[1].split("== Physical")[0]
+        deepest = max((x for x in plan.splitlines() if "Join Inner" in x), key=lambda x: x.index("Join"))
+        return "symbols" if "symbol_id" in deepest else "venues"
+
+    want = spark.sql(query).collect()
+    for name in tables:
+        TB.analyze(spark, f"barlake_s.{name}")
+    with TB.cost_based(spark):
+        by_range = first_joined()
+    TB.analyze(spark, "barlake_s.venues", histograms=["grade"], bins=100)
+    assert spark.conf.get("spark.sql.statistics.histogram.enabled") == "false"
+    with TB.cost_based(spark):
+        by_histogram = first_joined()
+        assert spark.sql(query).collect() == want
+    assert (by_range, by_histogram) == ("venues", "symbols")
+    assert spark.conf.get("spark.sql.cbo.enabled") == "false"
+
+
 def test_cached_is_released(spark):
     df = spark.range(10).withColumn("x", F.col("id") * 2)
     with TB.cached(df) as kept:
