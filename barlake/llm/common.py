@@ -37,6 +37,39 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+#: Bits of a bitmap of places, and of each of its rows (Spark's bitmaps have 4,096 bytes).
+PLACE_BITS, GROUP_BITS = 26, 1 << 15
+
+
+def place_of(*columns: str) -> Column:
+    """A row's place in the bitmaps of :func:`place_maps`: a hash of its key."""
+    return F.pmod(F.xxhash64(*columns), F.lit(1 << PLACE_BITS))
+
+
+def place_maps(places: DataFrame) -> DataFrame:
+    """Bitmaps of the flags of ``places`` (``place``, once each, and boolean columns).
+
+    They let a scan of wide rows use a decision taken on slim ones without a shuffle of the wide rows: only rows at
+    places whose flags leave the decision open need an exact join. Their size is bounded whatever the corpus: 2,048 rows, 8 MB a
+    flag; on corpora that fill them more wide rows have to be joined, with the same result.
+    """
+    flags = [c for c in places.columns if c != "place"]
+    slim = places.select(F.floor(F.col("place") / GROUP_BITS).alias("_group"), (F.col("place") % GROUP_BITS).alias("_bit"), *flags)
+    return stored(slim.repartition("_group").groupBy("_group").agg(
+        *[F.bitmap_construct_agg(F.when(F.col(c), F.col("_bit"))).alias(c) for c in flags]))
+
+
+def with_flags(df: DataFrame, place: str, maps: DataFrame, names: dict[str, str]) -> DataFrame:
+    """``df`` with the flags of its rows' places; ``names`` gives each flag's new column."""
+    taken = {f"{v}_map": k for k, v in names.items()}
+    group = next(iter(taken)) + "_group"
+    bitmaps = F.broadcast(maps.select(F.col("_group").alias(group), *[F.col(k).alias(m) for m, k in taken.items()]))
+    out = df.join(bitmaps, F.floor(F.col(place) / GROUP_BITS) == F.col(group), "left")
+    at = f"cast(shiftright({place}, 3) % {GROUP_BITS // 8} + 1 AS int)"
+    bit = "coalesce(shiftright(cast(conv(hex(substring({m}, {at}, 1)), 16, 10) AS bigint), cast({p} % 8 AS int)) % 2 = 1, false)"
+    return out.withColumns({v: F.expr(bit.format(m=f"{v}_map", at=at, p=place)) for v in names.values()}).drop(group, *taken)
+
+
 _shipped: set[str] = set()
 
 

@@ -30,26 +30,17 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barlake.llm.common import shared_dir, ship, stored
+from barlake.llm.common import place_maps, place_of, shared_dir, ship, stored, with_flags
 
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 BATCH_BYTES = 8 << 20
-#: Bits of each bitmap of places, and of its rows (Spark's bitmaps have 4,096 bytes).
-PLACE_BITS, GROUP_BITS = 26, 1 << 15
 
 
 def _rows(pages: DataFrame, page_id: str, url: str, payload: str) -> DataFrame:
     body = F.coalesce(F.col(f"`{payload}`"), F.lit(""))
     rows = pages.select(F.col(f"`{page_id}`").alias("id"), F.col(f"`{url}`").alias("url"), body.alias("payload"))
     rows = rows.withColumns({"bytes": F.octet_length("payload").cast("long"), "digest": F.unhex(F.sha2("payload", 256))})
-    return rows.withColumn("place", F.pmod(F.xxhash64("id", "digest"), F.lit(1 << PLACE_BITS)))
-
-
-def _bit(bitmap: str) -> Column:
-    """Whether the bit of ``place`` is set in its group's bitmap (null: no)."""
-    at = f"cast(shiftright(place, 3) % {GROUP_BITS // 8} + 1 AS int)"
-    byte = f"cast(conv(hex(substring({bitmap}, {at}, 1)), 16, 10) AS bigint)"
-    return F.expr(f"coalesce(shiftright({byte}, cast(place % 8 AS int)) % 2 = 1, false)")
+    return rows.withColumn("place", place_of("id", "digest"))
 
 
 def decided(heads: DataFrame, least: int) -> DataFrame:
@@ -67,20 +58,12 @@ def resolved(pages: DataFrame, page_id: str = "page_id", url: str = "url", paylo
     revisit is null, ``bytes`` and ``digest`` are those of the payload that it had."""
     rows = _rows(pages, page_id, url, payload)
     heads = stored(decided(stored(rows.drop("payload")), least))
-    group = F.floor(F.col("place") / GROUP_BITS).alias("group")
-    bit = (F.col("place") % GROUP_BITS).alias("bit")
-    places = heads.select(group, bit, F.col("original").isNotNull().alias("revisit")).distinct()
-    # at most 2^PLACE_BITS / GROUP_BITS rows of two bitmaps: 16 MB, whatever the corpus
-    maps = stored(places.repartition("group").groupBy("group").agg(*[
-        F.bitmap_construct_agg(F.when(held, F.col("bit"))).alias(name)
-        for name, held in (("revisits", F.col("revisit")), ("responses", ~F.col("revisit")))]))
-
-    def marked(df: DataFrame) -> DataFrame:
-        return df.withColumn("group", group).join(F.broadcast(maps), "group")
-
-    sure = marked(rows).filter(~_bit("revisits"))
-    unsure = marked(rows).filter(_bit("revisits") & _bit("responses"))
-    both = marked(heads.filter("original is null")).filter(_bit("revisits")).select(
+    revisit = F.col("original").isNotNull()
+    maps = place_maps(heads.groupBy("place").agg(F.max(revisit).alias("revisits"), F.max(~revisit).alias("responses")))
+    names = {"revisits": "revisits", "responses": "responses"}
+    marked = with_flags(rows, "place", maps, names)
+    sure, unsure = marked.filter("not revisits"), marked.filter("revisits and responses")
+    both = with_flags(heads.filter("original is null"), "place", maps, names).filter("revisits").select(
         F.col("id").alias("i"), F.col("digest").alias("d")).distinct()
     # no semi join: the optimizer would push it below the bitmaps and so shuffle every payload
     unsure = unsure.join(both, F.col("id").eqNullSafe(F.col("i")) & (F.col("digest") == F.col("d")))

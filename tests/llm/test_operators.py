@@ -11,7 +11,7 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from barlake.llm import bpe, chat, edits, mixing, nbsvm, rules, sharding, simhash, topk, warc
+from barlake.llm import bpe, chat, common, edits, mixing, nbsvm, rules, sharding, simhash, topk, warc
 
 SF = "/root/testdata/sf0.001"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -328,7 +328,7 @@ def test_warc_round_trip_and_revisits(spark, tmp_path):
 
 @pytest.mark.parametrize("bits", [1, 4, 26])
 def test_warc_bitmaps_of_any_fill_give_the_same_records(spark, tmp_path, monkeypatch, bits):
-    monkeypatch.setattr(warc, "PLACE_BITS", bits)
+    monkeypatch.setattr(common, "PLACE_BITS", bits)
     rows = [(i, f"u{i}", f"payload {i % 23} " * 20) for i in range(60)] + [(None, "n", "payload 3 " * 20), (7, "again", "other " * 30)]
     frame = spark.createDataFrame(rows, "page_id long, url string, html string")
     path = str(tmp_path / "w")
