@@ -9,11 +9,13 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
+from functools import reduce
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.upsert import upsert_path
 from ..schemas import (BRONZE_BARS_SCHEMA, BRONZE_SYMBOLS_SCHEMA, GOLD_ANALYTICS_SCHEMA,
                        GOLD_DAILY_OHLCV_SCHEMA, SILVER_BARS_SCHEMA)
 
@@ -63,6 +65,28 @@ def create_or_replace(df: DataFrame, name: str, partition_src: str | None = None
     w.saveAsTable(name)
 
 
+def table_location(spark: SparkSession, name: str) -> str:
+    found = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter("col_name = 'Location'").first()
+    return found.data_type
+
+
+def merge_or_create(df: DataFrame, name: str, keys: Sequence[str], partition_src: str) -> str:
+    """The first run writes the whole table, later ones merge into it; returns which of the two it was.
+
+    Only partitions that ``df`` touches are read and rewritten. The table's location is that of its catalog entry, whose list
+    of partitions follows the merge. ``keys`` must determine the day of ``partition_src``, and ``df`` must be unique on them.
+    """
+    spark = df.sparkSession
+    if not table_exists(spark, name):
+        create_or_replace(df, name, partition_src)
+        return "created"
+    columns = [f.name for f in spark.table(name).schema.fields]
+    upsert_path(spark, with_partition_date(df, partition_src).select(*columns), table_location(spark, name), keys, PART)
+    spark.sql(f"MSCK REPAIR TABLE {name} SYNC PARTITIONS")
+    spark.catalog.refreshTable(name)
+    return "merged"
+
+
 def write_partitioned(df: DataFrame, path: str, date_col: str, mode: str = "overwrite") -> None:
     """Write date-partitioned parquet; ``REBALANCE`` evens out file sizes per date
     (AQE splits skewed dates instead of producing one giant file)."""
@@ -104,6 +128,20 @@ def analyze(spark: SparkSession, name: str, columns: Sequence[str] | None = None
     return spark.sql(f"DESCRIBE TABLE EXTENDED {name}")
 
 
+def column_statistics(spark: SparkSession, name: str, columns: Sequence[str]) -> DataFrame:
+    """What :func:`analyze` stored of numeric columns: nulls, least and greatest value (no data is read).
+
+    One catalog lookup and one row a column; a column without statistics has nulls.
+    """
+    def stored(column: str) -> DataFrame:
+        info = spark.sql(f"DESCRIBE TABLE EXTENDED {name} `{column}`")
+        value = lambda k: F.max(F.when(F.col("info_name") == k, F.col("info_value")))
+        return info.agg(F.lit(column).alias("column_name"), value("num_nulls").try_cast("bigint").alias("nulls"),
+                        value("min").try_cast("double").alias("least"), value("max").try_cast("double").alias("greatest"))
+
+    return reduce(DataFrame.unionByName, [stored(c) for c in columns])
+
+
 @contextmanager
 def cost_based(spark: SparkSession) -> Iterator[None]:
     """Plan the queries of a ``with`` block by the statistics of :func:`analyze`, their join order too.
@@ -140,6 +178,13 @@ def file_size_report(spark: SparkSession, path: str) -> DataFrame:
             .orderBy(F.col("length").desc()))
 
 
+def partition_files(spark: SparkSession, path: str, partition: str = PART) -> DataFrame:
+    """Files, bytes and newest file of each partition below ``path``, from file metadata alone."""
+    value = F.regexp_extract("path", f"/{partition}=([^/]*)/", 1)
+    return (file_size_report(spark, path).groupBy(value.try_cast("date").alias(partition))
+            .agg(F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"), F.max("modificationTime").alias("newest")))
+
+
 def save_bucketed(df: DataFrame, name: str, buckets: int, key: str = "symbol", sort_col: str = "trade_date") -> None:
     """Store a gold table bucketed by ``key`` and sorted by ``sort_col`` within buckets.
 

@@ -95,7 +95,8 @@ def read_bars_stream(spark: SparkSession, path: str, array_files: bool = False,
     partition value fills ``batch_id``. ``max_files_per_trigger`` / ``max_bytes_per_trigger`` bound a micro-batch;
     ``clean_source`` archives or deletes files once their batch is committed (one query a landing folder).
     """
-    r = spark.readStream.format("text").schema("value string")     # text() would set wholetext back
+    # text() would set wholetext back; with its type stated a batch id needn't look like those before it
+    r = spark.readStream.format("text").schema("value string" if array_files else "value string, batch_id string")
     if array_files:
         r = r.option("wholetext", True).option("pathGlobFilter", "bars_*.json")
     if max_files_per_trigger:
