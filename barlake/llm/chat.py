@@ -44,13 +44,16 @@ def template(role: Column, text: Column) -> tuple[Column, Column]:
 
 
 def turns_with_places(conversations: DataFrame) -> DataFrame:
-    """(conv_id, k, role, text, chars, upto): place from 1, formatted length, and length up to and with the turn."""
+    """(conv_id, k, role, text, chars, upto, part): place from 1, formatted length, and length up to and with the turn.
+
+    ``part`` is the partition that the turn had in the running totals.
+    """
     empty = F.lit("")
     rows = conversations.select("conv_id", "turn", F.coalesce("role", empty).alias("role"),
                                 F.coalesce("text", empty).alias("text"))
     rows = rows.withColumn("chars", F.char_length(template(F.col("role"), F.col("text"))[1]).cast("long"))
     return stored(running_totals(rows, ["conv_id"], ["turn", "role", "text"],
-                                 {"k": F.count(F.lit(1)), "upto": F.sum("chars")}))
+                                 {"k": F.count(F.lit(1)), "upto": F.sum("chars")}, keep="part"))
 
 
 def pack(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -61,10 +64,11 @@ def pack(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
     (the code points of the piece under the loss mask; null where there are none). Second, rows (conv_id, k, begin).
     """
     turns = turns_with_places(conversations)
-    x = turns.select("conv_id", "k", "chars", "upto", F.xxhash64(F.lit(1), "k", "role", "text").alias("x1"),
+    x = turns.select("conv_id", "k", "chars", "upto", "part", F.xxhash64(F.lit(1), "k", "role", "text").alias("x1"),
                      F.xxhash64(F.lit("2"), "k", "text", "role").alias("x2"))
-    keyed = running_totals(x, ["conv_id"], ["k"], {"p1": F.bit_xor("x1"), "p2": F.bit_xor("x2")}, xor=["p1", "p2"])
-    keyed = stored(keyed)
+    keyed = running_totals(x, ["conv_id"], ["k"], {"p1": F.bit_xor("x1"), "p2": F.bit_xor("x2")}, xor=["p1", "p2"],
+                           by="part")
+    keyed = stored(keyed.drop("part"))
     nodes = stored(keyed.groupBy("k", "p1", "p2").agg(F.min("x1").alias("x1"), F.min("x2").alias("x2")))
     node = ["k", "p1", "p2"]
     parent = [(F.col("k") - 1).alias("pk"), F.col("p1").bitwiseXOR(F.col("x1")).alias("q1"),
@@ -82,6 +86,7 @@ def pack(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
                    .select(F.col("conv_id").alias("c"), "rank", "all"))
     ranked = stored(keyed.join(ranks, F.col("conv_id").eqNullSafe(F.col("c"))))
     owned = ranked.groupBy(*node).agg(F.min("rank").alias("first"), F.max("rank").alias("last"),
+                                      F.min_by("conv_id", "rank").alias("owner"),
                                       F.first("chars").alias("chars"), F.first("upto").alias("upto"))
     owned = stored(owned)
     fresh = owned.groupBy(F.col("first").alias("r")).agg(F.sum("chars").alias("fresh"))
@@ -92,14 +97,13 @@ def pack(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
     b = emitted.select(F.col("rank").alias("last"), F.col("sofar").alias("subtree_end"))
     placed = owned.join(a, "first").join(b, "last")
     position = F.col("upto") - F.col("chars")
-    placed = stored(placed.select(*node, "first", "chars", position.alias("position"), "subtree_end",
+    placed = stored(placed.select(*node, "owner", "chars", position.alias("position"), "subtree_end",
                                   (F.col("upto_first") - F.col("all") + position).alias("begin")))
     members = ranked.join(placed.select(*node, "begin"), node).select("conv_id", "rank", "k", "begin")
-    texts = turns.join(ranks, F.col("conv_id").eqNullSafe(F.col("c"))).select(
-        F.col("rank").alias("first"), "k", "role", "text")
+    texts = turns.select("conv_id", F.col("k").alias("place"), "role", "text")
     head, piece = template(F.col("role"), F.col("text"))
     learned = F.col("role") == "assistant"
-    segments = placed.join(texts, ["first", "k"]).select(
+    segments = placed.join(texts, F.col("owner").eqNullSafe(F.col("conv_id")) & (F.col("k") == F.col("place"))).select(
         "begin", (F.col("begin") + F.col("chars")).alias("end"), "position", "subtree_end", piece.alias("piece"),
         F.when(learned, F.char_length(head)).alias("loss_begin"),
         F.when(learned, F.col("chars") - len(END) - 1).cast("int").alias("loss_end"))

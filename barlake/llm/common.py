@@ -106,14 +106,17 @@ def free_stem(df: DataFrame, name: str) -> str:
 
 
 def running_totals(df: DataFrame, group: Sequence[str], order: Sequence[str], totals: dict[str, Column],
-                   xor: Sequence[str] = ()) -> DataFrame:
+                   xor: Sequence[str] = (), keep: str | None = None, by: str | None = None) -> DataFrame:
     """Add inclusive running totals along ``order`` within ``group``, with no task that holds a whole group.
 
     ``totals`` names the new columns (free names) and gives the aggregate over the rows up to each row: a sum or count of
     integers, or a ``F.bit_xor`` for those named in ``xor``. The rows are sorted by range into partitions, each partition
     is totalled, the partitions' totals (one row per partition and group) are accumulated, and a window within each
-    partition does the rest. Rows that agree in ``order`` follow each other in any order and are split over
+    partition does the rest. Only a partition's first group can have rows before it, so what comes before is at most one row a
+    partition and is broadcast. Rows that agree in ``order`` follow each other in any order and are split over
     partitions too. ``group`` and ``order`` columns may be null; other columns are carried along, whatever their names.
+    ``keep`` names a column for a row's partition; ``by`` names such a column of an earlier call with the same groups and
+    an order that agrees with ``order``, whose partitions serve again (``df`` has to be stored then).
     """
     spark = df.sparkSession
     group, order = list(group), list(order)
@@ -122,19 +125,25 @@ def running_totals(df: DataFrame, group: Sequence[str], order: Sequence[str], to
     same_group = [f"{stem}g{i}" for i in range(len(group))]
     before_of = {k: f"{stem}b{i}" for i, k in enumerate(totals)}
     ranged = df.withColumn(tie, F.monotonically_increasing_id())
-    ranged = ranged.repartitionByRange(partitions(spark), *group, *order, tie)
-    ranged = stored(ranged.withColumn(part, F.spark_partition_id()))
+    if by:
+        ranged = ranged.withColumn(part, F.col(f"`{by}`"))
+    else:
+        ranged = ranged.repartitionByRange(partitions(spark), *group, *order, tie)
+        ranged = stored(ranged.withColumn(part, F.spark_partition_id()))
     parts = ranged.groupBy(*group, part).agg(*[c.alias(k) for k, c in totals.items()])
-    before = Window.partitionBy(*group).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = parts.select(*[F.col(g).alias(s) for g, s in zip(group, same_group)], F.col(part).alias(total_of), *[
-        F.coalesce((F.bit_xor if k in xor else F.sum)(k).over(before), F.lit(0)).alias(before_of[k]) for k in totals])
+    earlier = Window.partitionBy(*group).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    later = F.count(F.lit(1)).over(earlier) > 0
+    before = parts.select(*[F.col(g).alias(s) for g, s in zip(group, same_group)], F.col(part).alias(total_of), later.alias(tie), *[
+        (F.bit_xor if k in xor else F.sum)(k).over(earlier).alias(before_of[k]) for k in totals]).filter(F.col(tie)).drop(tie)
     within = Window.partitionBy(*group, part).orderBy(*order, tie).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     same = F.col(part) == F.col(total_of)
     for g, s in zip(group, same_group):
         same = same & F.col(g).eqNullSafe(F.col(s))
-    out = ranged.withColumns({k: c.over(within) for k, c in totals.items()}).join(offsets, same)
+    out = ranged.withColumns({k: c.over(within) for k, c in totals.items()}).join(F.broadcast(before), same, "left")
+    more = {k: F.coalesce(F.col(b), F.lit(0)) for k, b in before_of.items()}
     return out.select(*[F.col(f"`{c}`") for c in df.columns], *[
-        (F.col(k).bitwiseXOR(F.col(before_of[k])) if k in xor else F.col(k) + F.col(before_of[k])).alias(k) for k in totals])
+        (F.col(k).bitwiseXOR(more[k]) if k in xor else F.col(k) + more[k]).alias(k) for k in totals],
+        *([F.col(part).alias(keep)] if keep else []))
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
